@@ -74,9 +74,10 @@ def clock() -> Column:
     return F.col("EventEnqueuedUtcTime") + F.expr("INTERVAL 2 MINUTES")
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed snapshot-grain events."""
-    return flatten.parse_events(order_updates(spark, sf_dir).select("body", "EventEnqueuedUtcTime"))
+def documents(spark: SparkSession, sf_dir: str, paths: list[str] | None = None) -> DataFrame:
+    """Typed snapshot-grain events, or the fields of them that `paths` name."""
+    updates = order_updates(spark, sf_dir).select("body", "EventEnqueuedUtcTime")
+    return flatten.parse_events(updates, paths)
 
 
 def keyed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +87,7 @@ def keyed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     fn = getattr(flatten, f"flatten_{name}_s")
-    return fn(documents(spark, sf_dir), clock())
+    return fn(documents(spark, sf_dir, flatten.READS_S[name]), clock())
 
 
 def first_versions(stream: DataFrame) -> DataFrame:
@@ -245,7 +246,8 @@ _register_flattens()
 
 @query
 def flatten_outer(spark, sf_dir):
-    rows = flatten.flatten_row_s(documents(spark, sf_dir), clock(), outer=True)
+    parsed = documents(spark, sf_dir, flatten.READS_S["row"])
+    rows = flatten.flatten_row_s(parsed, clock(), outer=True)
     return rows.select("bucket_bk", "row_bk", "orderNumber", "status_value", "BucketNumber", "RowNumber", "SKU")
 
 
@@ -570,7 +572,7 @@ def stream_restart(spark, sf_dir):
 
 def _late_merge(spark: SparkSession, sf_dir: str, shift: str) -> DataFrame:
     """Stored orders, then all first versions again under another status and enqueue time."""
-    orders = flatten.flatten_order_s(documents(spark, sf_dir), clock())
+    orders = stream_table(spark, sf_dir, "order")
     target = warehouse.latest(orders, "order")
     again = orders.filter(F.col("status_value") == "new").withColumns(
         {

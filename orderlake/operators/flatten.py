@@ -1,9 +1,9 @@
 """Flatten nested order updates into relational tables.
 
 Every transform is `DataFrame -> DataFrame`, narrow (no shuffle), and built from
-path lists: a column's source path decides its output name. JSON text columns are
-parsed where needed; a column that is already a struct or array is used as it is, so a
-job can parse once, persist, and fan out.
+path lists: a column's source path decides its output name, and the paths a transform
+reads decide how much of a JSON text is parsed. A column that is already a struct or array is
+used as it is, so a job can parse everything once, persist, and fan out.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ ORDER_PATHS = """
     total.discount total.totalAmount total.creditedAmount
 """.split()
 PAYMENT_PATHS = "title psp method alternative amount pspReference".split()
+LINE_OFFER_PATHS = "campaignId discount".split()
 OFFER_HEAD_PATHS = "campaignId title activationCode discount".split()
 BUCKET_PATHS = """
     bucketNumber returnCode deliveredFrom.name
@@ -76,12 +77,21 @@ def project(paths: list[str], base: str = "", rename=_plain) -> list[Column]:
     return [F.col(prefix + p).alias(rename(p)) for p in paths]
 
 
-def _parse(df: DataFrame, *names: str) -> DataFrame:
-    """Parse the named JSON text columns; leave already parsed ones alone."""
+def below(base: str, paths: list[str]) -> list[str]:
+    return [f"{base}.{p}" for p in paths]
+
+
+def _parse(df: DataFrame, paths: list[str] | None = None) -> DataFrame:
+    """Parse the JSON text columns that `paths` read into, and no more of them than that.
+
+    Without paths every JSON column is parsed completely. Parsed columns are left alone.
+    """
+    raw = schemas.struct(", ".join(f"{n} {kind}" for n, kind in schemas.RAW_JSON_H.items()))
+    raw = raw if paths is None else schemas.prune(raw, paths)
     text = {
-        n: F.from_json(F.col(n), schemas.RAW_JSON_H[n])
-        for n in names
-        if isinstance(df.schema[n].dataType, T.StringType)
+        f.name: F.from_json(F.col(f.name), f.dataType)
+        for f in raw
+        if f.name in df.columns and isinstance(df.schema[f.name].dataType, T.StringType)
     }
     return df.withColumns(text) if text else df
 
@@ -97,7 +107,7 @@ ORDER_KEY_H = ("orderNumber", "status_value")
 
 def preprocess_bronze(df: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Raw table to keyed raw: local order time, status fields, processing stamp."""
-    status = _parse(df, "status").withColumn("orderDate", local_time("orderDate"))
+    status = _parse(df, ["status"]).withColumn("orderDate", local_time("orderDate"))
     return status.withColumns(
         {
             "status_parsed": F.col("status"),
@@ -110,7 +120,7 @@ def preprocess_bronze(df: DataFrame, as_of: Column | None = None) -> DataFrame:
 
 def parse_raw(df: DataFrame) -> DataFrame:
     """Parse all JSON columns of a raw batch at once (then persist it before a fan-out)."""
-    return _parse(df, *[n for n in schemas.RAW_JSON_H if n in df.columns])
+    return _parse(df)
 
 
 def _clock(df: DataFrame, as_of: Column | None) -> Column:
@@ -127,14 +137,14 @@ def _keyed_h(name: str, *parts: str) -> list[Column]:
 
 
 def flatten_order_h(df: DataFrame, as_of: Column | None = None) -> DataFrame:
-    parsed = _parse(df, "source", "fraudStatus", "deliveryStatus", "invoiceAddress", "total")
+    parsed = _parse(df, ORDER_PATHS)
     # status was already taken apart by the preprocess step
     paths = [_plain(p) if p.startswith("status.") else p for p in ORDER_PATHS]
     return parsed.select(*_keyed_h("order", *ORDER_KEY_H), *project(paths), _clock(df, as_of))
 
 
 def flatten_payment_h(df: DataFrame, as_of: Column | None = None) -> DataFrame:
-    items = _expand(_parse(df, "payments"), "payments", "payment")
+    items = _expand(_parse(df, below("payments", PAYMENT_PATHS)), "payments", "payment")
     for field in ("pspReference", "alternative"):
         filled = F.coalesce(F.col(f"payment.{field}"), F.lit(""))
         items = items.withColumn("payment", F.col("payment").withField(field, filled))
@@ -148,7 +158,7 @@ def flatten_payment_h(df: DataFrame, as_of: Column | None = None) -> DataFrame:
 
 
 def flatten_offerhead_h(df: DataFrame, as_of: Column | None = None) -> DataFrame:
-    items = _expand(_parse(df, "offers"), "offers", "offer")
+    items = _expand(_parse(df, below("offers", OFFER_HEAD_PATHS)), "offers", "offer")
     return items.select(
         *_keyed_h("offerhead", *ORDER_KEY_H, "offer.campaignId", "offer.activationCode"),
         *project(list(ORDER_KEY_H)),
@@ -158,7 +168,7 @@ def flatten_offerhead_h(df: DataFrame, as_of: Column | None = None) -> DataFrame
 
 
 def flatten_bucket_h(df: DataFrame, as_of: Column | None = None) -> DataFrame:
-    items = _expand(_parse(df, "buckets"), "buckets", "bucket")
+    items = _expand(_parse(df, below("buckets", BUCKET_PATHS)), "buckets", "bucket")
     return items.select(
         *_keyed_h("bucket", *ORDER_KEY_H, "bucket.bucketNumber"),
         *project(list(ORDER_KEY_H)),
@@ -167,6 +177,10 @@ def flatten_bucket_h(df: DataFrame, as_of: Column | None = None) -> DataFrame:
     )
 
 
+ROW_POSITION = ["buckets.bucketNumber", "buckets.rows.rowNumber"]
+ROW_ITEM_PATHS = [*ROW_POSITION, *below("buckets.rows", ROW_PATHS)]
+
+
 def _bucket_rows(df: DataFrame) -> DataFrame:
     return _expand(_expand(df, "buckets", "bucket"), "bucket.rows", "row")
 
@@ -175,7 +189,7 @@ ROW_KEY_H = (*ORDER_KEY_H, "bucket.bucketNumber", "row.rowNumber")
 
 
 def flatten_row_h(df: DataFrame, as_of: Column | None = None) -> DataFrame:
-    parsed = _parse(df, "source", "fraudStatus", "deliveryStatus", "buckets")
+    parsed = _parse(df, [*ROW_ORDER_PATHS, *ROW_ITEM_PATHS])
     return _bucket_rows(parsed).select(
         *_keyed_h("row", *ROW_KEY_H),
         *project(list(ORDER_KEY_H)),
@@ -187,22 +201,35 @@ def flatten_row_h(df: DataFrame, as_of: Column | None = None) -> DataFrame:
 
 
 def flatten_offerline_h(df: DataFrame, as_of: Column | None = None) -> DataFrame:
-    items = _expand(_bucket_rows(_parse(df, "buckets")), "row.offers", "offer")
+    parsed = _parse(df, [*ROW_POSITION, *below("buckets.rows.offers", LINE_OFFER_PATHS)])
+    items = _expand(_bucket_rows(parsed), "row.offers", "offer")
     return items.select(
         *_keyed_h("offerline", *ROW_KEY_H, "offer.campaignId"),
         *project(list(ORDER_KEY_H)),
         *project(["bucketNumber"], "bucket", _capital),
         *project(["rowNumber"], "row", _capital),
-        *project(["campaignId", "discount"], "offer", _capital),
+        *project(LINE_OFFER_PATHS, "offer", _capital),
         _clock(df, as_of),
     )
 
 
 # --- snapshot grain (S) ----------------------------------------------------------------
-def parse_events(df: DataFrame) -> DataFrame:
-    """Envelope rows (`body` text plus metadata) to typed events; bad bodies become NULL fields."""
+READS_S = {
+    "order": ORDER_PATHS,
+    "payment": ["orderNumber", "status.value", *below("payments", PAYMENT_PATHS)],
+    "row": ["orderNumber", "status.value", *ROW_ORDER_PATHS, *ROW_ITEM_PATHS],
+}
+
+
+def parse_events(df: DataFrame, paths: list[str] | None = None) -> DataFrame:
+    """Envelope rows (`body` text plus metadata) to typed events; bad bodies become NULL fields.
+
+    With paths (see READS_S) only those fields are parsed.
+    """
     meta = [c for c in df.columns if c != "body"]
-    return df.select(F.from_json("body", schemas.BODY_S).alias("e"), *meta).select("e.*", *meta)
+    body = schemas.struct(schemas.BODY_S)
+    kind = body if paths is None else schemas.prune(body, paths)
+    return df.select(F.from_json("body", kind).alias("e"), *meta).select("e.*", *meta)
 
 
 def flatten_order_s(df: DataFrame, as_of: Column | None = None) -> DataFrame:

@@ -4,8 +4,8 @@ Spark can neither MERGE into plain Parquet nor overwrite what it reads, so a tab
 a set of files that are never changed:
 
     <path>/data/_version=<n>/_bucket=<b>/…  rows, spread over a fixed number of key buckets
-    <path>/commits/version=<n>/…            one small JSON file: which version each bucket
-                                            is to be read from, plus facts about the write
+    <path>/commits/version=<n>/…            one small file: which version each bucket is to
+                                            be read from, plus facts about the write
 
 A merge rewrites only the buckets its source touches. A version counts once its commit file
 is there; a failed attempt leaves unread data that the next attempt overwrites.
@@ -29,9 +29,19 @@ from orderlake.operators.merge import (
     read_changes,
     split_null_keys,
 )
-from orderlake.session import path_exists
+from orderlake.session import child_names
 
 BUCKET, VERSION = "_bucket", "_version"
+
+
+def order_block(business_key: str, orders_per_block: int) -> Column:
+    """Block of the order a business key starts with: numbered orders by number, others by
+    hash. Orders that arrive together then share a few blocks."""
+    order = F.substring_index(business_key, "_", 1)
+    number = F.floor(order.try_cast("bigint") / orders_per_block)
+    return F.coalesce(number, F.xxhash64(order))
+
+
 _COMMIT = (
     T.StructType()
     .add("bucket", "integer")
@@ -39,6 +49,7 @@ _COMMIT = (
     .add("operation", "string")
     .add("writer", "string")
     .add("batch_id", "long")
+    .add("batches", T.MapType(T.StringType(), T.LongType()))
     .add("buckets", "integer")
     .add("rows_written", "long")
     .add("watermark", "timestamp")
@@ -63,8 +74,12 @@ class Commit:
 class VersionedTable:
     """An upsertable table of one key. One writer at a time.
 
-    buckets    fixed at creation. A bucket is written by one task, so choose it such that
-               table size / buckets stays near 1 GB; defaults to the shuffle partitions.
+    buckets    fixed at creation. A merge rewrites whole buckets, one task each, so choose it
+               such that table size / buckets stays near 1 GB; defaults to the shuffle
+               partitions.
+    locate     optional column giving each row a block number, which replaces the key hash.
+               It must be a function of the key. See `order_block`: where new and changed
+               keys lie close together, a batch then touches few buckets of a large table.
     watermark  optional timestamp column whose maximum is kept with each commit, so that an
                incremental load does not have to scan the table for it.
     """
@@ -76,54 +91,50 @@ class VersionedTable:
         keys: list[str],
         buckets: int | None = None,
         watermark: str | None = None,
+        locate: Column | None = None,
     ):
-        self.spark, self.path, self.keys, self.watermark = spark, path.rstrip("/"), keys, watermark
+        self.spark, self.path, self.keys = spark, path.rstrip("/"), keys
+        self.watermark, self.locate = watermark, locate
         self._buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     # --- commits ---------------------------------------------------------------------
-    def _commits(self) -> DataFrame | None:
-        if not path_exists(self.spark, f"{self.path}/commits"):
-            return None
-        schema = T.StructType(_COMMIT.fields + [T.StructField("version", T.LongType())])
-        return self.spark.read.schema(schema).json(f"{self.path}/commits")
+    def versions(self) -> list[int]:
+        """Committed versions, oldest first (a folder listing, no Spark job)."""
+        names = child_names(self.spark, f"{self.path}/commits")
+        found = [int(n.partition("=")[2]) for n in names if n.startswith("version=")]
+        done = "_SUCCESS"
+        if found and done not in child_names(self.spark, f"{self.path}/commits/version={max(found)}"):
+            found.remove(max(found))  # the writer died while committing
+        return sorted(found)
+
+    def exists(self) -> bool:
+        return bool(self.versions())
 
     def commit(self, version: int | None = None) -> Commit | None:
         """The newest commit, or that of the given version. At most buckets + 1 rows."""
-        commits = self._commits()
-        if commits is None:
-            return None
+        known = self.versions()
         if version is None:
-            newest = commits.agg(F.max("version").alias("v"))
-            wanted = F.col("version") == newest.scalar()
-        else:
-            wanted = F.col("version") == version
-        rows = commits.filter(wanted).collect()
-        if not rows:
-            if version is None:
+            if not known:
                 return None
+            version = known[-1]
+        elif version not in known:
             raise ValueError(f"{self.path} has no version {version}")
+        path = f"{self.path}/commits/version={version}"
+        rows = self.spark.read.schema(_COMMIT).parquet(path).collect()
         facts = next(r for r in rows if r["bucket"] is None)
         placement = {r["bucket"]: r["data_version"] for r in rows if r["bucket"] is not None}
-        return Commit(facts["version"], placement, facts)
-
-    def exists(self) -> bool:
-        return self.commit() is not None
+        return Commit(version, placement, facts)
 
     def history(self) -> DataFrame:
         """One row per version, oldest first."""
-        commits = self._commits()
-        if commits is None:
+        known = self.versions()
+        if not known:
             raise ValueError(f"{self.path} has no versions")
+        schema = T.StructType(_COMMIT.fields + [T.StructField("version", T.LongType())])
+        commits = self.spark.read.schema(schema).parquet(f"{self.path}/commits")
         facts = ("version", "operation", "writer", "batch_id", "rows_written", "watermark")
-        return commits.filter("bucket IS NULL").select(*facts, "committed_at").orderBy("version")
-
-    def committed_batch(self, writer: str) -> int:
-        """Highest batch id this writer has committed, -1 if none."""
-        commits = self._commits()
-        if commits is None:
-            return -1
-        own = commits.filter((F.col("bucket").isNull()) & (F.col("writer") == writer))
-        return own.agg(F.coalesce(F.max("batch_id"), F.lit(-1))).first()[0]
+        done = commits.filter(F.col("bucket").isNull() & (F.col("version") <= known[-1]))
+        return done.select(*facts, "committed_at").orderBy("version")
 
     # --- reading ----------------------------------------------------------------------
     def _read(self, commit: Commit, buckets: set[int] | None = None) -> DataFrame:
@@ -154,13 +165,12 @@ class VersionedTable:
         Only buckets whose data moved between two versions are compared. Version 1 counts
         as inserts.
         """
-        newest = self.commit()
-        if newest is None:
-            raise ValueError(f"{self.path} has no versions")
-        parts = []
-        for version in range(max(starting_version, 1), newest.version + 1):
+        wanted = [v for v in self.versions() if v >= starting_version]
+        if not wanted:
+            raise ValueError(f"{self.path} has no version from {starting_version} on")
+        parts, before = [], self.commit(wanted[0] - 1) if wanted[0] > 1 else None
+        for version in wanted:
             after = self.commit(version)
-            before = self.commit(version - 1) if version > 1 else None
             old = before.placement if before else {}
             moved = {b for b, v in after.placement.items() if old.get(b) != v}
             new_rows = self._read(after, moved).drop(BUCKET)
@@ -169,12 +179,13 @@ class VersionedTable:
             for f in missing:
                 old_rows = old_rows.withColumn(f.name, F.lit(None).cast(f.dataType))
             parts.append(read_changes(old_rows, new_rows, self.keys, version))
+            before = after
         return union_all(parts)
 
     # --- writing ---------------------------------------------------------------------
     def _bucket_of(self, df: DataFrame, buckets: int) -> Column:
         """Bucket by key. Rows with a NULL key match nothing, so they are spread by content."""
-        by_key = F.xxhash64(*self.keys)
+        by_key = F.xxhash64(*self.keys) if self.locate is None else self.locate
         spread = F.when(has_null_key(self.keys), F.xxhash64(*df.columns)).otherwise(by_key)
         return F.pmod(spread, F.lit(buckets)).cast("integer")
 
@@ -196,12 +207,17 @@ class VersionedTable:
         schema: T.StructType,
         buckets: int,
         facts: dict,
+        previous: Commit | None = None,
         **info: str | int | None,
     ) -> None:
         """Make a version readable: one small file, moved into place as a whole."""
+        batches = dict(previous.facts["batches"] or {}) if previous else {}
+        if info["batch_id"] is not None:
+            batches[info["writer"]] = info["batch_id"]
         columns = T.StructType([f for f in schema if f.name != BUCKET])
         head = {
             **info,
+            "batches": batches,
             "buckets": buckets,
             "rows_written": facts["rows"],
             "watermark": facts["watermark"],
@@ -212,16 +228,17 @@ class VersionedTable:
         stamped = self.spark.createDataFrame(values, _COMMIT).withColumn(
             "committed_at", F.when(F.col("bucket").isNull(), F.current_timestamp())
         )
-        stamped.coalesce(1).write.mode("overwrite").json(f"{self.path}/commits/version={version}")
+        stamped.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/version={version}")
 
     def create(self, df: DataFrame, writer: str = "batch", batch_id: int | None = None) -> None:
         """First version: all rows as they are, duplicates included."""
         n = self._buckets
-        bucketed = df.withColumn(BUCKET, self._bucket_of(df, n)).repartition(n, BUCKET)
+        # Rebalancing gathers small buckets in one task and cuts a bucket that one key fills.
+        bucketed = df.withColumn(BUCKET, self._bucket_of(df, n)).hint("rebalance", BUCKET)
         facts = self._write(bucketed, 1)
         placement = dict.fromkeys(self._filled(1), 1)
         info = {"operation": "create", "writer": writer, "batch_id": batch_id}
-        self._commit(1, placement, bucketed.schema, n, facts, **info)
+        self._commit(1, placement, bucketed.schema, n, facts, None, **info)
 
     def _filled(self, version: int) -> list[int]:
         """Buckets that got rows (Spark writes no folder for the others)."""
@@ -243,9 +260,9 @@ class VersionedTable:
 
         With a batch id, a batch this writer has already committed is skipped.
         """
-        if batch_id is not None and self.committed_batch(writer) >= batch_id:
-            return
         commit = self.commit()
+        if batch_id is not None and commit and (commit.facts["batches"] or {}).get(writer, -1) >= batch_id:
+            return
         keyed, loose = split_null_keys(source, self.keys)
         if on_source_duplicates == "latest":
             keyed = dedup_latest(keyed, self.keys, order_by or [])
@@ -263,14 +280,21 @@ class VersionedTable:
             if not touched:
                 return
             tasks = min(buckets, 2 * len(touched))
-            old = self._read(commit, touched).repartition(tasks, BUCKET)
+            old = self._read(commit, touched)
+            old_keyed, old_loose = split_null_keys(old, self.keys)
+            new_keyed, new_loose = split_null_keys(rows, self.keys)
+            # Both sides are partitioned by bucket alone: the join on (bucket, key) and the
+            # write by bucket need no further shuffle. Rows without a key skip all of it.
             state = merge_upsert(
-                old,
-                rows.repartition(tasks, BUCKET),
+                old_keyed.repartition(tasks, BUCKET),
+                new_keyed.repartition(tasks, BUCKET),
                 [BUCKET, *self.keys],
                 guard=guard,
                 on_source_duplicates="assume_unique",
+                keys_not_null=True,
             )
+            for loose_rows in (old_loose, new_loose):
+                state = state.unionByName(loose_rows, allowMissingColumns=True)
             version = commit.version + 1
             facts = self._write(state, version)
             if self.watermark and commit.facts["watermark"] is not None:
@@ -278,7 +302,7 @@ class VersionedTable:
                 facts = {**facts, "watermark": max(w for w in seen if w is not None)}
             placement = {**commit.placement, **{b: version for b in touched}}
             info = {"operation": "merge", "writer": writer, "batch_id": batch_id}
-            self._commit(version, placement, state.schema, buckets, facts, **info)
+            self._commit(version, placement, state.schema, buckets, facts, commit, **info)
         finally:
             rows.unpersist()
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderlake.operators.dedup import dedup_latest, newest_first
 from orderlake.operators.flatten import ORDER_KEY_H, parse_raw, preprocess_bronze
-from orderlake.operators.tables import VersionedTable
+from orderlake.operators.tables import VersionedTable, order_block
 from orderlake.plans.registry import transforms
 from orderlake.sources.sinks import fan_out, save_or_merge
 
@@ -23,12 +23,15 @@ def latest_documents(raw: DataFrame, as_of: Column | None = None) -> DataFrame:
 
 
 def silver_tables(
-    spark: SparkSession, root: str, buckets: int | None = None
+    spark: SparkSession, root: str, buckets: int | None = None, orders_per_block: int | None = None
 ) -> dict[str, VersionedTable]:
-    return {
-        name: VersionedTable(spark, f"{root}/{t.table}", t.keys, buckets)
-        for name, t in transforms().items()
-    }
+    """A stored table per registered transform. With `orders_per_block`, rows are laid out
+    by the order number their business key (`<name>_bk`) starts with."""
+    stored = {}
+    for name, t in transforms().items():
+        locate = order_block(f"{name}_bk", orders_per_block) if orders_per_block else None
+        stored[name] = VersionedTable(spark, f"{root}/{t.table}", t.keys, buckets, locate=locate)
+    return stored
 
 
 def upsert_silver(

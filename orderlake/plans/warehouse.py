@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake import schemas
@@ -13,7 +13,7 @@ from orderlake.operators.dedup import dedup_latest, newest_first
 from orderlake.operators.incremental import incremental, newer_than
 from orderlake.operators.merge import merge_upsert
 from orderlake.operators.quality import conform
-from orderlake.operators.tables import VersionedTable
+from orderlake.operators.tables import VersionedTable, order_block
 
 CLOCK = "updated_datetime"  # processing time, compared by the look-back
 
@@ -101,8 +101,16 @@ def warehouse_refresh(
         table.merge(latest(fresh, name), guard=spec.guard, on_source_duplicates="assume_unique")
 
 
-def warehouse_tables(spark, root: str, buckets: int | None = None) -> dict[str, VersionedTable]:
-    return {
-        name: VersionedTable(spark, f"{root}/orderupdated_{name}", [t.key], buckets, CLOCK)
-        for name, t in TABLES.items()
-    }
+def warehouse_tables(
+    spark: SparkSession,
+    root: str,
+    buckets: int | None = None,
+    orders_per_block: int | None = None,
+) -> dict[str, VersionedTable]:
+    """The stored tables. With `orders_per_block`, rows are laid out by order number."""
+
+    def table(name: str, key: str) -> VersionedTable:
+        locate = order_block(key, orders_per_block) if orders_per_block else None
+        return VersionedTable(spark, f"{root}/orderupdated_{name}", [key], buckets, CLOCK, locate)
+
+    return {name: table(name, t.key) for name, t in TABLES.items()}

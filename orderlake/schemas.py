@@ -113,6 +113,28 @@ def struct(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
 
+def prune(kind: T.DataType, paths: list[str]) -> T.DataType:
+    """Only the fields named by dotted paths; arrays on the way are looked through.
+
+    Parsing text with a pruned type skips what nobody reads.
+    """
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(prune(kind.elementType, paths))
+    if not isinstance(kind, T.StructType):
+        return kind
+    below: dict[str, list[str]] = {}
+    for path in paths:
+        head, _, rest = path.partition(".")
+        below.setdefault(head, []).append(rest)
+    return T.StructType(
+        [
+            f if "" in below[f.name] else T.StructField(f.name, prune(f.dataType, below[f.name]))
+            for f in kind
+            if f.name in below
+        ]
+    )
+
+
 # --- output contracts ----------------------------------------------------------------
 def contract(spec: str) -> T.StructType:
     """Column contract from `type: name name …` lines."""

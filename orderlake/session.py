@@ -20,6 +20,10 @@ RUNTIME_CONF = {
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
+# Spark derives a "the array is not empty" filter from every explode and pushes it below the
+# projection that parses the array, so that each JSON text is parsed twice. Left out.
+EXCLUDED_RULE = "org.apache.spark.sql.catalyst.optimizer.InferFiltersFromGenerate"
+
 _shared_roots: dict[str, str] = {}
 
 
@@ -28,6 +32,10 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    excluded = spark.conf.get("spark.sql.optimizer.excludedRules", None) or ""
+    if EXCLUDED_RULE not in excluded:
+        rules = [r for r in (excluded, EXCLUDED_RULE) if r]
+        spark.conf.set("spark.sql.optimizer.excludedRules", ",".join(rules))
     return spark
 
 
@@ -65,7 +73,8 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/orderlake/{label}-{uuid.uuid4().hex}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder exists, on whatever file system the path names."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder, on whatever file system it is; none if it is absent."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [e.getPath().getName() for e in files.listStatus(folder)] if files.exists(folder) else []
