@@ -370,6 +370,7 @@ def _files() -> dict[str, str]:
         "add_columns": f"""SELECT *, {NO_TEXT} AS source_name,
             CAST(NULL AS BOOLEAN) AS "source_isExternal", {NO_DOUBLE} AS discount FROM orders""",
         "compact_preserves": "SELECT * FROM lineitem",
+        "table_detail": "SELECT CAST(1 AS BIGINT) AS num_files, count(*) AS num_rows FROM lineitem",
     }
 
 

@@ -46,7 +46,7 @@ def fail_on_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _one_source_row_per_key(
+def one_row_per_key(
     source: DataFrame, keys: list[str], mode: str, order_by: list[Column] | None
 ) -> DataFrame:
     if mode == "assume_unique":
@@ -105,7 +105,8 @@ def merge_upsert(
     on_source_duplicates  "error", "latest" (needs order_by) or "assume_unique".
     null_keys             a NULL key never matches: "insert" adds such source rows again,
                           "quarantine" leaves them out (see `split_null_keys`).
-    keys_not_null         promise that no key is NULL on either side; saves the side branch.
+    keys_not_null         promise that no key is NULL on either side; saves the side branch,
+                          for which a side with nullable keys is read a second time.
     strategy              "shuffle": one full outer join. "broadcast": the target is not
                           shuffled, the source goes to every executor. "auto": measures the
                           (staged) source and broadcasts it only below BROADCAST_LIMIT.
@@ -130,7 +131,7 @@ def merge_upsert(
         keyed_source = source.filter(~has_null_key(keys))
         if null_keys == "insert":
             extra.append(source.filter(has_null_key(keys)))
-    keyed_source = _one_source_row_per_key(keyed_source, keys, on_source_duplicates, order_by)
+    keyed_source = one_row_per_key(keyed_source, keys, on_source_duplicates, order_by)
 
     if strategy == "auto":
         small = measured_bytes(keyed_source) < BROADCAST_LIMIT

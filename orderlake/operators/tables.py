@@ -21,11 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake.operators.aggregates import union_all
-from orderlake.operators.dedup import dedup_latest
 from orderlake.operators.merge import (
-    fail_on_duplicates,
     has_null_key,
     merge_upsert,
+    one_row_per_key,
     read_changes,
     split_null_keys,
 )
@@ -263,19 +262,15 @@ class VersionedTable:
         commit = self.commit()
         if batch_id is not None and commit and (commit.facts["batches"] or {}).get(writer, -1) >= batch_id:
             return
-        keyed, loose = split_null_keys(source, self.keys)
-        if on_source_duplicates == "latest":
-            keyed = dedup_latest(keyed, self.keys, order_by or [])
-        elif on_source_duplicates == "error" and commit is not None:
-            keyed = fail_on_duplicates(keyed, self.keys)
-        rows = keyed.unionByName(loose) if null_keys == "insert" else keyed
-        if commit is None:
-            self.create(rows, writer, batch_id)
-            return
-
-        buckets = commit.facts["buckets"]  # fixed for the table's life
-        rows = rows.withColumn(BUCKET, self._bucket_of(rows, buckets)).persist()
+        kept: list[DataFrame] = []  # persisted here, released at the end
         try:
+            rows = self._unique(source, on_source_duplicates, order_by, null_keys, commit, kept)
+            if commit is None:
+                self.create(rows, writer, batch_id)
+                return
+            buckets = commit.facts["buckets"]  # fixed for the table's life
+            rows = rows.withColumn(BUCKET, self._bucket_of(rows, buckets)).persist()
+            kept.append(rows)
             touched = {r[0] for r in rows.select(BUCKET).distinct().collect()}
             if not touched:
                 return
@@ -304,7 +299,31 @@ class VersionedTable:
             info = {"operation": "merge", "writer": writer, "batch_id": batch_id}
             self._commit(version, placement, state.schema, buckets, facts, commit, **info)
         finally:
-            rows.unpersist()
+            for df in kept:
+                df.unpersist()
+
+    def _unique(
+        self,
+        source: DataFrame,
+        mode: str,
+        order_by: list[Column] | None,
+        null_keys: str,
+        commit: Commit | None,
+        kept: list[DataFrame],
+    ) -> DataFrame:
+        """The source with one row per complete key; rows with a NULL key all stay or all go."""
+        if mode == "error" and commit is None:
+            mode = "assume_unique"  # a first load takes every row
+        if mode == "assume_unique":
+            return source if null_keys == "insert" else split_null_keys(source, self.keys)[0]
+        if any(source.schema[k].nullable for k in self.keys):
+            source = source.persist()  # read by both branches below
+            kept.append(source)
+            keyed, loose = split_null_keys(source, self.keys)
+        else:
+            keyed, loose = source, None
+        keyed = one_row_per_key(keyed, self.keys, mode, order_by)
+        return keyed if loose is None or null_keys == "quarantine" else keyed.unionByName(loose)
 
 
 # --- table care -------------------------------------------------------------------------

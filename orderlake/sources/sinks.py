@@ -5,25 +5,26 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake.operators.tables import VersionedTable
 
 
+def _batch_writer(df: DataFrame, path: str, batch_id: int | None) -> tuple[DataFrameWriter, str]:
+    """Writer and folder of a batch. A numbered batch is overwritten by its replay, so an
+    at-least-once input does not append it twice; unnumbered rows are simply appended."""
+    if batch_id is None:
+        return df.write.mode("append"), f"{path}/batch=unnumbered"
+    return df.write.mode("overwrite"), f"{path}/batch={batch_id}"
+
+
 def append_table(
     df: DataFrame, path: str, batch_id: int | None = None, partition_by: list[str] | None = None
 ) -> None:
-    """Append rows; the first append creates the table, later ones may bring new columns.
-
-    With a batch id the rows go to a folder of that batch, which a replay overwrites: an
-    at-least-once input does not append the same batch twice.
-    """
-    if batch_id is None:
-        writer, target = df.write.mode("append"), path
-    else:
-        writer, target = df.write.mode("overwrite"), f"{path}/batch={batch_id}"
+    """Append rows; the first append creates the table, later ones may bring new columns."""
+    writer, target = _batch_writer(df, path, batch_id)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(target)
@@ -68,15 +69,13 @@ def write_dead_letters(
     df: DataFrame, path: str, consumer: str, stage: str, batch_id: int | None = None
 ) -> None:
     """Keep rejected bodies as JSON under consumer and stage (and batch, replay-safe)."""
-    target = f"{path}/consumer={consumer}/stage={stage}"
-    if batch_id is None:
-        df.write.mode("append").json(target)
-    else:
-        df.write.mode("overwrite").json(f"{target}/batch={batch_id}")
+    writer, target = _batch_writer(df, f"{path}/consumer={consumer}/stage={stage}", batch_id)
+    writer.json(target)
 
 
 def read_dead_letters(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    return spark.read.schema(schema).json(path)
+    """Rejected bodies of all batches, with their consumer and stage."""
+    return spark.read.schema(schema).json(path).drop("batch")
 
 
 def rewrite_with_type(
