@@ -6,6 +6,8 @@ parsing and flattening must give back. It runs in an ordinary SQL engine on the
 
 from __future__ import annotations
 
+from orderlake.catalog.updates import MAX_LINES
+
 ORDER_CUT = "TIMESTAMP '1998-07-01 00:00:00'"
 EVENT_CUT = "TIMESTAMP '2024-01-20 00:00:00'"
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
@@ -16,7 +18,7 @@ NO_INT = "CAST(NULL AS INTEGER)"
 # One row per event, with every order-level field.
 DOC = f"""
 parts AS (
-  SELECT l_orderkey, CAST(greatest(1, ceil(count(*) / 10000.0)) AS INTEGER) AS parts
+  SELECT l_orderkey, CAST(greatest(1, ceil(count(*) / {MAX_LINES}.0)) AS INTEGER) AS parts
   FROM lineitem GROUP BY l_orderkey
 ),
 placed AS (
@@ -364,6 +366,8 @@ def _files() -> dict[str, str]:
             FROM doc WHERE {kept_body}""",
         "retype_rewrite": "SELECT * FROM orders",
         "stream_ingest_rows": "SELECT * FROM events",
+        "stream_ingest_tables": f"""{_with(DOC, ITEM, _row_s('INTEGER'))} SELECT * FROM row_s
+            WHERE "orderNumber" NOT IN (SELECT "orderNumber" FROM doc WHERE k % 97 IN (0, 1, 2))""",
         "stream_upsert_order": f"{_with(DOC, ORDER_H)} SELECT * FROM order_h",
         "stream_upsert_row": latest_row,
         "stream_restart": f"{_with(DOC, PAY, PAYMENT_H)} SELECT * FROM payment_h",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake import schemas
-from orderlake.catalog.updates import order_updates, table
+from orderlake.catalog.updates import landing_folder, order_updates, table
 from orderlake.functions import (
     business_key_h,
     business_key_s,
@@ -26,7 +26,12 @@ from orderlake.plans.silver import latest_documents, silver_tables, upsert_silve
 from orderlake.session import configure, work_path
 from orderlake.sources import events as sources
 from orderlake.sources import sinks
-from orderlake.streaming.upsert import start_upsert_stream, trigger
+from orderlake.streaming.upsert import (
+    STREAM_TABLES,
+    start_ingest_stream,
+    start_upsert_stream,
+    trigger,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -104,6 +109,20 @@ def last_per_user(spark: SparkSession, sf_dir: str, until: str | None = None) ->
     return dedup_latest(rows, ["user_id", "event_type"], newest_first("ts", "event_id"))
 
 
+def bucket_count(spark: SparkSession, sf_dir: str) -> int:
+    """Buckets of a stored table: one per 256 MB of documents, at least eight."""
+    detail = tables.table_detail(order_updates(spark, sf_dir)).first()
+    return max(8, -(-detail["size_bytes"] // (256 * 1024 * 1024)))
+
+
+def stored_table(
+    spark: SparkSession, sf_dir: str, label: str, keys: list[str], watermark: str | None = None
+) -> tables.VersionedTable:
+    """A fresh stored table in the work folder."""
+    path, buckets = work_path(spark, label), bucket_count(spark, sf_dir)
+    return tables.VersionedTable(spark, path, keys, buckets, watermark)
+
+
 # --- sources and sinks -------------------------------------------------------------------
 @query
 def raw_scan(spark, sf_dir):
@@ -140,14 +159,14 @@ def append_schema_merge(spark, sf_dir):
 
 @query
 def first_load(spark, sf_dir):
-    target = tables.VersionedTable(spark, work_path(spark, "first"), ["row_hashkey"])
+    target = stored_table(spark, sf_dir, "first", ["row_hashkey"])
     sinks.save_or_merge(target, flatten.flatten_row_h(keyed_raw(spark, sf_dir)))
     return target.read()
 
 
 @query
 def fanout_counts(spark, sf_dir):
-    targets = silver_tables(spark, work_path(spark, "fanout"))
+    targets = silver_tables(spark, work_path(spark, "fanout"), bucket_count(spark, sf_dir))
     upsert_silver(order_updates(spark, sf_dir), targets, as_of=clock(), on_source_duplicates="error")
     return aggregates.table_counts({name: t.read() for name, t in targets.items()})
 
@@ -355,7 +374,8 @@ def _register_per_warehouse_table() -> None:
     def refreshed(name: str) -> Query:
         def run(spark, sf_dir):
             stream = stream_table(spark, sf_dir, name)
-            stored = warehouse.warehouse_tables(spark, work_path(spark, "warehouse"))[name]
+            root, buckets = work_path(spark, "warehouse"), bucket_count(spark, sf_dir)
+            stored = warehouse.warehouse_tables(spark, root, buckets)[name]
             stored.create(warehouse.latest(first_versions(stream), name))
             warehouse.warehouse_refresh({name: stream}, {name: stored})
             return stored.read()
@@ -449,7 +469,7 @@ def change_feed(spark, sf_dir):
 def table_changes(spark, sf_dir):
     """Change feed of a stored table: created, then merged once."""
     keys = ["user_id", "event_type"]
-    stored = tables.VersionedTable(spark, work_path(spark, "changes"), keys)
+    stored = stored_table(spark, sf_dir, "changes", keys)
     stored.create(last_per_user(spark, sf_dir, EVENT_CUT))
     stored.merge(last_per_user(spark, sf_dir), "t.ts < s.ts", "assume_unique")
     return stored.changes(starting_version=2)
@@ -534,26 +554,34 @@ def stream_ingest_rows(spark, sf_dir):
     return spark.read.schema(events.schema).parquet(f"{root}/out")
 
 
-def _landing(spark: SparkSession, sf_dir: str) -> str:
-    """Folder in which the updates have arrived as several files."""
-    return order_updates(spark, sf_dir).inputFiles()[0].rpartition("/")[0]
-
-
 def _run_silver_stream(spark: SparkSession, sf_dir: str, name: str, runs: int = 1) -> DataFrame:
     root = work_path(spark, "stream")
     for _ in range(runs):
         start_upsert_stream(
             spark,
-            _landing(spark, sf_dir),
+            landing_folder(spark, sf_dir),
             f"{root}/silver",
             f"{root}/checkpoint",
             max_files_per_trigger=4,
             as_of=clock(),
+            buckets=bucket_count(spark, sf_dir),
             names=[name],
         ).awaitTermination()
     return silver_tables(spark, f"{root}/silver")[name].read()
 
 
+@query
+def stream_ingest_tables(spark, sf_dir):
+    """Event bodies, some of them damaged, through the ingest stream into the row table."""
+    root = work_path(spark, "bodies")
+    bodies = damaged(spark, sf_dir).withColumn("SequenceNumber", F.col("Offset").cast("decimal(20,0)"))
+    bodies.write.parquet(f"{root}/in")
+    start_ingest_stream(
+        spark, f"{root}/in", root, f"{root}/checkpoint", max_files_per_trigger=4, as_of=clock()
+    ).awaitTermination()
+    return sinks.read_appended(spark, f"{root}/{STREAM_TABLES['row'][1]}")
+
+
 @query
 def stream_upsert_order(spark, sf_dir):
     return _run_silver_stream(spark, sf_dir, "order")
@@ -602,7 +630,7 @@ def late_event_applied(spark, sf_dir):
 def replay_idempotent(spark, sf_dir):
     """The same source merged twice into a stored table gives the state after one merge."""
     keys = ["user_id", "event_type"]
-    stored = tables.VersionedTable(spark, work_path(spark, "replay"), keys)
+    stored = stored_table(spark, sf_dir, "replay", keys)
     stored.create(last_per_user(spark, sf_dir, EVENT_CUT))
     for _ in range(2):
         stored.merge(last_per_user(spark, sf_dir), "t.ts < s.ts", "assume_unique")
@@ -655,7 +683,7 @@ def table_detail(spark, sf_dir):
 @query
 def history(spark, sf_dir):
     keys = ["user_id", "event_type"]
-    stored = tables.VersionedTable(spark, work_path(spark, "history"), keys, 8, "ts")
+    stored = stored_table(spark, sf_dir, "history", keys, "ts")
     stored.create(last_per_user(spark, sf_dir, EVENT_CUT))
     stored.merge(last_per_user(spark, sf_dir), "t.ts < s.ts", "assume_unique")
     return stored.history().select("version", "operation", "rows_written", "watermark")

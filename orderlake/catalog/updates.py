@@ -222,11 +222,16 @@ def build_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents, staged once per application and input folder."""
+def landing_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Folder in which the documents lie as files, written on first use."""
     place = (spark.conf.get("spark.app.id", ""), sf_dir)
     if place not in _staged:
         path = work_path(spark, "updates")
         build_updates(spark, sf_dir).write.parquet(path)
         _staged[place] = path
-    return spark.read.parquet(_staged[place])
+    return _staged[place]
+
+
+def order_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, staged once per application and input folder."""
+    return spark.read.parquet(landing_folder(spark, sf_dir))

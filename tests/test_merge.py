@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from orderlake.operators.dedup import dedup_latest, newest_first
 from orderlake.operators.merge import (
     delete_where,
+    fail_on_duplicates,
     measured_bytes,
     merge_upsert,
     read_changes,
@@ -89,6 +90,12 @@ def test_duplicate_source_keys(spark):
         merge_upsert(target, source, ["k"], on_source_duplicates="latest")
 
 
+def test_the_duplicate_check_sends_two_rows_per_key_and_task_to_the_shuffle(spark):
+    lines = plan(fail_on_duplicates(frame(spark, [("a", T1, "x")]), ["k"])).splitlines()
+    exchange = next(i for i, line in enumerate(lines) if "Exchange" in line)
+    assert any("row_number(), 2, Partial" in line for line in lines[exchange:])
+
+
 def test_columns_may_differ_and_types_follow_the_target(spark):
     target = spark.createDataFrame([("a", 1, "only target")], "k STRING, n BIGINT, t STRING")
     source = spark.createDataFrame([("a", 2, "only source"), ("b", 3, "x")], "k STRING, n INT, s STRING")

@@ -1,9 +1,12 @@
 """Every registered query against its SQL, on the smallest tables."""
 
+import os
+
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from orderlake.catalog import updates
 
 SQL = entry.oracle_sql()
 
@@ -34,5 +37,17 @@ def test_query(spark, sf_dir, sql_tables, name):
     assert canonical(df.columns, [tuple(r) for r in df.collect()]) == canonical(columns, cursor.fetchall())
 
 
+@pytest.mark.parametrize("name", ["flatten_row_s", "flatten_order_s", "flatten_bucket_h", "dedup_latest_row_s", "ndjson_scan"])
+def test_large_orders_are_split_without_losing_rows(spark, sf_dir, sql_tables, monkeypatch, tmp_path, name):
+    monkeypatch.setattr(updates, "MAX_LINES", 3)
+    os.symlink(sf_dir, tmp_path / "sf")  # a folder of its own, so that documents are built anew
+    df = entry.queries()[name](spark, str(tmp_path / "sf"))
+    cursor = sql_tables.execute(SQL[name].replace("10000.0", "3.0"))
+    columns = [d[0] for d in cursor.description]
+    got = df.collect()
+    assert canonical(df.columns, [tuple(r) for r in got]) == canonical(columns, cursor.fetchall())
+    assert any("-" in r.orderNumber for r in got)
+
+
 def test_entry(spark, sf_dir):
     assert entry.entry(spark).count() > 0
