@@ -15,6 +15,7 @@ from orderlake import schemas
 from orderlake.operators.flatten import flatten_order_s, flatten_payment_s, flatten_row_s
 from orderlake.operators.quality import parse_checked, split_valid
 from orderlake.plans.silver import silver_tables, upsert_silver
+from orderlake.session import configure
 from orderlake.sources.events import read_events
 from orderlake.sources.sinks import append_table, fan_out, write_dead_letters
 
@@ -39,7 +40,17 @@ def start_batches(
     checkpoint: str,
     interval: str | None = None,
 ) -> StreamingQuery:
-    writer = events.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", checkpoint)
+    """Run `upsert_batch(batch, batch_id)` on every micro-batch.
+
+    A stream plans its batches with adaptive execution off. The upserts inside a batch are
+    ordinary queries, so the engine's settings are put back for them.
+    """
+
+    def configured(batch: DataFrame, batch_id: int) -> None:
+        configure(batch.sparkSession)
+        upsert_batch(batch, batch_id)
+
+    writer = events.writeStream.foreachBatch(configured).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger(interval)).start()
 
 

@@ -88,6 +88,20 @@ def test_files_per_batch_are_limited(spark, tmp_path):
     assert stored.versions() == [1, 2, 3] and stored.read().count() == 3
 
 
+def test_batches_are_planned_adaptively(spark, tmp_path):
+    source, seen = str(tmp_path / "in"), []
+    land_raw(spark, source, [document(1, "new")])
+    stream = spark.readStream.schema(schemas.RAW_H).parquet(source)
+    run(
+        upsert.start_batches(
+            stream,
+            lambda batch, _: seen.append(batch.sparkSession.conf.get("spark.sql.adaptive.enabled")),
+            str(tmp_path / "cp"),
+        )
+    )
+    assert seen == ["true"]
+
+
 def test_replayed_batch_repairs_only_what_is_missing(spark, tmp_path):
     source = str(tmp_path / "in")
     land_raw(spark, source, [document(1, "new")])
