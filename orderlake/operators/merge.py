@@ -107,13 +107,13 @@ def merge_upsert(
                           "quarantine" leaves them out (see `split_null_keys`).
     keys_not_null         promise that no key is NULL on either side; saves the side branch,
                           for which a side with nullable keys is read a second time.
-    strategy              "shuffle": one full outer join. "broadcast": the target is not
-                          shuffled, the source goes to every executor. "auto": measures the
-                          (staged) source and broadcasts it only below BROADCAST_LIMIT.
+    strategy              "shuffle": one full outer join. "auto": measures the (staged) source;
+                          below BROADCAST_LIMIT it goes to every executor and the target is
+                          not shuffled, else as "shuffle".
     """
     if null_keys not in ("insert", "quarantine"):
         raise ValueError(f"unknown null_keys: {null_keys}")
-    if strategy not in ("shuffle", "broadcast", "auto"):
+    if strategy not in ("shuffle", "auto"):
         raise ValueError(f"unknown strategy: {strategy}")
     condition = F.lit(True) if guard is None else F.expr(guard) if isinstance(guard, str) else guard
 
@@ -133,10 +133,8 @@ def merge_upsert(
             extra.append(source.filter(has_null_key(keys)))
     keyed_source = one_row_per_key(keyed_source, keys, on_source_duplicates, order_by)
 
-    if strategy == "auto":
-        small = measured_bytes(keyed_source) < BROADCAST_LIMIT
-        strategy = "broadcast" if small else "shuffle"
-    if strategy == "shuffle":
+    small = strategy == "auto" and measured_bytes(keyed_source) < BROADCAST_LIMIT
+    if not small:
         state = _next_state(keyed_target, keyed_source, keys, condition, "full_outer")
     else:
         # Matched keys are a subset of the small source, so both joins below broadcast a

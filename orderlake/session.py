@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 # Runtime settings applied to every session the engine works in.
 #  * UTC: naive and zoned event times must agree, and local time must be shifted once only.
 #  * AQE with skew handling: partition counts follow the data, hot join partitions are split.
+#  * canChangeCachedPlanOutputPartitioning: the same for batches kept in memory.
 #  * requireAllClusterKeysForCoPartition=false: a merge whose sides are both already
 #    partitioned by bucket may join on (bucket, key) without another exchange.
 RUNTIME_CONF = {
@@ -17,6 +18,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 

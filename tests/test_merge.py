@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from orderlake.operators import merge
 from orderlake.operators.dedup import dedup_latest, newest_first
 from orderlake.operators.merge import (
     delete_where,
@@ -51,7 +52,7 @@ def test_update_all_overwrites_with_nulls_and_ignores_time(spark):
     ]
 
 
-@pytest.mark.parametrize("strategy", ["shuffle", "broadcast", "auto"])
+@pytest.mark.parametrize("strategy", ["shuffle", "auto"])
 def test_guard_is_three_valued(spark, strategy):
     target = frame(
         spark, [("older", T1, "t"), ("equal", T2, "t"), ("newer", T3, "t"), ("null_t", None, "t"), ("null_s", T1, "t"), ("alone", T1, "t")]
@@ -65,7 +66,7 @@ def test_guard_is_three_valued(spark, strategy):
     ]
 
 
-@pytest.mark.parametrize("strategy", ["shuffle", "broadcast"])
+@pytest.mark.parametrize("strategy", ["shuffle", "auto"])
 def test_null_keys(spark, strategy):
     target = frame(spark, [(None, T1, "t"), ("a", T1, "t")])
     source = frame(spark, [(None, T2, "s"), (None, T2, "s"), ("a", T2, "s")])
@@ -131,10 +132,18 @@ def test_broadcast_merge_does_not_shuffle_the_target(spark, tmp_path):
     frame(spark, [("a", T1, "t")]).write.parquet(str(tmp_path / "t"))
     target = spark.read.parquet(str(tmp_path / "t"))
     source = frame(spark, [("a", T2, "s")])
-    merged = merge_upsert(target, source, ["k"], NEWER, "assume_unique", keys_not_null=True, strategy="broadcast")
+    merged = merge_upsert(target, source, ["k"], NEWER, "assume_unique", keys_not_null=True, strategy="auto")
     assert "Exchange hashpartitioning" not in plan(merged).split("LeftAnti")[0]
 
 
+def test_a_source_above_the_limit_is_not_broadcast(spark, tmp_path, monkeypatch):
+    frame(spark, [("a", T1, "t")]).write.parquet(str(tmp_path / "t"))
+    target = spark.read.parquet(str(tmp_path / "t"))
+    monkeypatch.setattr(merge, "BROADCAST_LIMIT", 10)
+    merged = merge_upsert(target, frame(spark, [("a", T2, "s")]), ["k"], NEWER, strategy="auto")
+    assert "BroadcastExchange" not in plan(merged) and rows(merged) == [("a", T2, "s")]
+
+
 def test_measured_bytes_grow_with_the_rows(spark):
     one = measured_bytes(frame(spark, [("a", T1, "x" * 100)]))
     many = measured_bytes(frame(spark, [("a", T1, "x" * 100)] * 10))
