@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlake.llm.common import documents
+from orderlake.llm.license_scan import license_matches
+from orderlake.llm.merkle import fingerprints
 from orderlake.llm.minhash import near_duplicates
 from orderlake.llm.mixing import mix
 from orderlake.llm.packing import pack
+from orderlake.llm.permutation_index import neighbours
 from orderlake.llm.secret_scan import secret_report
+from orderlake.llm.suffix_dedup import without_repeats
 from orderlake.llm.tokens import token_counts
 from orderlake.llm.toxicity import toxicity_report
 
@@ -33,6 +37,26 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
 
 
+@query
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_matches(documents(spark, sf_dir))
+
+
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(documents(spark, sf_dir))
+
+
+@query
+def op5_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(documents(spark, sf_dir))
+
+
+@query
+def op6_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 @query
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir))
@@ -53,6 +77,31 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+ORACLES["op5_merkle_fingerprints"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+o AS (
+  SELECT doc_id, text, length(text) AS n, length(text) // 3 AS k,
+         coalesce(lead(text) OVER (ORDER BY doc_id DESC), first_value(text) OVER (ORDER BY doc_id DESC)) AS nt
+  FROM d),
+e AS (SELECT *, left(text, n - k) || left(nt, k) AS edited FROM o),
+g AS (
+  SELECT doc_id, n, edited,
+         list_transform(regexp_extract_all(text, '[^\n.!?]{0,95}[.!?\n]+|[^\n.!?]{1,96}'), lambda x: left(md5(x), 8)) AS own,
+         list_transform(regexp_extract_all(edited, '[^\n.!?]{0,95}[.!?\n]+|[^\n.!?]{1,96}'), lambda x: left(md5(x), 8)) AS other,
+         list_transform(regexp_extract_all(nt, '[^\n.!?]{0,95}[.!?\n]+|[^\n.!?]{1,96}'), lambda x: left(md5(x), 8)) AS nxt
+  FROM e),
+f AS (
+  SELECT *, array_to_string(own, '') AS own_s, array_to_string(other, '') AS other_s FROM g)
+SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256,
+  md5(array_to_string(list_transform(regexp_extract_all(own_s, '(?:[2-9a-f][0-9a-f]{7})*[01][0-9a-f]{7}|(?:[2-9a-f][0-9a-f]{7})+'), lambda x: md5(x)), '')) || ':' || own_s AS fingerprint,
+  md5(array_to_string(list_transform(regexp_extract_all(other_s, '(?:[2-9a-f][0-9a-f]{7})*[01][0-9a-f]{7}|(?:[2-9a-f][0-9a-f]{7})+'), lambda x: md5(x)), '')) || ':' || other_s AS edited_fingerprint,
+  CASE WHEN len(list_distinct(own)) + len(list_distinct(other)) = 0 THEN 1.0::DOUBLE
+       ELSE 2 * len(list_intersect(own, other))::DOUBLE / (len(list_distinct(own)) + len(list_distinct(other))) END AS near_edited,
+  CASE WHEN len(list_distinct(own)) + len(list_distinct(nxt)) = 0 THEN 1.0::DOUBLE
+       ELSE 2 * len(list_intersect(own, nxt))::DOUBLE / (len(list_distinct(own)) + len(list_distinct(nxt))) END AS near_next
+FROM f
+"""
+
 # Matches are found by splitting a text at them, as positions are not returned by the functions.
 ORACLES["op9_secret_scan"] = r"""
 WITH rule(kind, k, pat, grp, least) AS (VALUES
