@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.llm.tokens import by_bytes
+from orderlake.llm.words import Words
 
 GRAM, WINDOW = 3, 2
 BAND = 12  # words by which an alignment may leave its diagonals
@@ -102,10 +103,10 @@ class TemplateIndex:
 
     def __init__(self, templates: dict[str, str]):
         self.names = list(templates)
-        self.numbers: dict[str, int] = {}
-        self.words = [
-            [self.numbers.setdefault(w, len(self.numbers) + 1) for w in words_of(t)] for t in templates.values()
-        ]
+        self.hasher = Words(underscore=False)
+        hashes = [self.hasher.of(t)[2] for t in templates.values()]
+        self.vocabulary = np.unique(np.concatenate(hashes))
+        self.words = [self.numbers(h).tolist() for h in hashes]
         self.places: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for t, words in enumerate(self.words):
             runs = self.runs(np.array(words, np.int64))
@@ -117,12 +118,17 @@ class TemplateIndex:
                 self.places[int(runs[i])].append((t, i))
         self.known = np.array(sorted(self.places), np.int64)
 
+    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers from 1 of words that are in a template, 0 for others."""
+        at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
+        return np.where(self.vocabulary[at] == hashes, at + 1, 0).astype(np.int64)
+
     def runs(self, numbers: np.ndarray) -> np.ndarray:
         """One number for every run of `GRAM` words; 0 where a word is in no template."""
         n = len(numbers) - GRAM + 1
         if n < 1:
             return np.zeros(0, np.int64)
-        base, out, none = len(self.numbers) + 1, np.zeros(n, np.int64), np.zeros(n, bool)
+        base, out, none = len(self.vocabulary) + 1, np.zeros(n, np.int64), np.zeros(n, bool)
         for i in range(GRAM):
             out = out * base + numbers[i : i + n]
             none |= numbers[i : i + n] == 0
@@ -130,9 +136,8 @@ class TemplateIndex:
         return out
 
     def scan(self, text: str) -> list[Match]:
-        lowered = text.lower()
-        found = _WORD.findall(lowered)
-        numbers = np.fromiter((self.numbers.get(w, 0) for w in found), np.int64, len(found))
+        starts, ends, hashes, _ = self.hasher.of(text)
+        numbers = self.numbers(hashes)
         runs = self.runs(numbers)
         hits = np.flatnonzero(np.isin(runs, self.known))
         if not len(hits):
@@ -145,10 +150,9 @@ class TemplateIndex:
         for template, points in seeds.items():
             for low, high in regions(points, len(self.words[template])):
                 aligned += self._align(template, numbers, low, high)
-        if len(lowered) != len(text):  # a letter whose lower case has another length moves the rest
+        spans = list(zip(starts.tolist(), ends.tolist()))
+        if len(text.lower()) != len(text):  # a letter whose lower case has another length moves the rest
             spans = word_spans(text)
-        else:
-            spans = [m.span() for m in _WORD.finditer(lowered)]
         matches = [
             Match(self.names[t], n, len(self.words[t]), spans[a][0], spans[b][1]) for t, n, a, b in aligned
         ]

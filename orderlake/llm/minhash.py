@@ -11,7 +11,7 @@ unit weights, where a point lowers the signature component it is assigned to. Po
 order of time, so whatever lies beyond a text's largest component is never made. Components
 of two texts agree with probability equal to their weighted Jaccard similarity.
 
-Links. 32 bands of 5 components miss a pair at 0.8 with probability (1 - 0.8^5)^32 < 4e-6.
+Links. 28 bands of 5 components miss a pair at 0.8 with probability (1 - 0.8^5)^28 < 2e-5.
 Within a bucket, texts are compared with one hub first; verified links are joined to classes,
 and texts of the bucket that are still in different classes are compared again, with other
 hubs, for some rounds, and at last one by one. So pairs inside a class are never listed, and no
@@ -24,37 +24,22 @@ each in a class of its own. `class_id` is the smallest id in the class (NULL if
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.llm.common import sent_if_small, stored, text_key
 from orderlake.llm.tokens import by_bytes
+from orderlake.llm.words import GOLDEN, Words, mixed
 
 WORDS = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 32, 5
-HUB_ROUNDS = 3
-_WORD = re.compile(r"\w+")
-_BATCH_SHINGLES = 200_000
-_REMEMBERED_WORDS = 300_000
-
-_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A well-spread 64-bit hash of 64-bit numbers (the finalizer of splitmix64)."""
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
+BANDS, ROWS = 28, 5
+HUB_ROUNDS = 1
+_BATCH_WORK, _TEXT_WORK = 600_000, 250  # shingles signed together; a text counts as so many more
 
 def gaps(seeds: np.ndarray) -> np.ndarray:
     """Exponential numbers with mean 1, one for each seed."""
@@ -62,26 +47,21 @@ def gaps(seeds: np.ndarray) -> np.ndarray:
 
 
 class Shingler:
-    """Multisets of shingle hashes. Hashes of words are remembered, up to a bound."""
+    """Multisets of hashes of word runs."""
 
     def __init__(self, words: int = WORDS):
-        self.words, self.known = words, {}
+        self.words, self.hasher = words, Words()
 
     def hashes(self, text: str) -> np.ndarray:
-        found = _WORD.findall(text.lower())
-        if len(self.known) > _REMEMBERED_WORDS:
-            self.known.clear()
-        for w in set(found):
-            if w not in self.known:
-                self.known[w] = xxhash.xxh64_intdigest(w)
-        ids = np.fromiter(map(self.known.__getitem__, found), np.uint64, len(found))
+        ids = self.hasher.of(text)[2]
         n = min(self.words, len(ids))
         if not n:
             return ids
         out = np.zeros(len(ids) - n + 1, np.uint64)
         for i in range(n):
-            out = mixed(out * _GOLDEN + ids[i : len(ids) - n + 1 + i])
-        return out
+            out *= GOLDEN
+            out += ids[i : len(ids) - n + 1 + i]
+        return mixed(out)
 
     def multiset(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Distinct shingles in ascending order and how often each occurs."""
@@ -105,7 +85,7 @@ def bag_signatures(bags: list[tuple[np.ndarray, np.ndarray]], size: int) -> np.n
 
     def start(pick: np.ndarray, low: int, high: int) -> tuple[np.ndarray, ...]:
         n = len(pick)
-        band = np.full(n, low, np.uint64) * _GOLDEN + np.uint64(high)
+        band = np.full(n, low, np.uint64) * GOLDEN + np.uint64(high)
         seed = mixed(element[pick] ^ mixed(band))
         at = gaps(seed) / (high - low)
         return owner[pick], element[pick], weight[pick], np.full(n, low), np.full(n, high), seed, at
@@ -117,12 +97,12 @@ def bag_signatures(bags: list[tuple[np.ndarray, np.ndarray]], size: int) -> np.n
     if not bands:
         return signature
     own, el, w, lo, hi, seed, at = (np.concatenate(c) for c in zip(*bands))
-    flat, limit = signature.reshape(-1), np.full(len(bags), np.inf)
+    flat, limit, turn = signature.reshape(-1), np.full(len(bags), np.inf), 0
     while len(own):
         unit = hi - lo == 1
         # Points of unit processes lower a component; the process goes on to its next point.
         o, s = own[unit], seed[unit]
-        component = (mixed(s + _GOLDEN) % np.uint64(size)).astype(np.int64)
+        component = (mixed(s + GOLDEN) % np.uint64(size)).astype(np.int64)
         np.minimum.at(flat, o * size + component, at[unit])
         seed[unit] = mixed(s + np.uint64(1))
         at[unit] += gaps(seed[unit])
@@ -130,11 +110,11 @@ def bag_signatures(bags: list[tuple[np.ndarray, np.ndarray]], size: int) -> np.n
         wide = np.flatnonzero(~unit)
         if len(wide):
             mid = (lo[wide] + hi[wide]) // 2
-            right = (mixed(seed[wide] + _GOLDEN) & np.uint64(1)).astype(bool)
+            right = (mixed(seed[wide] + GOLDEN) & np.uint64(1)).astype(bool)
             halves = []
             for is_right in (False, True):
                 l2, h2 = (mid, hi[wide]) if is_right else (lo[wide], mid)
-                s2 = mixed(seed[wide] ^ mixed(l2.astype(np.uint64) * _GOLDEN + h2.astype(np.uint64)))
+                s2 = mixed(seed[wide] ^ mixed(l2.astype(np.uint64) * GOLDEN + h2.astype(np.uint64)))
                 later = at[wide] + gaps(s2) / (h2 - l2)
                 t2 = np.where(right == is_right, at[wide], later)
                 seen = l2 < w[wide]
@@ -143,8 +123,10 @@ def bag_signatures(bags: list[tuple[np.ndarray, np.ndarray]], size: int) -> np.n
             own, el, w, lo, hi, seed, at = (
                 np.concatenate([c[unit], x, y]) for c, x, y in zip(old, *halves)
             )
-        live = np.unique(own)
-        limit[live] = signature[live].max(axis=1)
+        turn += 1
+        if turn % 4 == 1:  # an older limit is only wider
+            live = np.unique(own)
+            limit[live] = signature[live].max(axis=1)
         keep = at <= limit[own]
         own, el, w, lo, hi, seed, at = (c[keep] for c in (own, el, w, lo, hi, seed, at))
     return signature
@@ -155,7 +137,7 @@ def band_hashes(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     bits = np.ascontiguousarray(signature[:, : bands * rows]).view(np.uint64).reshape(-1, bands, rows)
     out = np.broadcast_to(mixed(np.arange(1, bands + 1, dtype=np.uint64)), bits.shape[:2]).copy()
     for i in range(rows):
-        out = mixed(out * _GOLDEN + bits[:, :, i])
+        out = mixed(out * GOLDEN + bits[:, :, i])
     return out.view(np.int64)
 
 
@@ -181,8 +163,8 @@ def signatures(keyed: DataFrame, words: int, bands: int, rows: int) -> DataFrame
                     if len(bag[0]):
                         keys.append(key)
                         bags.append(bag)
-                        n += len(bag[0])
-                    if n > _BATCH_SHINGLES:
+                        n += len(bag[0]) + _TEXT_WORK
+                    if n > _BATCH_WORK:
                         yield out()
                         keys, bags, n = [], [], 0
         if keys:
@@ -194,40 +176,41 @@ def signatures(keyed: DataFrame, words: int, bands: int, rows: int) -> DataFrame
     return signed.dropDuplicates(["key"])
 
 
-def verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Those of the pairs `(a, b)` of keys whose texts are at least that similar."""
+def compared(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs `(a, b)` of keys and whether their texts are at least that similar (`linked`)."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, hub, hub_bag = Shingler(words), None, None
         for batch in batches:
             for part in by_bytes(batch, "text_b"):
-                keep = []
+                linked = []
                 columns = (part.column(c).to_pylist() for c in ("a", "text_a", "text_b"))
                 for a, text_a, text_b in zip(*columns):
                     if a != hub:
                         hub, hub_bag = a, shingler.multiset(text_a)
-                    keep.append(weighted_jaccard(hub_bag, shingler.multiset(text_b)) >= similarity)
-                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                    linked.append(weighted_jaccard(hub_bag, shingler.multiset(text_b)) >= similarity)
+                columns = [part.column("a"), part.column("b"), pa.array(linked, pa.bool_())]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "linked"])
 
     with_texts = (
         pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
         .join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
         .select("a", "b", "text_a", "text_b")
     )
-    return with_texts.mapInArrow(check, "a binary, b binary")
+    return with_texts.mapInArrow(check, "a binary, b binary, linked boolean")
 
 
-def connected(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """`key`, `label` of every node: the smallest key in its connected part.
+def connected(edges: DataFrame) -> DataFrame:
+    """`key`, `label` of every end of the edges `(a, b)`: the smallest key in its connected part.
 
-    Labels spread along links and along labels (a label takes the label of its own node), so
-    the number of rounds grows with the logarithm of a part's length.
+    Labels spread along edges, and between a key and its label in both directions, so the number
+    of rounds grows with the logarithm of a part's length.
     """
-    links = stored(
-        edges.select("a", "b").union(edges.select("b", "a")).toDF("key", "other").distinct(), "links"
-    )
-    labels = stored(nodes.select("key", F.col("key").alias("label")), "labels")
+    both = edges.select("a", "b").union(edges.select("b", "a")).toDF("key", "other")
+    labels = stored(both.groupBy("key").agg(F.least(F.col("key"), F.min("other")).alias("label")), "labels")
     while True:
+        shortcut = labels.where("label <> key")
+        links = both.union(shortcut.select("key", "label")).union(shortcut.select("label", "key"))
         near = links.join(labels.withColumnRenamed("key", "other"), "other").groupBy("key").agg(
             F.min("label").alias("near")
         )
@@ -235,15 +218,8 @@ def connected(edges: DataFrame, nodes: DataFrame) -> DataFrame:
             "key", F.col("label").alias("was"), F.least("label", "near").alias("label")
         )
         spread = stored(spread, "labels")
-        jump = spread.select(F.col("key").alias("label"), F.col("label").alias("further"))
-        new = stored(
-            spread.join(jump, "label", "left").select(
-                "key", "was", F.coalesce("further", "label").alias("label")
-            ),
-            "labels",
-        )
-        labels = new.select("key", "label")
-        if new.where("label <> was").isEmpty():
+        labels = spread.select("key", "label")
+        if spread.where("label <> was").isEmpty():
             return labels
 
 
@@ -255,58 +231,48 @@ def classes(
     rows: int = ROWS,
     hub_rounds: int = HUB_ROUNDS,
 ) -> DataFrame:
-    """`key`, `label` of the distinct texts that share a bucket with another one.
+    """`key`, `label` of the distinct texts that are linked with another one.
 
     `keyed` has columns `key` (content address) and `text`; texts without a key take no part.
     """
     signed = stored(signatures(keyed, words, bands, rows), "signatures")
     posted = signed.select("key", "n_shingles", F.explode("bands").alias("bucket"))
-    shared = posted.groupBy("bucket").agg(F.count("*").alias("n"), F.min("key").alias("hub"))
-    shared = stored(shared.where("n > 1").select("bucket", "hub"), "buckets")
+    shared = posted.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct("key", "n_shingles")).alias("hub"))
     # Only buckets of two or more distinct texts go on: few beside all the postings.
+    shared = stored(shared.where("n > 1").select("bucket", "hub"), "buckets")
     members = stored(posted.join(sent_if_small(shared), "bucket"), "members")
     nodes = stored(members.select("key").distinct(), "nodes")
     texts = keyed.join(sent_if_small(nodes), "key", "left_semi").select("key", "text")
     texts = stored(texts.dropDuplicates(["key"]), "texts")
-    size = members.select(F.col("key").alias("hub"), F.col("n_shingles").alias("hub_size")).distinct()
-
-    def similar_sizes(low: str, high: str):
-        return F.least(low, high) >= similarity * F.greatest(low, high) - 1e-9
-
-    tried = stored(
-        members.where("key <> hub")
-        .select("hub", "key", "n_shingles").distinct()
-        .join(size, "hub")
-        .where(similar_sizes("n_shingles", "hub_size"))
-        .select(F.col("hub").alias("a"), F.col("key").alias("b")),
-        "pairs",
-    )
-    edges = stored(verified(tried, texts, words, similarity), "edges")
-    labels = connected(edges, nodes)
+
+    def similar_sizes(x: str, y: str):
+        return F.least(x, y) >= similarity * F.greatest(x, y) - 1e-9
+
+    pairs = members.where(F.col("key") != F.col("hub.key")).where(similar_sizes("n_shingles", "hub.n_shingles"))
+    pairs = pairs.select(F.col("hub.key").alias("a"), F.col("key").alias("b")).distinct()
+    tried = stored(compared(pairs, texts, words, similarity), "compared")
+    labels = connected(tried.where("linked"))
     for turn in range(1, hub_rounds + 2):
         open_ = _open_buckets(members, labels)
-        if open_.isEmpty():
-            break
         pairs = _hub_pairs(open_, turn) if turn <= hub_rounds else _all_pairs(open_)
         pairs = pairs.where(similar_sizes("n_a", "n_b")).select("a", "b").distinct()
-        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried = tried.union(pairs)
-        found = stored(verified(pairs, texts, words, similarity), "edges")
-        if not found.isEmpty():
-            edges = edges.union(found)
-            labels = connected(edges, nodes)
+        pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+        more = stored(compared(pairs, texts, words, similarity), "compared")
+        if more.isEmpty() and turn > hub_rounds:
+            break
+        tried = tried.union(more)
+        if not more.where("linked").isEmpty():
+            labels = connected(tried.where("linked"))
     return labels
 
 
 def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of the buckets that hold texts of more than one class, with their labels."""
-    labelled = members.join(labels, "key")
+    label = F.coalesce("label", "key").alias("label")
+    labelled = members.join(sent_if_small(labels), "key", "left").select("bucket", "key", label, "n_shingles")
+    labelled = stored(labelled, "labelled")
     open_ = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    return stored(
-        labelled.join(open_.where("low <> high").select("bucket"), "bucket")
-        .select("bucket", "key", "label", "n_shingles"),
-        "open",
-    )
+    return labelled.join(open_.where("low <> high").select("bucket"), "bucket")
 
 
 def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -78,9 +78,9 @@ def ordered(rows: DataFrame, centers: np.ndarray) -> DataFrame:
 
 def nearest_in_block(queries: pa.Table, posted: pa.Table, width: int, n_pivots: int, looked_up: int, k: int) -> pa.Table:
     """The `k` nearest of a block of postings for each query of a block."""
-    q_id, v_id = queries.column("vec_id").to_numpy(), posted.column("vec_id").to_numpy()
-    qv, vv = matrix(queries.column("v"), width), matrix(posted.column("v"), width)
-    q_places, v_places = (matrix(t.column("places"), n_pivots) for t in (queries, posted))
+    q_id, v_id = queries.column("query_id").to_numpy(), posted.column("vec_id").to_numpy()
+    qv, vv = matrix(queries.column("query_v"), width), matrix(posted.column("v"), width)
+    q_places, v_places = matrix(queries.column("query_places"), n_pivots), matrix(posted.column("places"), n_pivots)
     files, nth = matrix(posted.column("files"), min(POSTED, n_pivots)), posted.column("nth").to_numpy()
     v_norm = np.sqrt((vv * vv).sum(axis=1))
     out: tuple[list, list, list] = ([], [], [])
@@ -125,24 +125,27 @@ def neighbours(
     files = F.slice("nearest", 1, min(POSTED, n))
     posted = indexed.select("vec_id", "v", "places", files.alias("files"), F.posexplode(files).alias("nth", "pivot"))
     asking = indexed.where(F.col("vec_id") % every == 0).select(
-        "vec_id", "v", "places", F.explode(F.slice("nearest", 1, min(looked_up, n))).alias("pivot")
-    )
+        F.col("vec_id").alias("query_id"), F.col("v").alias("query_v"), F.col("places").alias("query_places"),
+        F.explode(F.slice("nearest", 1, min(looked_up, n))).alias("pivot"),
+    )
     # How many blocks each file and its queries make: a row for each pivot.
     blocks = lambda df, size: df.groupBy("pivot").agg(F.ceil(F.count("*") / size).cast("int").alias("n"))
     sizes = blocks(posted, BLOCK_VECTORS).withColumnRenamed("n", "n_v").join(
         blocks(asking, BLOCK_QUERIES).withColumnRenamed("n", "n_q"), "pivot"
     )
     sizes = F.broadcast(stored(sizes, "sizes"))
-    spread = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
+    spread = lambda of, n: F.pmod(F.xxhash64(of), F.col(n)).cast("int")
     every_block = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = asking.join(sizes, "pivot").select(
-        "pivot", "vec_id", "v", "places", spread("n_q").alias("qb"), every_block("n_v").alias("vb")
+        F.col("pivot").alias("query_pivot"), "query_id", "query_v", "query_places",
+        spread("query_id", "n_q").alias("query_qb"), every_block("n_v").alias("query_vb"),
     )
     right = posted.join(sizes, "pivot").select(
-        "pivot", "vec_id", "v", "places", "files", "nth", spread("n_v").alias("vb"), every_block("n_q").alias("qb")
-    )
+        "pivot", "vec_id", "v", "places", "files", "nth",
+        spread("vec_id", "n_v").alias("vb"), every_block("n_q").alias("qb"),
+    )
     key = ("pivot", "vb", "qb")
-    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(
+    found = left.groupBy(*(f"query_{k}" for k in key)).cogroup(right.groupBy(*key)).applyInArrow(
         lambda a, b: nearest_in_block(a, b, width, n, looked_up, k), result
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

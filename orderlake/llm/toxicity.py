@@ -20,49 +20,39 @@ and nothing is rejected. Other columns are not read. An empty table gives an emp
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.llm.tokens import by_bytes
+from orderlake.llm.words import Words
 
 CATEGORIES = ("low_quality", "toxic")
 SAMPLE = 8_000  # labelled documents used for training, about
 FEATURES = 1 << 17
 BEGINNINGS = (3, 4, 5)  # characters of word beginnings
 FOLDS = 3
-THRESHOLD = 0.4
+THRESHOLD = 0.45
 CONTRAST = 4.0  # least difference of a term's shares in the two classes, in standard errors
 RIDGE = 1e-4
 STEPS, RATE = 150, 0.1
-_WORD = re.compile(r"[^\W_]+")
-_REMEMBERED = 400_000
 
 
 class Terms:
-    """Numbers of the distinct words and word beginnings of a text. Terms are remembered, up to a bound."""
+    """Numbers of the distinct words and word beginnings of a text."""
 
     def __init__(self) -> None:
-        self.known: dict[str, int] = {}
+        self.hasher = Words(underscore=False)
 
     def of(self, text: str | None) -> np.ndarray:
-        terms = set(_WORD.findall(text.lower())) if text else set()
-        begins = [{f"^{w[:n]}" for w in terms if len(w) > n} for n in BEGINNINGS]
-        terms = terms.union(*begins)
-        if len(self.known) > _REMEMBERED:
-            self.known.clear()
-        for term in terms:
-            if term not in self.known:
-                self.known[term] = xxhash.xxh32_intdigest(term) % FEATURES
-        numbers = np.fromiter(map(self.known.__getitem__, terms), np.int64, len(terms))
-        numbers.sort()
-        return numbers
+        if not text:
+            return np.zeros(0, np.int64)
+        _, _, words, begins = self.hasher.of(text, BEGINNINGS)
+        return (np.unique(np.concatenate([words, *begins])) % np.uint64(FEATURES)).astype(np.int64)
 
 
 @dataclass
