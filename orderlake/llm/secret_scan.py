@@ -52,7 +52,7 @@ RULES = (
 )
 
 LEDGER = "blob string, kind string, version int, spans array<struct<start:int,stop:int>>"
-_NO_SPANS = F.expr("CAST(array() AS array<struct<start:int,stop:int>>)")
+_NO_SPANS = "CAST(array() AS array<struct<start:int,stop:int>>)"
 
 
 def blob_of(text: Column) -> Column:
@@ -75,7 +75,7 @@ def spans_of(text: Column, rule: Rule) -> Column:
             (F.char_length(mv["v"]) >= rule.least).alias("counts"),
         ),
     )
-    start = F.struct(F.lit(0).alias("at"), _NO_SPANS.alias("spans"))
+    start = F.struct(F.lit(0).alias("at"), F.expr(_NO_SPANS).alias("spans"))
     walked = F.aggregate(
         steps,
         start,
@@ -96,7 +96,7 @@ def spans_of(text: Column, rule: Rule) -> Column:
         ),
         lambda acc: acc["spans"],
     )
-    return F.when(text.rlike(rule.hint), walked).otherwise(_NO_SPANS)
+    return F.when(text.rlike(rule.hint), walked).otherwise(F.expr(_NO_SPANS))
 
 
 def scan_unseen(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
