@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from orderlake.catalog.queries import QUERIES
@@ -43,6 +44,7 @@ def main() -> None:
         spark__driver__bindAddress="127.0.0.1",
         spark__driver__host="127.0.0.1",
         spark__driver__memory="16g",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="orderlake-bench-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
 

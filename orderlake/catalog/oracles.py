@@ -6,8 +6,6 @@ parsing and flattening must give back. It runs in an ordinary SQL engine on the
 
 from __future__ import annotations
 
-from orderlake.catalog.updates import MAX_LINES
-
 ORDER_CUT = "TIMESTAMP '1998-07-01 00:00:00'"
 EVENT_CUT = "TIMESTAMP '2024-01-20 00:00:00'"
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
@@ -17,23 +15,13 @@ NO_INT = "CAST(NULL AS INTEGER)"
 
 # One row per event, with every order-level field.
 DOC = f"""
-parts AS (
-  SELECT l_orderkey, CAST(greatest(1, ceil(count(*) / {MAX_LINES}.0)) AS INTEGER) AS parts
-  FROM lineitem GROUP BY l_orderkey
-),
-placed AS (
-  SELECT o.*, coalesce(p.parts, 1) AS parts,
-         CAST(unnest(range(coalesce(p.parts, 1))) AS INTEGER) AS part
-  FROM orders o LEFT JOIN parts p ON p.l_orderkey = o.o_orderkey
-),
 versioned AS (
-  SELECT *, 1 AS v FROM placed
-  UNION ALL SELECT *, 2 AS v FROM placed WHERE o_orderkey % 4 = 0
+  SELECT *, 1 AS v FROM orders
+  UNION ALL SELECT *, 2 AS v FROM orders WHERE o_orderkey % 4 = 0
 ),
 base AS (
-  SELECT o.o_orderkey AS k, o.parts, o.part, o.v, o.o_orderpriority AS priority,
-    CAST(o.o_orderkey AS VARCHAR)
-      || CASE WHEN o.part > 0 THEN '-' || CAST(o.part AS VARCHAR) ELSE '' END AS "orderNumber",
+  SELECT o.o_orderkey AS k, o.v, o.o_orderpriority AS priority,
+    CAST(o.o_orderkey AS VARCHAR) AS "orderNumber",
     CASE WHEN o.v = 1 THEN 'new' ELSE o.o_orderstatus END AS status_value,
     o.o_orderdate AS "orderDate", c.c_mktsegment AS "salesBrand", n.n_name AS country,
     CASE n.n_regionkey WHEN 0 THEN 'ZAR' WHEN 1 THEN 'USD' WHEN 2 THEN 'JPY' WHEN 3 THEN 'EUR'
@@ -55,7 +43,7 @@ base AS (
   LEFT JOIN customer c ON c.c_custkey = o.o_custkey
   LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
 ),
-doc AS (
+doc AS MATERIALIZED (
   SELECT *, upper(status_value) AS status_title, upper("fraudStatus_value") AS "fraudStatus_title",
     upper("deliveryStatus_value") AS "deliveryStatus_title",
     c_name AS "invoiceAddress_firstName", {NO_TEXT} AS "invoiceAddress_lastName",
@@ -83,7 +71,7 @@ ORDER_FIELDS = """
 
 # One row per event and line item. Names of row fields carry a prefix to keep them apart.
 ITEM = f"""
-item AS (
+item AS MATERIALIZED (
   SELECT d.*, CAST(l.l_suppkey % 3 + 1 AS INTEGER) AS bucket_no, l.l_linenumber AS row_no,
     CAST(l.l_partkey AS VARCHAR) AS sku, p.p_name, CAST(p.p_size AS VARCHAR) AS p_size_text,
     p.p_brand, CAST(l.l_quantity AS INTEGER) AS quantity,
@@ -92,7 +80,6 @@ item AS (
     l.l_extendedprice * l.l_discount AS discount_amount
   FROM doc d
   JOIN lineitem l ON l.l_orderkey = d.k
-    AND (l.l_partkey + 7 * l.l_suppkey + 13 * l.l_linenumber) % d.parts = d.part
   LEFT JOIN part p ON p.p_partkey = l.l_partkey
 )"""
 
@@ -238,8 +225,14 @@ def _warehouse() -> dict[str, str]:
         )
         guard = f't."{time}" < s."{time}"'
         upsert = _newer_wins("target", "source", [key], guard)
+        number = f"CAST(split_part(\"{key}\", '_', 1) AS BIGINT)"
+        some_before = latest("target", f"status_value = 'new' AND \"{time}\" < {ORDER_CUT} AND {number} % 7 <> 0")
+        some = latest("known", f"{number} % 5 <> 0")
+        again = f"""
+            source AS (SELECT * REPLACE ('again' AS status_value, CASE WHEN {number} % 3 = 0
+              THEN "{time}" - INTERVAL 10 DAYS ELSE "{time}" END AS "{time}") FROM known)"""
         found[f"dedup_latest_{name}_s"] = f"{_with(*ctes, everything)} SELECT * FROM source"
-        found[f"merge_newer_{name}"] = f"{_with(*ctes, before, everything)} {upsert}"
+        found[f"merge_newer_{name}"] = f"{_with(*ctes, some_before, some, again)} {upsert}"
         found[f"warehouse_refresh_{name}"] = f"{_with(*ctes, before, since)} {upsert}"
     return found
 
@@ -321,7 +314,8 @@ def _flatten() -> dict[str, str]:
 
 def _files() -> dict[str, str]:
     """Sources, sinks and table care."""
-    kept_body = """k % 97 NOT IN (0, 1)"""
+    kept_body = """k % 97 NOT IN (0, 1, 3, 4)"""
+    changed = """CASE WHEN CAST("orderNumber" AS BIGINT) % 3 = 0 THEN 'XXX' ELSE currency END AS currency"""
     latest_row = f"""{_with(DOC, ITEM, ROW_H)},
         r AS (SELECT *, row_number() OVER (PARTITION BY row_hashkey ORDER BY "SKU" DESC,
           "OrderedQuantity" DESC, "ReturnedQuantity" DESC, "TotalDiscount" DESC,
@@ -331,15 +325,15 @@ def _files() -> dict[str, str]:
         "raw_scan": "SELECT * FROM events",
         "ndjson_scan": f"""{_with(DOC)},
             lines AS (
-              SELECT l_orderkey, (l_partkey + 7 * l_suppkey + 13 * l_linenumber) % p.parts AS part,
+              SELECT l_orderkey,
                 count(DISTINCT l_suppkey % 3) AS n
-              FROM lineitem JOIN parts p USING (l_orderkey) GROUP BY ALL
+              FROM lineitem GROUP BY ALL
             )
             SELECT d."orderNumber", d."orderDate", d.status_value,
               CAST(coalesce(l.n, CASE WHEN d.k % 2 = 1 THEN 0 END) AS INTEGER) AS n_buckets,
               d."EventEnqueuedUtcTime", d.seq AS sequence_number,
               CAST(d.seq AS VARCHAR) AS "Offset", d.custkey AS "PartitionKey"
-            FROM doc d LEFT JOIN lines l ON l.l_orderkey = d.k AND l.part = d.part""",
+            FROM doc d LEFT JOIN lines l ON l.l_orderkey = d.k""",
         "append_schema_merge": f"""
             SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders
             WHERE o_orderdate < {ORDER_CUT}
@@ -355,21 +349,50 @@ def _files() -> dict[str, str]:
             UNION ALL SELECT 'offerline', CAST(sum((l_discount <> 0)::INT
               + (l_discount > CAST(0.05 AS DOUBLE))::INT) AS BIGINT) FROM item""",
         "dead_letter_rows": f"""{_with(DOC)}
-            SELECT CASE WHEN k % 97 = 0 THEN '{{"orderNumber":' ELSE '[1]' END AS body,
+            SELECT CASE k % 97 WHEN 0 THEN '{{"orderNumber":' WHEN 1 THEN '[1]'
+                WHEN 3 THEN '{{"orderNumber":"3"}}{{"orderNumber":"4"}}'
+                ELSE '{{"orderNumber":"3"}} junk' END AS body,
               "EventEnqueuedUtcTime", CAST(seq AS VARCHAR) AS "Offset", custkey AS "PartitionKey"
-            FROM doc WHERE k % 97 IN (0, 1)""",
+            FROM doc WHERE k % 97 IN (0, 1, 3, 4)""",
         "valid_rows": f"""{_with(DOC)}
             SELECT CASE WHEN k % 97 <> 2 THEN "orderNumber" END AS "orderNumber",
               CASE WHEN k % 97 <> 2 THEN status_value END AS status_value,
               CASE WHEN k % 97 <> 2 THEN "orderDate" END AS "orderDate",
               "EventEnqueuedUtcTime", CAST(seq AS VARCHAR) AS "Offset"
             FROM doc WHERE {kept_body}""",
+        "dead_letter_raw": f"""{_with(DOC)}
+            SELECT "orderNumber", CAST(seq AS VARCHAR) AS "Offset", CASE k % 89 WHEN 0 THEN 'status'
+              WHEN 1 THEN 'buckets' WHEN 2 THEN 'payments' ELSE 'offers,total' END AS broken
+            FROM doc WHERE k % 89 < 4
+            UNION ALL SELECT "orderNumber", NULL, '' FROM doc WHERE k % 89 >= 4""",
         "retype_rewrite": "SELECT * FROM orders",
+        "compact_matching_tables": """SELECT t AS table_name, o_orderkey, o_orderstatus, true AS moved,
+              'ok' AS status
+            FROM orders, (VALUES ('orders_flat'), ('orders_by_status')) x(t)""",
+        "contract_check": f"""{_with(DOC, PAY, PAYMENT_S)},
+            r AS (SELECT *, row_number() OVER (PARTITION BY payment_bk ORDER BY
+              "EventEnqueuedUtcTime" DESC NULLS LAST, amount DESC NULLS LAST) AS n FROM payment_s),
+            p AS (SELECT * FROM r WHERE n = 1)
+            SELECT CAST(position AS INTEGER) AS position, name, kind, filled FROM (
+              SELECT 0 AS position, 'pspReference' AS name, 'string' AS kind, count("pspReference") AS filled FROM p
+              UNION ALL SELECT 1, 'EventEnqueuedUtcTime', 'timestamp', count("EventEnqueuedUtcTime") FROM p
+              UNION ALL SELECT 2, 'updated_datetime', 'timestamp', count(updated_datetime) FROM p
+              UNION ALL SELECT 3, 'status_value', 'string', count(status_value) FROM p
+              UNION ALL SELECT 4, 'title', 'string', count(title) FROM p
+              UNION ALL SELECT 5, 'psp', 'string', count(psp) FROM p
+              UNION ALL SELECT 6, 'method', 'string', count(method) FROM p
+              UNION ALL SELECT 7, 'alternative', 'string', count(alternative) FROM p
+              UNION ALL SELECT 8, 'amount', 'double', count(amount) FROM p
+              UNION ALL SELECT 9, 'order_bk', 'string', count(order_bk) FROM p
+              UNION ALL SELECT 10, 'payment_bk', 'string', count(payment_bk) FROM p
+              UNION ALL SELECT 11, 'orderNumber', 'string', count("orderNumber") FROM p
+              UNION ALL SELECT 12, 'rn', 'bigint', count(*) FROM p)""",
+        "empty_batch": "SELECT *, 'False,True,False' AS steps FROM events",
         "stream_ingest_rows": "SELECT * FROM events",
         "stream_ingest_tables": f"""{_with(DOC, ITEM, _row_s('INTEGER'))} SELECT * FROM row_s
-            WHERE "orderNumber" NOT IN (SELECT "orderNumber" FROM doc WHERE k % 97 IN (0, 1, 2))""",
-        "stream_upsert_order": f"{_with(DOC, ORDER_H)} SELECT * FROM order_h",
-        "stream_upsert_row": latest_row,
+            WHERE "orderNumber" NOT IN (SELECT "orderNumber" FROM doc WHERE k % 97 IN (0, 1, 2, 3, 4))""",
+        "stream_upsert_order": f"""{_with(DOC, ORDER_H)} SELECT * REPLACE ({changed}) FROM order_h""",
+        "stream_upsert_row": f"SELECT * REPLACE ({changed}) FROM ({latest_row})",
         "stream_restart": f"{_with(DOC, PAY, PAYMENT_H)} SELECT * FROM payment_h",
         "add_columns": f"""SELECT *, {NO_TEXT} AS source_name,
             CAST(NULL AS BOOLEAN) AS "source_isExternal", {NO_DOUBLE} AS discount FROM orders""",
@@ -428,6 +451,9 @@ def _simple() -> dict[str, str]:
         "cast_matrix": """SELECT event_id, CAST(event_id AS VARCHAR) AS id_text, ts AS ts_zoned,
             CAST(ts AS DATE) AS day, value AS value_again, CAST(user_id AS INTEGER) AS user_int
             FROM events""",
+        "raised_error": f"""WITH {fresh} SELECT event_type, count(*) AS count,
+              (SELECT string_agg(table_name, ', ' ORDER BY table_name) FROM fresh WHERE n = 0) AS message
+            FROM events GROUP BY event_type""",
         "freshness_counts": f"WITH {fresh} SELECT * FROM fresh",
         "freshness_failures": f"""WITH {fresh} SELECT
             string_agg(table_name, ', ' ORDER BY table_name) AS failed_tables
@@ -453,6 +479,8 @@ def _upserts() -> dict[str, str]:
         UNION ALL SELECT 'update_postimage', a.*, 2
           FROM before_cut b JOIN {after} a ON {change_keys} WHERE a.event_id <> b.event_id"""
 
+    kept = "kept AS (SELECT * FROM after_cut WHERE event_type <> 'signup')"
+
     def late(shift: str) -> str:
         order = '"EventEnqueuedUtcTime" DESC, status_value DESC'
         return f"""{_with(DOC, ORDER_S)},
@@ -470,13 +498,23 @@ def _upserts() -> dict[str, str]:
 
     return {
         "dedup_latest_h": f"""{_with(DOC)} SELECT "orderNumber", status_value,
-            local_date AS "orderDate", "EventEnqueuedUtcTime", CAST(seq AS VARCHAR) AS "Offset"
+            local_date AS "orderDate",
+            CASE WHEN v = 1 AND k % 2 = 1 THEN "EventEnqueuedUtcTime" + INTERVAL 1 HOUR
+              ELSE "EventEnqueuedUtcTime" END AS "EventEnqueuedUtcTime",
+            CASE WHEN v = 1 AND k % 2 = 1 THEN 'again-' ELSE '' END || CAST(seq AS VARCHAR) AS "Offset"
             FROM doc""",
         "dedup_latest_events": f"{last} SELECT * FROM after_cut",
-        "merge_update_all": f"""{_with(DOC, ORDER_H)} SELECT * FROM order_h""",
+        "merge_update_all": f"""{_with(DOC, ORDER_H)}
+            SELECT * FROM order_h WHERE CAST("orderNumber" AS BIGINT) % 5 <> 0
+            UNION ALL BY NAME
+            SELECT * REPLACE ('pending' AS "fraudStatus_value") FROM order_h
+            WHERE CAST("orderNumber" AS BIGINT) % 5 = 0 AND status_value = 'new'
+              AND "orderDate" < {ORDER_CUT}""",
         "merge_condition": f"""{last}
             {_newer_wins("before_cut", "after_cut", keys, "t.value <= s.value")}""",
-        "merge_broadcast_source": f"{last} {newer}",
+        "merge_broadcast_source": f"""{last}, late AS (SELECT * REPLACE (CASE WHEN user_id % 3 = 0
+              THEN ts - INTERVAL 60 DAYS ELSE ts END AS ts) FROM after_cut WHERE user_id % 5 <> 0)
+            {_newer_wins("before_cut", "late", keys, "t.ts < s.ts")}""",
         "merge_null_keys": f"""{last},
             old AS (SELECT * FROM before_cut WHERE event_type <> 'click'),
             new AS (SELECT * FROM after_cut WHERE event_type <> 'click'),
@@ -485,16 +523,11 @@ def _upserts() -> dict[str, str]:
               SELECT * REPLACE (NULL AS event_type) FROM after_cut WHERE event_type = 'click')
             {_newer_wins("old", "new", keys, "t.ts < s.ts")}
             UNION ALL BY NAME SELECT * FROM loose""",
-        "change_feed": f"""{last},
-            kept AS (SELECT * FROM after_cut WHERE event_type <> 'signup') {feed("kept")}""",
-        "table_changes": f"{last} {feed('after_cut')}",
+        "change_feed": f"{last}, {kept} {feed('kept')}",
+        "state_changes": f"{last}, {kept} {feed('kept')}",
         "late_event_ignored": late("- INTERVAL 1 HOUR"),
         "late_event_applied": late("+ INTERVAL 1 HOUR"),
         "replay_idempotent": f"{last} {newer}",
-        "history": f"""{last}
-            SELECT CAST(1 AS BIGINT) AS version, 'create' AS operation, count(*) AS rows_written,
-              max(ts) AS watermark FROM before_cut
-            UNION ALL SELECT 2, 'merge', count(*), max(ts) FROM after_cut""",
     }
 
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake import schemas
-from orderlake.catalog.updates import landing_folder, order_updates, table
+from orderlake.catalog.updates import order_updates, table
 from orderlake.functions import (
     business_key_h,
     business_key_s,
@@ -111,8 +114,7 @@ def last_per_user(spark: SparkSession, sf_dir: str, until: str | None = None) ->
 
 def bucket_count(spark: SparkSession, sf_dir: str) -> int:
     """Buckets of a stored table: one per 256 MB of documents, at least eight."""
-    detail = tables.table_detail(order_updates(spark, sf_dir)).first()
-    return max(8, -(-detail["size_bytes"] // (256 * 1024 * 1024)))
+    return max(8, -(-tables.listed_bytes(order_updates(spark, sf_dir)) // (256 * 1024 * 1024)))
 
 
 def stored_table(
@@ -172,12 +174,16 @@ def fanout_counts(spark, sf_dir):
 
 
 def damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event bodies of which some are cut off, some are no objects and some are empty objects."""
+    """Event bodies of which some are cut off, no objects, empty objects, followed by another
+    object or junk, or surrounded by white space."""
     kind = F.col("o_orderkey") % 97
     body = (
         F.when(kind == 0, F.lit('{"orderNumber":'))
         .when(kind == 1, F.lit("[1]"))
         .when(kind == 2, F.lit("{}"))
+        .when(kind == 3, F.lit('{"orderNumber":"3"}{"orderNumber":"4"}'))
+        .when(kind == 4, F.lit('{"orderNumber":"3"} junk'))
+        .when(kind == 5, F.concat(F.lit("\n\t\r "), F.col("body"), F.lit(" \n")))
         .otherwise(F.col("body"))
     )
     updates = order_updates(spark, sf_dir)
@@ -205,6 +211,28 @@ def valid_rows(spark, sf_dir):
     )
 
 
+@query
+def dead_letter_raw(spark, sf_dir):
+    """History grain: documents of which a JSON text does not convert, as a stream rejects them."""
+    kind = F.col("o_orderkey") % 89
+    cut = lambda name, k, text: F.when(kind == k, F.lit(text)).otherwise(F.col(name))
+    raw = order_updates(spark, sf_dir).withColumns(
+        {
+            "status": cut("status", 0, '{"value":'),
+            "buckets": cut("buckets", 1, '[{"bucketNumber":1}'),
+            "payments": cut("payments", 2, "[] junk"),
+            "offers": cut("offers", 3, "urgent"),
+            "total": cut("total", 3, '{"totalAmount":{}}'),
+        }
+    )
+    path = work_path(spark, "deadletters")
+    targets = silver_tables(spark, work_path(spark, "silver"), bucket_count(spark, sf_dir))
+    upsert_silver(raw, targets, 0, clock(), dead_letters=path)
+    bad = sinks.read_dead_letters(spark, f"{path}/consumer=silver/stage=parse", "orderNumber STRING, Offset STRING, broken ARRAY<STRING>")
+    good = targets["order"].read().select("orderNumber", F.lit(None).cast("string").alias("Offset"), F.lit("").alias("broken"))
+    return bad.select("orderNumber", "Offset", F.array_join(F.array_sort("broken"), ",").alias("broken")).union(good)
+
+
 @query
 def retype_rewrite(spark, sf_dir):
     text = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
@@ -347,7 +375,16 @@ def top_recent(spark, sf_dir):
 # --- latest row per key ------------------------------------------------------------
 @query
 def dedup_latest_h(spark, sf_dir):
-    latest = latest_documents(order_updates(spark, sf_dir), clock())
+    """First versions arrive twice, the second time an hour earlier or an hour later."""
+    updates = order_updates(spark, sf_dir)
+    hours = F.when(F.col("o_orderkey") % 2 == 1, 1).otherwise(-1)
+    again = updates.filter("v = 1").withColumns(
+        {
+            "EventEnqueuedUtcTime": F.col("EventEnqueuedUtcTime") + F.make_dt_interval(hours=hours),
+            "Offset": F.concat(F.lit("again-"), F.col("Offset")),
+        }
+    )
+    latest = latest_documents(updates.union(again), clock())
     return latest.select("orderNumber", "status_value", "orderDate", "EventEnqueuedUtcTime", "Offset")
 
 
@@ -363,8 +400,17 @@ def _register_per_warehouse_table() -> None:
     def newer(name: str) -> Query:
         def run(spark, sf_dir):
             spec, stream = warehouse.TABLES[name], stream_table(spark, sf_dir, name)
-            target = warehouse.latest(first_versions(stream), name)
-            source = warehouse.latest(stream, name)
+            # Rows in the target alone, in the source alone, and in both: the source's older,
+            # equal or newer, and told apart by its status.
+            order = F.substring_index(spec.key, "_", 1).cast("bigint")
+            older = F.col(spec.event_time) - F.expr("INTERVAL 10 DAYS")
+            target = warehouse.latest(first_versions(stream).filter(order % 7 != 0), name)
+            source = warehouse.latest(stream.filter(order % 5 != 0), name).withColumns(
+                {
+                    "status_value": F.lit("again"),
+                    spec.event_time: F.when(order % 3 == 0, older).otherwise(F.col(spec.event_time)),
+                }
+            )
             return merge.merge_upsert(
                 target, source, [spec.key], spec.guard, on_source_duplicates="assume_unique"
             )
@@ -397,7 +443,8 @@ def merge_update_all(spark, sf_dir):
     orders = flatten.flatten_order_h(keyed_raw(spark, sf_dir))
     known = orders.filter((F.col("status_value") == "new") & (F.col("orderDate") < at(ORDER_CUT)))
     outdated = known.withColumn("fraudStatus_value", F.lit("pending"))
-    return merge.merge_upsert(outdated, orders, ["order_hashkey"], on_source_duplicates="error")
+    source = orders.filter(F.col("orderNumber").cast("bigint") % 5 != 0)
+    return merge.merge_upsert(outdated, source, ["order_hashkey"], on_source_duplicates="error")
 
 
 @query
@@ -411,6 +458,8 @@ def merge_condition(spark, sf_dir):
 @query
 def merge_broadcast_source(spark, sf_dir):
     before, after = last_per_user(spark, sf_dir, EVENT_CUT), last_per_user(spark, sf_dir)
+    older = F.when(F.col("user_id") % 3 == 0, F.col("ts") - F.expr("INTERVAL 60 DAYS"))
+    after = after.filter("user_id % 5 <> 0").withColumn("ts", F.coalesce(older, "ts"))
     staged = work_path(spark, "merge-source")
     after.write.parquet(staged)
     return merge.merge_upsert(
@@ -461,18 +510,17 @@ def incremental_empty_target(spark, sf_dir):
 @query
 def change_feed(spark, sf_dir):
     before, after = last_per_user(spark, sf_dir, EVENT_CUT), last_per_user(spark, sf_dir)
-    kept = merge.delete_where(after, "event_type = 'signup'")
-    return merge.read_changes(before, kept, ["user_id", "event_type"], version=2)
+    source = merge.delete_where(after, "event_type = 'signup'")
+    keys = ["user_id", "event_type"]
+    return merge.merge_changes(before, source, keys, "t.ts < s.ts", "t.event_type = 'signup'", version=2)
 
 
 @query
-def table_changes(spark, sf_dir):
-    """Change feed of a stored table: created, then merged once."""
-    keys = ["user_id", "event_type"]
-    stored = stored_table(spark, sf_dir, "changes", keys)
-    stored.create(last_per_user(spark, sf_dir, EVENT_CUT))
-    stored.merge(last_per_user(spark, sf_dir), "t.ts < s.ts", "assume_unique")
-    return stored.changes(starting_version=2)
+def state_changes(spark, sf_dir):
+    """The same changes, from the two states alone."""
+    before, after = last_per_user(spark, sf_dir, EVENT_CUT), last_per_user(spark, sf_dir)
+    kept = merge.delete_where(after, "event_type = 'signup'")
+    return merge.read_changes(before, kept, ["user_id", "event_type"], version=2)
 
 
 @query
@@ -486,7 +534,8 @@ def _order_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order times spread over the minutes of the day, so that clock changes are met."""
     minutes = F.make_dt_interval(mins=(F.col("o_orderkey") % 1440).cast("int"))
     orders = table(spark, sf_dir, "orders")
-    return orders.select("o_orderkey", (F.col("o_orderdate").cast("timestamp") + minutes).alias("at"))
+    at_minute = (F.col("o_orderdate").cast("timestamp") + minutes).alias("at")
+    return orders.select("o_orderkey", "o_orderstatus", at_minute)
 
 
 @query
@@ -519,9 +568,7 @@ def parse_timestamp(spark, sf_dir):
     text = F.when(F.col("o_orderstatus") == "P", F.lit("pending")).otherwise(
         F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    timed = _order_times(spark, sf_dir).join(orders, "o_orderkey")
-    return timed.select("o_orderkey", F.try_to_timestamp(text).alias("parsed"))
+    return _order_times(spark, sf_dir).select("o_orderkey", F.try_to_timestamp(text).alias("parsed"))
 
 
 @query
@@ -554,15 +601,17 @@ def stream_ingest_rows(spark, sf_dir):
     return spark.read.schema(events.schema).parquet(f"{root}/out")
 
 
-def _run_silver_stream(spark: SparkSession, sf_dir: str, name: str, runs: int = 1) -> DataFrame:
+def _silver_runs(spark: SparkSession, sf_dir: str, name: str, landings: list[tuple[DataFrame, str]]) -> DataFrame:
+    """A silver table after its stream ran once for each landing: rows, and the checkpoint's name.
+    Runs with one checkpoint share a landing folder."""
     root = work_path(spark, "stream")
-    for _ in range(runs):
+    for rows, checkpoint in landings:
+        rows.write.mode("append").parquet(f"{root}/in-{checkpoint}")
         start_upsert_stream(
             spark,
-            landing_folder(spark, sf_dir),
+            f"{root}/in-{checkpoint}",
             f"{root}/silver",
-            f"{root}/checkpoint",
-            max_files_per_trigger=4,
+            f"{root}/{checkpoint}",
             as_of=clock(),
             buckets=bucket_count(spark, sf_dir),
             names=[name],
@@ -570,6 +619,13 @@ def _run_silver_stream(spark: SparkSession, sf_dir: str, name: str, runs: int =
     return silver_tables(spark, f"{root}/silver")[name].read()
 
 
+def _changed_later(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """All documents, then a third of them again in another currency: the second batch merges."""
+    updates = order_updates(spark, sf_dir)
+    changed = updates.filter("o_orderkey % 3 = 0").withColumn("currency", F.lit("XXX"))
+    return _silver_runs(spark, sf_dir, name, [(updates, "cp"), (changed, "cp")])
+
+
 @query
 def stream_ingest_tables(spark, sf_dir):
     """Event bodies, some of them damaged, through the ingest stream into the row table."""
@@ -584,18 +640,21 @@ def stream_ingest_tables(spark, sf_dir):
 
 @query
 def stream_upsert_order(spark, sf_dir):
-    return _run_silver_stream(spark, sf_dir, "order")
+    return _changed_later(spark, sf_dir, "order")
 
 
 @query
 def stream_upsert_row(spark, sf_dir):
-    return _run_silver_stream(spark, sf_dir, "row")
+    return _changed_later(spark, sf_dir, "row")
 
 
 @query
 def stream_restart(spark, sf_dir):
-    """The second run finds its checkpoint and adds nothing."""
-    return _run_silver_stream(spark, sf_dir, "payment", runs=2)
+    """The second run finds its checkpoint and adds nothing; after a reset the stream begins
+    with a new checkpoint, and what arrives then must not be taken for batches already seen."""
+    updates = order_updates(spark, sf_dir)
+    early, late = updates.filter("o_orderkey % 4 <> 1"), updates.filter("o_orderkey % 4 = 1")
+    return _silver_runs(spark, sf_dir, "payment", [(early, "cp"), (early.limit(0), "cp"), (late, "reset")])
 
 
 def _late_merge(spark: SparkSession, sf_dir: str, shift: str) -> DataFrame:
@@ -681,9 +740,57 @@ def table_detail(spark, sf_dir):
 
 
 @query
-def history(spark, sf_dir):
-    keys = ["user_id", "event_type"]
-    stored = stored_table(spark, sf_dir, "history", keys, "ts")
-    stored.create(last_per_user(spark, sf_dir, EVENT_CUT))
-    stored.merge(last_per_user(spark, sf_dir), "t.ts < s.ts", "assume_unique")
-    return stored.history().select("version", "operation", "rows_written", "watermark")
+def compact_matching_tables(spark, sf_dir):
+    """Two tables of a database, one partitioned, before and after compaction: the same rows."""
+    name, path = f"compact_{uuid.uuid4().hex}", work_path(spark, "tables")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{path}/db'")
+    try:
+        orders = table(spark, sf_dir, "orders").repartition(6)
+        orders.write.option("path", f"{path}/o").saveAsTable(f"{name}.orders_flat")
+        by_status = orders.write.partitionBy("o_orderstatus").option("path", f"{path}/p")
+        by_status.saveAsTable(f"{name}.orders_by_status")
+        results = tables.compact_tables(spark, name, "orders", f"{path}/new")
+        results = results.select("table_name", "status")
+        read = [
+            spark.table(f"{name}.{t}").select(F.lit(t).alias("table_name"), "o_orderkey", "o_orderstatus", F.col("_metadata.file_path").contains("/new/").alias("moved"))
+            for t in ("orders_flat", "orders_by_status")
+        ]
+        rows = read[0].union(read[1]).join(F.broadcast(results), "table_name")
+        rows.write.parquet(f"{path}/result")
+        return spark.read.parquet(f"{path}/result")
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+@query
+def empty_batch(spark, sf_dir):
+    """An empty batch neither creates a table nor changes one."""
+    events = table(spark, sf_dir, "events")
+    target = stored_table(spark, sf_dir, "empty", ["event_id"])
+    steps = [sinks.save_or_merge(target, df) for df in (events.limit(0), events, events.limit(0))]
+    return target.read().withColumn("steps", F.lit(",".join(map(str, steps))))
+
+
+@query
+def raised_error(spark, sf_dir):
+    """The error of the freshness check, as a row for each stale table that it names."""
+    try:
+        message = quality.assert_fresh(_freshness(spark, sf_dir)).first()["result"]
+    except PySparkException as e:
+        found = re.search("no fresh records in tables: ([a-z_, ]+)", str(e))
+        message = found[1].strip() if found else str(e)
+    events = table(spark, sf_dir, "events").groupBy("event_type").count()
+    return events.withColumn("message", F.lit(message))
+
+
+@query
+def contract_check(spark, sf_dir):
+    """Warehouse rows in their declared layout: column by column, name, type and filled rows."""
+    rows = warehouse.latest(stream_table(spark, sf_dir, "payment"), "payment")
+    checked = quality.check_schema(rows, schemas.struct(schemas.WAREHOUSE["payment"]))
+    counts = checked.agg(*[F.count(c).alias(c) for c in checked.columns])
+    each = [
+        F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("kind"), F.col(f.name).alias("filled"))
+        for i, f in enumerate(checked.schema)
+    ]
+    return counts.select(F.explode(F.array(*each)).alias("c")).select("c.*")

@@ -1,9 +1,8 @@
 """Order-update documents derived from the star-schema tables.
 
 One event per order and version; an order whose status is looked at twice has a second
-version. Line items are nested as buckets, rows and offers. An order with more than
-MAX_LINES line items is shipped as several orders (`<key>-1`, `<key>-2`, …), so that no
-document grows without bound; the part is computed from the line item itself.
+version. Line items are nested as buckets, rows and offers: an order is one document, however
+many line items it has.
 
 The result is written once per application and input folder to the shared work folder, in
 the layout of a landing table: text body and metadata, and the same document as raw scalar
@@ -17,8 +16,6 @@ from pyspark.sql import functions as F
 
 from orderlake.session import work_path
 
-MAX_LINES = 10_000
-
 # Currency by region key; any other region pays in AED.
 CURRENCIES = {0: "ZAR", 1: "USD", 2: "JPY", 3: "EUR"}
 
@@ -38,9 +35,8 @@ def _person(name: Column, country_code: Column) -> Column:
     return F.struct(name.alias("firstName"), address.alias("address"))
 
 
-def _lines(lineitem: DataFrame, part: DataFrame, parts: DataFrame) -> DataFrame:
-    """Nested rows per order part: (o_orderkey, part, items)."""
-    piece = F.col("l_partkey") + 7 * F.col("l_suppkey") + 13 * F.col("l_linenumber")
+def _lines(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """Nested rows per order: (o_orderkey, items)."""
     bulk = F.struct(F.lit("BULK").alias("campaignId"), F.lit(0.01).alias("discount"))
     percent = F.round(F.col("l_discount") * 100).cast("int").cast("string")
     own = F.struct(
@@ -68,13 +64,11 @@ def _lines(lineitem: DataFrame, part: DataFrame, parts: DataFrame) -> DataFrame:
     )
     return (
         lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-        .join(parts.select("l_orderkey", "parts"), "l_orderkey")
         .select(
             F.col("l_orderkey").alias("o_orderkey"),
-            (piece % F.col("parts")).cast("int").alias("part"),
             F.struct((F.col("l_suppkey") % 3 + 1).cast("int").alias("bucket"), row.alias("row")).alias("item"),
         )
-        .groupBy("o_orderkey", "part")
+        .groupBy("o_orderkey")
         .agg(F.collect_list("item").alias("items"))
     )
 
@@ -107,23 +101,17 @@ def build_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, lineitem, customer, nation, part = (
         table(spark, sf_dir, n) for n in ("orders", "lineitem", "customer", "nation", "part")
     )
-    parts = lineitem.groupBy("l_orderkey").agg(
-        F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / MAX_LINES)).cast("int").alias("parts")
-    )
     key = F.col("o_orderkey")
     heads = (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .join(parts, key == F.col("l_orderkey"), "left")
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
-        .join(_lines(lineitem, part, parts), ["o_orderkey", "part"], "left")
+        .join(_lines(lineitem, part), "o_orderkey", "left")
         # without line items: buckets are NULL for even keys, empty for odd ones
         .withColumn("items", F.coalesce("items", F.when(key % 2 == 1, F.array())))
     )
     versions = F.when(key % 4 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     first = F.col("v") == 1
-    suffix = F.when(F.col("part") > 0, F.concat(F.lit("-"), F.col("part").cast("string")))
-    order_number = F.concat(key.cast("string"), F.coalesce(suffix, F.lit("")))
+    order_number = key.cast("string")
     country_code = F.substring("n_name", 1, 2)
     status = F.when(first, F.lit("new")).otherwise(F.col("o_orderstatus"))
     checked = F.when(key % 50 == 0, F.lit("review")).otherwise(F.lit("ok"))

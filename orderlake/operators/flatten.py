@@ -118,9 +118,12 @@ def preprocess_bronze(df: DataFrame, as_of: Column | None = None) -> DataFrame:
     )
 
 
-def parse_raw(df: DataFrame) -> DataFrame:
-    """Parse all JSON columns of a raw batch at once (then persist it before a fan-out)."""
-    return _parse(df)
+def parse_raw(df: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """Parse the JSON columns of a raw batch at once (then persist it before a fan-out): all of
+    them, or what the transforms called `names` read."""
+    if names is None or any(n not in READS_H for n in names):
+        return _parse(df)
+    return _parse(df, sorted({path for n in names for path in READS_H[n]}))
 
 
 def _clock(df: DataFrame, as_of: Column | None) -> Column:
@@ -213,6 +216,17 @@ def flatten_offerline_h(df: DataFrame, as_of: Column | None = None) -> DataFrame
     )
 
 
+# What each transform reads of the JSON columns; `status` is parsed before.
+READS_H = {
+    "order": [p for p in ORDER_PATHS if not p.startswith("status.")],
+    "payment": below("payments", PAYMENT_PATHS),
+    "offerhead": below("offers", OFFER_HEAD_PATHS),
+    "bucket": below("buckets", BUCKET_PATHS),
+    "row": [*ROW_ORDER_PATHS, *ROW_ITEM_PATHS],
+    "offerline": [*ROW_POSITION, *below("buckets.rows.offers", LINE_OFFER_PATHS)],
+}
+
+
 # --- snapshot grain (S) ----------------------------------------------------------------
 READS_S = {
     "order": ORDER_PATHS,

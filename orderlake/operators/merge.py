@@ -165,6 +165,50 @@ def delete_where(df: DataFrame, condition: str | Column) -> DataFrame:
     return df.filter(~F.coalesce(cond, F.lit(False)))
 
 
+def merge_changes(
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    guard: str | Column | None = None,
+    delete_unmatched: str | Column | None = None,
+    version: int | None = None,
+) -> DataFrame:
+    """The row changes that a merge makes, out of its one join: insert, update_preimage and
+    update_postimage, and delete for target rows that no source row matches and for which
+    `delete_unmatched` (a condition on `t.` columns) is true.
+
+    Source keys are unique. A source row with a NULL key matches nothing: it is an insert.
+    """
+    names = target.columns
+    text = lambda c: F.expr(c) if isinstance(c, str) else c
+    condition = F.lit(True) if guard is None else text(guard)
+    t = target.withColumn("_in_target", F.lit(True)).alias("t")
+    s = source.withColumn("_in_source", F.lit(True)).alias("s")
+    on = reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys])
+    in_target, in_source = F.col("_in_target").isNotNull(), F.col("_in_source").isNotNull()
+    deleted = F.lit(False) if delete_unmatched is None else text(delete_unmatched)
+
+    def image(side: str, kind: str) -> Column:
+        columns = [
+            (F.col(f"{side}.{f.name}") if side == "t" or f.name in source.columns else F.lit(None))
+            .cast(f.dataType)
+            .alias(f.name)
+            for f in target.schema
+        ]
+        return F.struct(F.lit(kind).alias("_change_type"), *columns)
+
+    updates = F.array(image("t", "update_preimage"), image("s", "update_postimage"))
+    images = (
+        F.when(in_target & in_source & F.coalesce(condition, F.lit(False)), updates)
+        .when(~in_target, F.array(image("s", "insert")))
+        .when(~in_source & F.coalesce(deleted, F.lit(False)), F.array(image("t", "delete")))
+    )
+    how = "right" if delete_unmatched is None else "full_outer"
+    changes = t.join(s, on, how).select(F.explode(images).alias("c")).select("c.*")
+    changes = changes.select("_change_type", *names)
+    return changes if version is None else changes.withColumn("_commit_version", F.lit(version).cast("long"))
+
+
 def read_changes(
     before: DataFrame, after: DataFrame, keys: list[str], version: int | None = None
 ) -> DataFrame:
@@ -196,6 +240,8 @@ def read_changes(
     keyed = changed.select(F.explode(images).alias("c")).select("c.*")
 
     columns = ["_change_type", *names]
+    if not any(d.schema[k].nullable for d in (before, after) for k in keys):
+        return keyed if version is None else keyed.withColumn("_commit_version", F.lit(version).cast("long"))
     old_loose, new_loose = (d.filter(has_null_key(keys)).select(*names) for d in (before, after))
     added = new_loose.exceptAll(old_loose).withColumn("_change_type", F.lit("insert"))
     removed = old_loose.exceptAll(new_loose).withColumn("_change_type", F.lit("delete"))

@@ -11,18 +11,50 @@ from orderlake.operators.aggregates import union_all
 
 
 # --- dead letters --------------------------------------------------------------------
+def whole_json(text: Column, kind: T.DataType) -> Column:
+    """`text` as the field `x` of a struct that also has the corrupt-record field.
+
+    The text is parsed as the value of a field, so that one with anything after its end (a
+    second object, or junk) does not convert, and arrays have a corrupt record too. The options
+    keep Spark from parsing only the referenced fields, which would miss bad ones.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
+    fields = [T.StructField("x", kind), T.StructField(schemas.CORRUPT, T.StringType())]
+    return F.from_json(F.concat(F.lit('{"x":'), text, F.lit("}")), T.StructType(fields), options)
+
+
 def parse_checked(df: DataFrame, body_ddl: str = schemas.BODY_S) -> DataFrame:
     """Envelope rows plus `event` (typed body) and `is_valid`.
 
-    A body is valid when it is a JSON object all of whose declared fields convert. The
-    options keep Spark from parsing only the referenced fields, which would miss bad ones.
+    A body is valid when it is one JSON object, white space around it aside, all of whose
+    declared fields convert.
     """
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
-    parsed = F.from_json("body", f"{body_ddl}, {schemas.CORRUPT} STRING", options)
-    is_object = F.ltrim("body").startswith("{")
-    checked = df.withColumn("event", parsed)
-    clean = F.col("event").isNotNull() & F.col(f"event.{schemas.CORRUPT}").isNull()
-    return checked.withColumn("is_valid", F.coalesce(is_object & clean, F.lit(False)))
+    is_object = F.col("body").rlike("^[ \\t\\n\\r]*\\{")
+    checked = df.withColumn("parsed", whole_json(F.col("body"), schemas.struct(body_ddl)))
+    clean = F.col("event").isNotNull() & F.col(f"parsed.{schemas.CORRUPT}").isNull()
+    checked = checked.withColumn("event", F.col("parsed.x"))
+    return checked.withColumn("is_valid", F.coalesce(is_object & clean, F.lit(False))).drop("parsed")
+
+
+def broken_texts(df: DataFrame, names: list[str] | None = None) -> Column:
+    """Names of the raw JSON text columns (of those in `names`) whose text does not convert."""
+    found = []
+    for name, kind in schemas.RAW_JSON_H.items():
+        if (names is None or name in names) and name in df.columns:
+            parsed = whole_json(F.col(name), schemas.struct(f"x {kind}")["x"].dataType)
+            broken = F.col(name).isNotNull() & (
+                parsed.isNull() | parsed[schemas.CORRUPT].isNotNull()
+            )
+            found.append(F.when(broken, F.lit(name)))
+    return F.array_compact(F.array(*found))
+
+
+def split_raw(df: DataFrame, names: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(raw rows whose JSON texts all convert, dead letters: the other rows unchanged, with
+    `broken`, the names of the columns that do not)."""
+    marked = df.withColumn("broken", broken_texts(df, names))
+    good = marked.filter(F.size("broken") == 0).drop("broken")
+    return good, marked.filter(F.size("broken") > 0)
 
 
 def split_valid(df: DataFrame, body_ddl: str = schemas.BODY_S) -> tuple[DataFrame, DataFrame]:

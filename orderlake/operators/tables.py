@@ -14,23 +14,25 @@ is there; a failed attempt leaves unread data that the next attempt overwrites.
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlake.operators.aggregates import union_all
 from orderlake.operators.merge import (
     has_null_key,
     merge_upsert,
     one_row_per_key,
-    read_changes,
     split_null_keys,
 )
 from orderlake.session import child_names
 
-BUCKET, VERSION = "_bucket", "_version"
+BUCKET, VERSION, PART = "_bucket", "_version", "_part"
+PARTS = 8  # tasks that merge one bucket
+WORKERS = 5  # fixed value: tables compacted side by side
 
 
 def order_block(business_key: str, orders_per_block: int) -> Column:
@@ -73,8 +75,8 @@ class Commit:
 class VersionedTable:
     """An upsertable table of one key. One writer at a time.
 
-    buckets    fixed at creation. A merge rewrites whole buckets, one task each, so choose it
-               such that table size / buckets stays near 1 GB; defaults to the shuffle
+    buckets    fixed at creation. A merge rewrites whole buckets, `PARTS` tasks each, so choose
+               it such that table size / buckets stays near 4 GB; defaults to the shuffle
                partitions.
     locate     optional column giving each row a block number, which replaces the key hash.
                It must be a function of the key. See `order_block`: where new and changed
@@ -124,17 +126,6 @@ class VersionedTable:
         placement = {r["bucket"]: r["data_version"] for r in rows if r["bucket"] is not None}
         return Commit(version, placement, facts)
 
-    def history(self) -> DataFrame:
-        """One row per version, oldest first."""
-        known = self.versions()
-        if not known:
-            raise ValueError(f"{self.path} has no versions")
-        schema = T.StructType(_COMMIT.fields + [T.StructField("version", T.LongType())])
-        commits = self.spark.read.schema(schema).parquet(f"{self.path}/commits")
-        facts = ("version", "operation", "writer", "batch_id", "rows_written", "watermark")
-        done = commits.filter(F.col("bucket").isNull() & (F.col("version") <= known[-1]))
-        return done.select(*facts, "committed_at").orderBy("version")
-
     # --- reading ----------------------------------------------------------------------
     def _read(self, commit: Commit, buckets: set[int] | None = None) -> DataFrame:
         """Rows of a version (or of some of its buckets), with the bucket column."""
@@ -158,29 +149,6 @@ class VersionedTable:
             raise ValueError(f"{self.path} has no versions")
         return self._read(commit).drop(BUCKET)
 
-    def changes(self, starting_version: int = 1) -> DataFrame:
-        """Row changes of the versions from `starting_version` on, with `_commit_version`.
-
-        Only buckets whose data moved between two versions are compared. Version 1 counts
-        as inserts.
-        """
-        wanted = [v for v in self.versions() if v >= starting_version]
-        if not wanted:
-            raise ValueError(f"{self.path} has no version from {starting_version} on")
-        parts, before = [], self.commit(wanted[0] - 1) if wanted[0] > 1 else None
-        for version in wanted:
-            after = self.commit(version)
-            old = before.placement if before else {}
-            moved = {b for b, v in after.placement.items() if old.get(b) != v}
-            new_rows = self._read(after, moved).drop(BUCKET)
-            old_rows = self._read(before, moved).drop(BUCKET) if before else new_rows.limit(0)
-            missing = [f for f in new_rows.schema if f.name not in old_rows.columns]
-            for f in missing:
-                old_rows = old_rows.withColumn(f.name, F.lit(None).cast(f.dataType))
-            parts.append(read_changes(old_rows, new_rows, self.keys, version))
-            before = after
-        return union_all(parts)
-
     # --- writing ---------------------------------------------------------------------
     def _bucket_of(self, df: DataFrame, buckets: int) -> Column:
         """Bucket by key. Rows with a NULL key match nothing, so they are spread by content."""
@@ -227,10 +195,15 @@ class VersionedTable:
         stamped = self.spark.createDataFrame(values, _COMMIT).withColumn(
             "committed_at", F.when(F.col("bucket").isNull(), F.current_timestamp())
         )
-        stamped.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/version={version}")
+        path = f"{self.path}/commits/version={version}"
+        if "_SUCCESS" in child_names(self.spark, path):
+            raise RuntimeError(f"{self.path} has a version {version} already: one writer at a time")
+        stamped.coalesce(1).write.mode("overwrite").parquet(path)
 
     def create(self, df: DataFrame, writer: str = "batch", batch_id: int | None = None) -> None:
         """First version: all rows as they are, duplicates included."""
+        if self.exists():
+            raise RuntimeError(f"{self.path} exists already")
         n = self._buckets
         # Rebalancing gathers small buckets in one task and cuts a bucket that one key fills.
         bucketed = df.withColumn(BUCKET, self._bucket_of(df, n)).hint("rebalance", BUCKET)
@@ -274,22 +247,28 @@ class VersionedTable:
             touched = {r[0] for r in rows.select(BUCKET).distinct().collect()}
             if not touched:
                 return
-            tasks = min(buckets, 2 * len(touched))
+            tasks = PARTS * len(touched)
             old = self._read(commit, touched)
             old_keyed, old_loose = split_null_keys(old, self.keys)
             new_keyed, new_loose = split_null_keys(rows, self.keys)
-            # Both sides are partitioned by bucket alone: the join on (bucket, key) and the
-            # write by bucket need no further shuffle. Rows without a key skip all of it.
+            # Both sides are partitioned by bucket and a second hash of the key, so a bucket is
+            # several tasks; the join and the write need no further shuffle. Rows without a
+            # key skip all of it.
+            part = F.pmod(F.hash(*self.keys), F.lit(PARTS))
             state = merge_upsert(
-                old_keyed.repartition(tasks, BUCKET),
-                new_keyed.repartition(tasks, BUCKET),
-                [BUCKET, *self.keys],
+                old_keyed.withColumn(PART, part).repartition(tasks, BUCKET, PART),
+                new_keyed.withColumn(PART, part).repartition(tasks, BUCKET, PART),
+                [BUCKET, PART, *self.keys],
                 guard=guard,
                 on_source_duplicates="assume_unique",
                 keys_not_null=True,
-            )
+            ).drop(PART)
             for loose_rows in (old_loose, new_loose):
-                state = state.unionByName(loose_rows, allowMissingColumns=True)
+                # A table keeps the types of its columns, whatever a source brings.
+                typed = loose_rows.select(
+                    *[F.col(f.name).cast(f.dataType) for f in state.schema if f.name in loose_rows.columns]
+                )
+                state = state.unionByName(typed, allowMissingColumns=True)
             version = commit.version + 1
             facts = self._write(state, version)
             if self.watermark and commit.facts["watermark"] is not None:
@@ -327,36 +306,55 @@ class VersionedTable:
 
 
 # --- table care -------------------------------------------------------------------------
+def file_sizes(df: DataFrame) -> DataFrame:
+    """`file`, `bytes`, `rows` of each file of a file-backed DataFrame."""
+    return df.groupBy(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")
+    ).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def table_detail(df: DataFrame) -> DataFrame:
     """One row: number of files, bytes and rows of a file-backed DataFrame."""
-    per_file = df.groupBy(
-        F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b")
-    ).agg(F.count(F.lit(1)).alias("n"))
-    return per_file.agg(
+    return file_sizes(df).agg(
         F.count(F.lit(1)).alias("num_files"),
-        F.sum("b").alias("size_bytes"),
-        F.sum("n").alias("num_rows"),
+        F.sum("bytes").alias("size_bytes"),
+        F.sum("rows").alias("num_rows"),
     )
 
 
+def listed_bytes(df: DataFrame) -> int:
+    """Bytes of the files below the folders of a file-backed DataFrame, from their listing."""
+    sc = df.sparkSession.sparkContext
+    total, seen = 0, set()
+    for file in df.inputFiles():
+        folder = sc._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        if folder.toString() not in seen:
+            seen.add(folder.toString())
+            system = folder.getFileSystem(sc._jsc.hadoopConfiguration())
+            total += system.getContentSummary(folder).getLength()
+    return total
+
+
 def compact(
     df: DataFrame, out_path: str, target_bytes: int = 512 * 1024 * 1024,
-    sort_cols: list[str] | None = None,
+    sort_cols: list[str] | None = None, partition_by: list[str] | None = None,
 ) -> DataFrame:
     """Rewrite a file-backed DataFrame into files of about `target_bytes`; returns the copy.
 
     Without sort columns, neighbouring input partitions are joined and nothing is shuffled.
     With them, rows are range-partitioned by the columns and, last, by a hash of the row: a
-    value that fills a large part of the table is cut into several files.
+    value that fills a large part of the table is cut into several files. A table with
+    partition columns is ranged by these first, so each partition gets few files.
     """
-    detail = table_detail(df).first()
-    files = max(1, -(-(detail["size_bytes"] or 0) // target_bytes))
-    if sort_cols:
-        ranged = df.repartitionByRange(files, *sort_cols, F.xxhash64(*df.columns))
-        packed = ranged.sortWithinPartitions(*sort_cols)
+    files = max(1, -(-listed_bytes(df) // target_bytes))
+    by = [*(partition_by or []), *(sort_cols or [])]
+    if by:
+        ranged = df.repartitionByRange(files, *by, F.xxhash64(*df.columns))
+        packed = ranged.sortWithinPartitions(*by)
     else:
         packed = df.coalesce(files)
-    packed.write.mode("errorifexists").parquet(out_path)
+    writer = packed.write.mode("errorifexists")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(out_path)
     return df.sparkSession.read.schema(df.schema).parquet(out_path)
 
 
@@ -371,9 +369,11 @@ def compact_tables(
     """Compact every catalog table of a database whose name starts with `prefix`.
 
     Each table is rewritten below `out_root`, then its location is switched, so readers see
-    either the old or the new files. Views are skipped. Returns one row per item.
+    either the old or the new files; a partitioned table is rewritten as one and its partitions
+    are moved one by one, so there this holds for each partition. Views are skipped. Tables
+    are worked on side by side. Returns one row per item.
     """
-    results = []
+    results, work = [], []
     for item in spark.catalog.listTables(database):
         if item.isTemporary or not item.name.startswith(prefix):
             continue
@@ -381,12 +381,29 @@ def compact_tables(
         if item.tableType == "VIEW":
             results.append((item.name, "view", None))
             continue
-        out = f"{out_root.rstrip('/')}/{item.name}"
+        work.append((item.name, name, f"{out_root.rstrip('/')}/{item.name}"))
+
+    def one(short: str, name: str, out: str) -> tuple[str, str, str | None]:
         try:
-            compact(spark.table(name), out, target_bytes, (sort_cols or {}).get(item.name))
-            spark.sql(f"ALTER TABLE {name} SET LOCATION '{out}'")
+            keys = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+            compact(spark.table(name), out, target_bytes, (sort_cols or {}).get(short), keys)
+            if not keys:
+                spark.sql(f"ALTER TABLE {name} SET LOCATION '{out}'")
+            for row in spark.sql(f"SHOW PARTITIONS {name}").collect() if keys else []:
+                values = [part.partition("=")[::2] for part in row[0].split("/")]
+                spec = ", ".join(f"`{k}`='{unescaped(v)}'" for k, v in values)
+                spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION '{out}/{row[0]}'")
             spark.catalog.refreshTable(name)
-            results.append((item.name, "ok", None))
+            return short, "ok", None
         except Exception as e:  # one bad table must not keep the others from being compacted
-            results.append((item.name, "failed", str(e).splitlines()[0]))
+            return short, "failed", str(e).splitlines()[0]
+
+    if work:
+        with ThreadPoolExecutor(max_workers=WORKERS) as pool:
+            results += pool.map(lambda item: one(*item), work)
     return spark.createDataFrame(results, "table_name STRING, status STRING, error STRING")
+
+
+def unescaped(value: str) -> str:
+    """A partition value as it stands in SQL text, from its form in a folder name."""
+    return unquote(value).replace("\\", "\\\\").replace("'", "\\'")

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderlake.operators.dedup import dedup_latest, newest_first
-from orderlake.operators.flatten import ORDER_KEY_H, parse_raw, preprocess_bronze
+from orderlake.operators.flatten import ORDER_KEY_H, READS_H, parse_raw, preprocess_bronze
+from orderlake.operators.merge import has_null_key
+from orderlake.operators.quality import split_raw
 from orderlake.operators.tables import VersionedTable, order_block
 from orderlake.plans.registry import transforms
-from orderlake.sources.sinks import fan_out, save_or_merge
+from orderlake.sources.sinks import fan_out, save_or_merge, write_dead_letters
 
 # The order's own date decides; enqueue time and sequence number settle ties.
 LATEST = ("orderDate", "EventEnqueuedUtcTime", "SequenceNumber")
@@ -34,6 +36,13 @@ def silver_tables(
     return stored
 
 
+def json_columns(names: list[str]) -> list[str] | None:
+    """JSON text columns that the transforms called `names` read; None for all."""
+    if any(n not in READS_H for n in names):
+        return None
+    return sorted({"status"} | {path.split(".")[0] for n in names for path in READS_H[n]})
+
+
 def upsert_silver(
     raw: DataFrame,
     tables: dict[str, VersionedTable],
@@ -41,26 +50,47 @@ def upsert_silver(
     as_of: Column | None = None,
     on_source_duplicates: str = "latest",
     writer: str = "silver",
+    dead_letters: str | None = None,
 ) -> None:
     """Upsert one raw batch into the silver tables, parsed once.
 
-    A document may hold one child key twice. "latest" keeps the child that is largest by
-    its columns; "error" stores all of them on the first load and fails on a later merge.
+    Documents with a JSON text that does not convert are left out before anything else, so they
+    hide no older good document. A document may hold one child key twice. "latest" stores the
+    child that is largest by its columns; "error" stores all of them on the first load and
+    fails on a later merge. With `dead_letters`, a folder, both kinds of rejected rows are kept
+    there: broken documents under stage `parse`, children under `duplicate_<table>`.
     """
     if raw.isEmpty():
         return
-    documents = parse_raw(latest_documents(raw, as_of))
+    good, bad = split_raw(raw, json_columns(list(tables)))
+    if dead_letters:
+        write_dead_letters(bad, dead_letters, "silver", "parse", batch_id, writer)
+    documents = parse_raw(latest_documents(good, as_of), list(tables))
     known = transforms()
 
     def write(name: str, rows: DataFrame) -> None:
-        tie_break = [F.col(c).desc_nulls_last() for c in rows.columns if c not in known[name].keys]
-        save_or_merge(
-            tables[name],
-            rows,
-            on_source_duplicates=on_source_duplicates,
-            order_by=tie_break,
-            writer=writer,
-            batch_id=batch_id,
-        )
+        keys = known[name].keys
+        tie_break = [F.col(c).desc_nulls_last() for c in rows.columns if c not in keys]
+        mode, ranked = on_source_duplicates, None
+        if dead_letters and mode == "latest":
+            # Ranked once: the first of each key is stored, the others are kept beside.
+            nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*tie_break))
+            nth = F.when(has_null_key(keys), F.lit(1)).otherwise(nth)
+            ranked = rows.withColumn("_nth", nth).persist()
+            losers = ranked.filter("_nth > 1").drop("_nth")
+            write_dead_letters(losers, dead_letters, "silver", f"duplicate_{name}", batch_id, writer)
+            rows, mode = ranked.filter("_nth = 1").drop("_nth"), "assume_unique"
+        try:
+            save_or_merge(
+                tables[name],
+                rows,
+                on_source_duplicates=mode,
+                order_by=tie_break,
+                writer=writer,
+                batch_id=batch_id,
+            )
+        finally:
+            if ranked is not None:
+                ranked.unpersist()
 
     fan_out(documents, {name: known[name].fn for name in tables}, write)

@@ -52,7 +52,7 @@ def latest(stream: DataFrame, name: str) -> DataFrame:
     rows = dedup_latest(stream, [table.key], order, keep_rn=True)
     if name == "row":
         rows = rows.withColumn("orderDateLocal", local_time_ms("orderDate"))
-    return conform(rows, schemas.WAREHOUSE[name])
+    return conform(rows, schemas.struct(schemas.WAREHOUSE[name]))
 
 
 def refresh_state(

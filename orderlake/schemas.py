@@ -136,51 +136,38 @@ def prune(kind: T.DataType, paths: list[str]) -> T.DataType:
 
 
 # --- output contracts ----------------------------------------------------------------
-def contract(spec: str) -> T.StructType:
-    """Column contract from `type: name name …` lines."""
-    types = {
-        "STRING": T.StringType(),
-        "BOOLEAN": T.BooleanType(),
-        "DOUBLE": T.DoubleType(),
-        "TIMESTAMP": T.TimestampType(),
-        "BIGINT": T.LongType(),
-    }
-    lines = [line.split(":") for line in spec.strip().splitlines()]
-    return T.StructType(
-        [T.StructField(n, types[kind.strip()]) for kind, names in lines for n in names.split()]
-    )
-
-
-# Column names and types of the three warehouse tables.
+# Columns of the three warehouse tables, in the order of their declarations.
 WAREHOUSE = {
-    "order": contract("""
-        STRING: order_bk orderNumber status_value salesBrand country currency source_name source_title
-        STRING: clientIP status_title fraudStatus_value fraudStatus_title
-        STRING: deliveryStatus_value deliveryStatus_title customerNumber
-        STRING: invoiceAddress_firstName invoiceAddress_lastName invoiceAddress_email
-        STRING: invoiceAddress_mobilePhone invoiceAddress_address_street
-        STRING: invoiceAddress_address_postalCode invoiceAddress_address_city
-        STRING: invoiceAddress_address_countryCode
-        BOOLEAN: source_isExternal
-        DOUBLE: total_handlingFee total_shippingFee total_salesAmount total_discount
-        DOUBLE: total_totalAmount total_creditedAmount
-        TIMESTAMP: orderDate EventEnqueuedUtcTime updated_datetime
-        BIGINT: rn
-    """),
-    "payment": contract("""
-        STRING: order_bk payment_bk orderNumber status_value title psp method alternative pspReference
-        DOUBLE: amount
-        TIMESTAMP: EventEnqueuedUtcTime updated_datetime
-        BIGINT: rn
-    """),
-    "row": contract("""
-        STRING: bucket_bk row_bk orderNumber SKU Name Color Size Brand URL ImageName
-        STRING: salesBrand customerNumber country currency status_value
-        STRING: source_name deliveryStatus_value fraudStatus_value
-        BIGINT: BucketNumber RowNumber OrderedQuantity DeliveredQuantity CancelledQuantity
-        BIGINT: NotifiedReturnQuantity ReturnedQuantity rn
-        DOUBLE: SingleBasePrice SingleSalesPrice ManualDiscount TotalDiscount TotalAmount VATRate
-        BOOLEAN: source_isExternal
-        TIMESTAMP: orderDate source_updated_datetime updated_datetime orderDateLocal
-    """),
+    "order": """
+        order_bk STRING, orderNumber STRING, status_value STRING, orderDate TIMESTAMP,
+        salesBrand STRING, country STRING, total_creditedAmount DOUBLE,
+        EventEnqueuedUtcTime TIMESTAMP, updated_datetime TIMESTAMP,
+        invoiceAddress_address_countryCode STRING, total_handlingFee DOUBLE,
+        total_shippingFee DOUBLE, total_salesAmount DOUBLE, total_discount DOUBLE,
+        total_totalAmount DOUBLE, invoiceAddress_lastName STRING, invoiceAddress_email STRING,
+        invoiceAddress_mobilePhone STRING, invoiceAddress_address_street STRING,
+        invoiceAddress_address_postalCode STRING, invoiceAddress_address_city STRING,
+        fraudStatus_value STRING, fraudStatus_title STRING, deliveryStatus_value STRING,
+        deliveryStatus_title STRING, customerNumber STRING, invoiceAddress_firstName STRING,
+        currency STRING, source_name STRING, source_title STRING, source_isExternal BOOLEAN,
+        clientIP STRING, status_title STRING, rn BIGINT
+    """,
+    "payment": """
+        pspReference STRING, EventEnqueuedUtcTime TIMESTAMP, updated_datetime TIMESTAMP,
+        status_value STRING, title STRING, psp STRING, method STRING, alternative STRING,
+        amount DOUBLE, order_bk STRING, payment_bk STRING, orderNumber STRING, rn BIGINT
+    """,
+    "row": """
+        bucket_bk STRING, row_bk STRING, orderNumber STRING, BucketNumber BIGINT,
+        RowNumber BIGINT, SKU STRING, Name STRING, Color STRING, Size STRING, Brand STRING,
+        URL STRING, ImageName STRING, OrderedQuantity BIGINT, DeliveredQuantity BIGINT,
+        CancelledQuantity BIGINT, NotifiedReturnQuantity BIGINT, ReturnedQuantity BIGINT,
+        SingleBasePrice DOUBLE, SingleSalesPrice DOUBLE, ManualDiscount DOUBLE,
+        TotalDiscount DOUBLE, TotalAmount DOUBLE, VATRate DOUBLE, orderDate TIMESTAMP,
+        salesBrand STRING, customerNumber STRING, country STRING, currency STRING,
+        status_value STRING, source_isExternal BOOLEAN, source_name STRING,
+        deliveryStatus_value STRING, fraudStatus_value STRING,
+        source_updated_datetime TIMESTAMP, updated_datetime TIMESTAMP,
+        orderDateLocal TIMESTAMP, rn BIGINT
+    """,
 }

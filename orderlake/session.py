@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -26,8 +25,6 @@ RUNTIME_CONF = {
 # projection that parses the array, so that each JSON text is parsed twice. Left out.
 EXCLUDED_RULE = "org.apache.spark.sql.catalyst.optimizer.InferFiltersFromGenerate"
 
-_shared_roots: dict[str, str] = {}
-
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session and return it."""
@@ -54,20 +51,10 @@ def build_session(app_name: str = "orderlake", master: str | None = None, **conf
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from `spark.checkpoint.dir`.
-
-    Only a local master may go without the setting: there one fresh temporary folder is
-    used for the life of the application, since driver and executors share the machine.
-    """
+    """Folder every executor can reach: `spark.checkpoint.dir`, or else below the warehouse,
+    which driver and executors share too."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
-    app = spark.conf.get("spark.app.id", "local")
-    if app not in _shared_roots:
-        _shared_roots[app] = tempfile.mkdtemp(prefix="orderlake-")
-    return _shared_roots[app]
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work").rstrip("/")
 
 
 def work_path(spark: SparkSession, label: str) -> str:

@@ -8,8 +8,7 @@ from pyspark.sql import types as T
 
 from orderlake import schemas
 
-# Micro-batch limits of the event host.
-MAX_BATCH_EVENTS = 10_000
+# Micro-batch settings of the event host.
 MIN_BATCH_EVENTS = 100
 MAX_BATCH_WAIT = "2m"
 
@@ -44,11 +43,11 @@ def read_events(
 
 
 def kafka_options(servers: str, topic: str, **extra: str) -> dict[str, str]:
-    """Options of a Kafka-compatible event hub source, with the host's batch limits."""
+    """Options of a Kafka-compatible event hub source. A batch takes all there is; give
+    `maxOffsetsPerTrigger` where batches must be smaller."""
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
-        "maxOffsetsPerTrigger": str(MAX_BATCH_EVENTS),
         "minOffsetsPerTrigger": str(MIN_BATCH_EVENTS),
         "maxTriggerDelay": MAX_BATCH_WAIT,
         **extra,

@@ -12,19 +12,29 @@ from pyspark.sql import types as T
 from orderlake.operators.tables import VersionedTable
 
 
-def _batch_writer(df: DataFrame, path: str, batch_id: int | None) -> tuple[DataFrameWriter, str]:
+def _batch_writer(
+    df: DataFrame, path: str, batch_id: int | None, writer: str
+) -> tuple[DataFrameWriter, str]:
     """Writer and folder of a batch. A numbered batch is overwritten by its replay, so an
-    at-least-once input does not append it twice; unnumbered rows are simply appended."""
+    at-least-once input does not append it twice; unnumbered rows are simply appended.
+
+    Numbers are only unique within one writer: a second stream, or one whose checkpoint was
+    reset, begins at 0 again, so its name (its query id) is part of the folder.
+    """
     if batch_id is None:
         return df.write.mode("append"), f"{path}/batch=unnumbered"
-    return df.write.mode("overwrite"), f"{path}/batch={batch_id}"
+    return df.write.mode("overwrite"), f"{path}/batch={writer}-{batch_id}"
 
 
 def append_table(
-    df: DataFrame, path: str, batch_id: int | None = None, partition_by: list[str] | None = None
+    df: DataFrame,
+    path: str,
+    batch_id: int | None = None,
+    partition_by: list[str] | None = None,
+    writer: str = "batch",
 ) -> None:
     """Append rows; the first append creates the table, later ones may bring new columns."""
-    writer, target = _batch_writer(df, path, batch_id)
+    writer, target = _batch_writer(df, path, batch_id, writer)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(target)
@@ -66,10 +76,15 @@ def fan_out(
 
 
 def write_dead_letters(
-    df: DataFrame, path: str, consumer: str, stage: str, batch_id: int | None = None
+    df: DataFrame,
+    path: str,
+    consumer: str,
+    stage: str,
+    batch_id: int | None = None,
+    writer: str = "batch",
 ) -> None:
     """Keep rejected bodies as JSON under consumer and stage (and batch, replay-safe)."""
-    writer, target = _batch_writer(df, f"{path}/consumer={consumer}/stage={stage}", batch_id)
+    writer, target = _batch_writer(df, f"{path}/consumer={consumer}/stage={stage}", batch_id, writer)
     writer.json(target)
 
 

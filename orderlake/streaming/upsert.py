@@ -34,13 +34,19 @@ def trigger(interval: str | None = None) -> dict:
     return {"processingTime": interval} if interval else {"availableNow": True}
 
 
+def query_id(batch: DataFrame, checkpoint: str) -> str:
+    """Name of the running stream: kept in its checkpoint, new after the checkpoint is reset."""
+    found = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return found or checkpoint
+
+
 def start_batches(
     events: DataFrame,
-    upsert_batch: Callable[[DataFrame, int], None],
+    upsert_batch: Callable[[DataFrame, int, str], None],
     checkpoint: str,
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Run `upsert_batch(batch, batch_id)` on every micro-batch.
+    """Run `upsert_batch(batch, batch_id, query_id)` on every micro-batch.
 
     A stream plans its batches with adaptive execution off. The upserts inside a batch are
     ordinary queries, so the engine's settings are put back for them.
@@ -48,54 +54,75 @@ def start_batches(
 
     def configured(batch: DataFrame, batch_id: int) -> None:
         configure(batch.sparkSession)
-        upsert_batch(batch, batch_id)
+        upsert_batch(batch, batch_id, query_id(batch, checkpoint))
 
     writer = events.writeStream.foreachBatch(configured).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger(interval)).start()
 
 
-def start_upsert_stream(
-    spark: SparkSession,
-    source_dir: str,
+def upsert_stream(
+    raw: DataFrame,
     target_dir: str,
     checkpoint: str,
     interval: str | None = None,
-    max_files_per_trigger: int | None = None,
     as_of: Column | None = None,
     buckets: int | None = None,
     names: list[str] | None = None,
+    orders_per_block: int | None = None,
+    on_source_duplicates: str = "latest",
 ) -> StreamingQuery:
-    """Raw order updates arriving in `source_dir`, upserted into the silver tables."""
-    raw = read_events(
-        spark, source_dir, schemas.RAW_H, max_files_per_trigger=max_files_per_trigger
-    )
-    tables = silver_tables(spark, target_dir, buckets)
+    """Raw order updates from any streaming DataFrame, upserted into the silver tables.
+
+    Documents whose JSON texts do not convert, and child rows that lose against another one of
+    the same key in their document, are kept below `<target_dir>/deadletters`.
+    """
+    tables = silver_tables(raw.sparkSession, target_dir, buckets, orders_per_block)
     if names:
         tables = {n: tables[n] for n in names}
 
-    def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        upsert_silver(batch, tables, batch_id, as_of, writer=checkpoint)
+    def upsert_batch(batch: DataFrame, batch_id: int, query: str) -> None:
+        upsert_silver(
+            batch,
+            tables,
+            batch_id,
+            as_of,
+            on_source_duplicates,
+            writer=query,
+            dead_letters=f"{target_dir}/deadletters",
+        )
 
     return start_batches(raw, upsert_batch, checkpoint, interval)
 
 
-def start_ingest_stream(
+def start_upsert_stream(
     spark: SparkSession,
     source_dir: str,
     target_dir: str,
     checkpoint: str,
-    consumer: str = "orderlake",
     interval: str | None = None,
     max_files_per_trigger: int | None = None,
-    as_of: Column | None = None,
+    **options,
 ) -> StreamingQuery:
-    """Event bodies arriving in `source_dir`, appended to the three stream tables; bodies
-    that do not parse go to the dead letters."""
-    events = read_events(
-        spark, source_dir, schemas.ENVELOPE, max_files_per_trigger=max_files_per_trigger
+    """`upsert_stream` over the files that arrive in `source_dir`."""
+    raw = read_events(
+        spark, source_dir, schemas.RAW_H, max_files_per_trigger=max_files_per_trigger
     )
+    return upsert_stream(raw, target_dir, checkpoint, interval, **options)
+
 
-    def ingest(batch: DataFrame, batch_id: int) -> None:
+def ingest_stream(
+    events: DataFrame,
+    target_dir: str,
+    checkpoint: str,
+    consumer: str = "orderlake",
+    interval: str | None = None,
+    as_of: Column | None = None,
+) -> StreamingQuery:
+    """Event bodies from any streaming DataFrame in the envelope's layout (for example
+    `read_kafka_events`), appended to the three stream tables; bodies that do not parse go to
+    the dead letters."""
+
+    def ingest(batch: DataFrame, batch_id: int, query: str) -> None:
         if batch.isEmpty():
             return
 
@@ -107,10 +134,28 @@ def start_ingest_stream(
 
         def write(name: str, rows: DataFrame) -> None:
             if name == "dead":
-                write_dead_letters(rows, f"{target_dir}/deadletters", consumer, "parse", batch_id)
+                path = f"{target_dir}/deadletters"
+                write_dead_letters(rows, path, consumer, "parse", batch_id, query)
             else:
-                append_table(rows, f"{target_dir}/{STREAM_TABLES[name][1]}", batch_id)
+                append_table(rows, f"{target_dir}/{STREAM_TABLES[name][1]}", batch_id, writer=query)
 
         fan_out(parse_checked(batch), outputs, write)
 
     return start_batches(events, ingest, checkpoint, interval)
+
+
+def start_ingest_stream(
+    spark: SparkSession,
+    source_dir: str,
+    target_dir: str,
+    checkpoint: str,
+    consumer: str = "orderlake",
+    interval: str | None = None,
+    max_files_per_trigger: int | None = None,
+    as_of: Column | None = None,
+) -> StreamingQuery:
+    """`ingest_stream` over the files that arrive in `source_dir`."""
+    events = read_events(
+        spark, source_dir, schemas.ENVELOPE, max_files_per_trigger=max_files_per_trigger
+    )
+    return ingest_stream(events, target_dir, checkpoint, consumer, interval, as_of)

@@ -105,7 +105,8 @@ def test_json_lines_with_declared_schema(spark, tmp_path):
 
 def test_kafka_source_options_and_envelope(spark):
     options = events.kafka_options("host:9093", "orders", startingOffsets="earliest")
-    assert options["maxOffsetsPerTrigger"] == "10000"
+    assert "maxOffsetsPerTrigger" not in options  # no cap unless one is asked for
+    assert events.kafka_options("h", "t", maxOffsetsPerTrigger="5")["maxOffsetsPerTrigger"] == "5"
     assert options["minOffsetsPerTrigger"] == "100"
     assert options["maxTriggerDelay"] == "2m"
     records = spark.sql("SELECT binary('k') key, binary('{}') value, 5L offset, timestamp'2025-01-01' timestamp")
@@ -122,13 +123,19 @@ def test_work_folder_comes_from_the_session(spark):
     assert work_path(spark, "x") != work_path(spark, "x")
 
 
-def test_a_cluster_without_shared_folder_is_refused():
+def test_without_a_shared_folder_work_goes_below_the_warehouse():
     class Conf:
         def get(self, key, default=None):
-            return "yarn" if key == "spark.master" else default
+            return "hdfs://x/wh" if key == "spark.sql.warehouse.dir" else default
 
     class Session:
         conf = Conf()
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_root(Session())
+    assert shared_root(Session()) == "hdfs://x/wh/_work"
+
+
+def test_writers_do_not_overwrite_each_other(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for writer, value in (("a", 1), ("b", 2), ("a", 1)):
+        sinks.append_table(spark.createDataFrame([(value,)], "id INT"), path, 0, writer=writer)
+    assert sorted(r.id for r in sinks.read_appended(spark, path).collect()) == [1, 2]

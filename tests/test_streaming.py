@@ -1,4 +1,5 @@
 import json
+import shutil
 from datetime import datetime, timedelta
 from decimal import Decimal
 
@@ -73,7 +74,7 @@ def test_silver_stream_upserts_and_continues_from_its_checkpoint(spark, tmp_path
     assert rows(tables["order"].read(), "order_bk", "salesBrand") == [
         ("1_new", "later"), ("2_new", "changed"), ("2_sent", None),
     ]
-    assert tables["order"].history().count() == 2
+    assert tables["order"].versions() == [1, 2]
 
 
 def test_files_per_batch_are_limited(spark, tmp_path):
@@ -95,7 +96,7 @@ def test_batches_are_planned_adaptively(spark, tmp_path):
     run(
         upsert.start_batches(
             stream,
-            lambda batch, _: seen.append(batch.sparkSession.conf.get("spark.sql.adaptive.enabled")),
+            lambda batch, *_: seen.append(batch.sparkSession.conf.get("spark.sql.adaptive.enabled")),
             str(tmp_path / "cp"),
         )
     )
@@ -132,6 +133,55 @@ def test_repeated_child_keys(spark, tmp_path):
         silver.upsert_silver(raw, {"row": every["row"]}, on_source_duplicates="error")
 
 
+def test_a_reset_checkpoint_loses_nothing(spark, tmp_path):
+    source, again, target = (str(tmp_path / n) for n in ("in", "again", "silver"))
+    options = {"names": ["order"], "buckets": 2}
+    land_raw(spark, source, [document(1, "new")])
+    run(upsert.start_upsert_stream(spark, source, target, str(tmp_path / "cp"), **options))
+    land_raw(spark, again, [document(2, "new")])
+    run(upsert.start_upsert_stream(spark, again, target, str(tmp_path / "cp2"), **options))
+    tables = silver.silver_tables(spark, target)
+    assert rows(tables["order"].read(), "order_bk") == [("1_new",), ("2_new",)]
+    # the same folder name for the checkpoint, emptied in between
+    third = str(tmp_path / "third")
+    land_raw(spark, third, [document(3, "new")])
+    shutil.rmtree(tmp_path / "cp2")
+    run(upsert.start_upsert_stream(spark, third, target, str(tmp_path / "cp2"), **options))
+    assert rows(tables["order"].read(), "order_bk") == [("1_new",), ("2_new",), ("3_new",)]
+
+
+def test_two_ingest_streams_share_tables(spark, tmp_path):
+    target = str(tmp_path / "stream")
+    for i, bad in ((1, "[1]"), (2, "[2]")):
+        source = str(tmp_path / f"in{i}")
+        land_bodies(spark, source, [json.dumps(document(i, "new")), bad])
+        run(upsert.start_ingest_stream(spark, source, target, str(tmp_path / f"cp{i}")))
+    orders = read_appended(spark, f"{target}/{upsert.STREAM_TABLES['order'][1]}")
+    assert rows(orders, "order_bk") == [("1",), ("2",)]
+    dead = read_dead_letters(spark, f"{target}/deadletters", "body STRING")
+    assert rows(dead, "body") == [("[1]",), ("[2]",)]
+
+
+def test_rejected_rows_of_a_silver_stream_are_kept(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "silver")
+    twice = [{"bucketNumber": 1, "rows": [{"rowNumber": 1, "sku": "A"}, {"rowNumber": 1, "sku": "B"}]}]
+    land_raw(spark, source, [document(1, "new", buckets=twice), document(2, "new"), document(3, "new")])
+    raw = spark.read.schema(schemas.RAW_H).parquet(source)
+    broken = F.when(F.col("orderNumber") == "2", F.lit("[{")).otherwise(F.col("buckets"))
+    status = F.when(F.col("orderNumber") == "3", F.lit('{"value":')).otherwise(F.col("status"))
+    landed = str(tmp_path / "landed")
+    raw.withColumns({"buckets": broken, "status": status}).write.parquet(landed)
+    stream = spark.readStream.schema(schemas.RAW_H).parquet(landed)
+    run(upsert.upsert_stream(stream, target, str(tmp_path / "cp"), buckets=2, names=["order", "row"], orders_per_block=100))
+    tables = silver.silver_tables(spark, target)
+    assert rows(tables["order"].read(), "order_bk") == [("1_new",)]
+    assert rows(tables["row"].read(), "SKU") == [("B",)]
+    dead = spark.read.json(f"{target}/deadletters/consumer=silver/stage=parse")
+    assert rows(dead, "orderNumber", "broken") == [("2", ["buckets"]), ("3", ["status"])]
+    lost = spark.read.json(f"{target}/deadletters/consumer=silver/stage=duplicate_row")
+    assert rows(lost, "SKU") == [("A",)]
+
+
 def test_triggers():
     assert upsert.trigger() == {"availableNow": True}
     assert upsert.trigger(upsert.INTERVAL) == {"processingTime": "5 minutes"}

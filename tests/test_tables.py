@@ -27,9 +27,8 @@ def stored(spark, tmp_path):
 def test_absent_table(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "none"), ["k"])
     assert not table.exists() and table.commit() is None and table.versions() == []
-    for act in (table.read, table.history, table.changes):
-        with pytest.raises(ValueError):
-            act()
+    with pytest.raises(ValueError):
+        table.read()
 
 
 def test_merge_makes_a_new_version_and_keeps_the_old(spark, stored):
@@ -48,7 +47,7 @@ def test_only_touched_buckets_are_rewritten(spark, stored):
     assert sorted(placement.values()) == [1, 1, 1, 2]
     moved = stored.read().select("k", "v").exceptAll(stored.read(1).select("k", "v"))
     assert rows(moved) == [("3", "s")]
-    written = stored.history().filter("version = 2").first()["rows_written"]
+    written = stored.commit(2).facts["rows_written"]
     assert 1 <= written < 20
 
 
@@ -84,7 +83,7 @@ def test_unfinished_commit_is_ignored(stored):
 def test_watermark_never_goes_back(spark, stored):
     stored.merge(frame(spark, [("3", T3, "s")]), NEWER)
     stored.merge(frame(spark, [("4", T2, "s")]), NEWER)
-    assert [r.watermark for r in stored.history().collect()] == [T1, T3, T3]
+    assert [stored.commit(v).facts["watermark"] for v in (1, 2, 3)] == [T1, T3, T3]
 
 
 def test_null_keys_are_inserted_again_or_left_out(spark, stored):
@@ -117,15 +116,35 @@ def test_new_columns_of_a_source_are_added(spark, stored):
     assert stored.read().columns == ["k", "ts", "v", "extra"]
     assert rows(stored.read().filter("extra IS NOT NULL"), "k") == [("3",)]
     assert stored.read().count() == 20
-    assert "extra" in stored.changes(2).columns
 
 
-def test_changes_of_versions(spark, stored):
-    stored.merge(frame(spark, [("3", T2, "s")]), NEWER)
-    stored.merge(frame(spark, [("y", T2, "s")]), NEWER)
-    got = rows(stored.changes(2), "_commit_version", "_change_type", "k")
-    assert got == [(2, "update_postimage", "3"), (2, "update_preimage", "3"), (3, "insert", "y")]
-    assert stored.changes().filter("_change_type = 'insert'").count() == 21
+def test_a_wider_source_type_leaves_the_table_its_own(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "w"), ["k"], buckets=4)
+    table.create(spark.createDataFrame([(str(i), i) for i in range(20)], "k STRING, v BIGINT"))
+    source = spark.createDataFrame([("3", 33.0), (None, 7.0), ("x", 1.0)], "k STRING, v DOUBLE")
+    table.merge(source)
+    assert dict(table.read().dtypes)["v"] == "bigint"
+    assert table.read().count() == 22
+    assert rows(table.read().filter("k = '3' OR k IS NULL"), "v") == [(33,), (7,)]
+
+
+def test_a_second_writer_is_refused(spark, stored):
+    other = VersionedTable(spark, stored.path, ["k"], buckets=4)
+    with pytest.raises(RuntimeError, match="exists"):
+        other.create(frame(spark, [("z", T1, "t")]))
+    facts = {"rows": 0, "watermark": None}
+    with pytest.raises(RuntimeError, match="one writer"):
+        stored._commit(1, {}, frame(spark, []).schema, 4, facts, operation="x", writer="w", batch_id=None)
+    assert stored.read().count() == 20
+
+
+def test_one_bucket_is_merged_by_several_tasks(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "h"), ["k"], buckets=1)
+    table.create(frame(spark, [(str(i), T1, "t") for i in range(200)]))
+    table.merge(frame(spark, [(str(i), T2, "s") for i in range(100)]), NEWER)
+    files = os.listdir(f"{table.path}/data/_version=2/_bucket=0")
+    assert sum(f.endswith(".parquet") for f in files) > 2
+    assert table.read().filter("v = 's'").count() == 100
 
 
 def test_order_blocks_keep_neighbours_together(spark, tmp_path):
