@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import sent_if_small, stored, text_key
+from orderlake.llm.common import BROADCAST_BYTES, sent_if_small, stored, stored_bytes, text_key
 from orderlake.llm.tokens import by_bytes
 from orderlake.llm.words import GOLDEN, Words, mixed
 
@@ -207,7 +207,7 @@ def connected(edges: DataFrame) -> DataFrame:
     of rounds grows with the logarithm of a part's length.
     """
     both = edges.select("a", "b").union(edges.select("b", "a")).toDF("key", "other")
-    labels = stored(both.groupBy("key").agg(F.least(F.col("key"), F.min("other")).alias("label")), "labels")
+    labels = both.groupBy("key").agg(F.least(F.col("key"), F.min("other")).alias("label"))
     while True:
         shortcut = labels.where("label <> key")
         links = both.union(shortcut.select("key", "label")).union(shortcut.select("label", "key"))
@@ -241,8 +241,9 @@ def classes(
     # Only buckets of two or more distinct texts go on: few beside all the postings.
     shared = stored(shared.where("n > 1").select("bucket", "hub"), "buckets")
     members = stored(posted.join(sent_if_small(shared), "bucket"), "members")
-    nodes = stored(members.select("key").distinct(), "nodes")
-    texts = keyed.join(sent_if_small(nodes), "key", "left_semi").select("key", "text")
+    nodes = members.select("key").distinct()
+    nodes = F.broadcast(nodes) if stored_bytes(members) <= BROADCAST_BYTES else nodes
+    texts = keyed.join(nodes, "key", "left_semi").select("key", "text")
     texts = stored(texts.dropDuplicates(["key"]), "texts")
 
     def similar_sizes(x: str, y: str):
@@ -310,7 +311,7 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
         F.when(F.trim(F.regexp_replace(text, r"\s+", " ")) != "", text_key(text)).alias("key"),
         text.alias("text"),
     )
-    labels = stored(classes(keyed, **options), "classes")
+    labels = classes(keyed, **options)
     rows = keyed.select("doc_id", "key").join(sent_if_small(labels), "key", "left").select(
         "doc_id", F.coalesce("label", "key").alias("class")
     )
@@ -318,8 +319,7 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
     sizes = rows.where("class IS NOT NULL").groupBy("class").agg(
         F.min("doc_id").alias("class_id"), F.count("*").alias("class_rows")
     )
-    shared = stored(sizes.where("class_rows > 1"), "shared")
-    return rows.join(sent_if_small(shared), "class", "left").select(
+    return rows.join(sizes.where("class_rows > 1"), "class", "left").select(
         "doc_id",
         F.when(F.col("class_rows").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("class_rows", F.lit(1)).cast("long").alias("class_rows"),
@@ -339,7 +339,7 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
         F.when(F.trim(F.regexp_replace(text, r"\s+", " ")) != "", text_key(text)).alias("key"),
         text.alias("text"),
     )
-    labels = stored(classes(keyed.select("key", "text"), **options), "classes")
+    labels = classes(keyed.select("key", "text"), **options)
     place = F.struct(F.col("row.doc_id").isNull().alias("no_id"), F.col("row.doc_id").alias("id"), "key")
     rows = keyed.select("row", "key", place.alias("place")).join(sent_if_small(labels), "key", "left")
     rows = rows.withColumn("class", F.coalesce("label", "key"))

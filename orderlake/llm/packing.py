@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlake.llm.common import stored
-from orderlake.llm.tokens import TextEncoder, by_bytes, little_endian, tokenizer_path
+from orderlake.llm.tokens import by_bytes, little_endian, text_encoder, tokenizer_path
 
 CAPACITY = 1024
 END_ID = 2
@@ -47,7 +47,7 @@ def cut_documents(docs: DataFrame, path: str | None, capacity: int, end_id: int)
     path = path or tokenizer_path()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(path)
+        encoder = text_encoder(path)
         for batch in batches:
             for part in by_bytes(batch, "text"):
                 rows: tuple[list, ...] = ([], [], [], [], [])

@@ -20,6 +20,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -77,6 +78,12 @@ class TextEncoder:
         return ids
 
 
+@cache
+def text_encoder(path: str) -> TextEncoder:
+    """The encoder of a file, loaded once by a worker."""
+    return TextEncoder(path)
+
+
 def stretches(text: str, size: int = BATCH_BYTES) -> Iterator[str]:
     """`text` in parts of about `size` characters, each but the first starting at a safe space."""
     start = 0
@@ -115,7 +122,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = 1024) ->
     path = path or tokenizer_path()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(path)
+        encoder = text_encoder(path)
         for batch in batches:
             for part in by_bytes(batch, "text"):
                 counts = [len(encoder.ids(t)) if t else 0 for t in part.column("text").to_pylist()]

@@ -8,6 +8,7 @@ running sums give the polynomials of all words, and of their beginnings, without
 from __future__ import annotations
 
 import sys
+from functools import cache
 
 import numpy as np
 
@@ -35,13 +36,19 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(factors)
 
 
+@cache
+def _in_word(underscore: bool) -> np.ndarray:
+    """For each code point whether it is part of a word; made once by a worker."""
+    table = np.fromiter((chr(c).isalnum() for c in range(sys.maxunicode + 1)), np.int8, sys.maxunicode + 1)
+    table[ord("_")] = underscore
+    return table
+
+
 class Words:
     """Words of a text: places in its lower-case form, and hashes."""
 
     def __init__(self, underscore: bool = True):
-        table = [chr(c).isalnum() for c in range(sys.maxunicode + 1)]
-        self.in_word = np.array(table, np.int8)
-        self.in_word[ord("_")] = underscore
+        self.in_word = _in_word(underscore)
         self.power, self.back = _powers(_BASE, 1), _powers(_INVERSE, 1)
 
     def of(self, text: str, beginnings: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:

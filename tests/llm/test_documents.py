@@ -250,9 +250,10 @@ def test_mix(spark):
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
     aims = dict(zip(names, targets([sizes[n] for n in names], [(3, 1, 2)[i % 3] for i in range(len(names))])))
     assert {(r.source_size, r.target) for r in rows} == {(sizes[n], aims[n]) for n in names}
-    for size, target in {(r.source_size, r.target) for r in rows}:
-        taken = sum(r.taken for r in rows if r.target == target)
-        assert abs(taken - target) <= max(0.05 * target, 64), (size, target, taken)
+    source_of = {(i, count(t)): s for i, t, s in ((r[0], r[1], r[3]) for r in odd_rows())}
+    for name in names:
+        taken = sum(r.taken for r in rows if source_of[(r.doc_id, r["size"])] == name)
+        assert abs(taken - aims[name]) <= max(0.05 * aims[name], 64), (name, aims[name], taken)
     assert tuples(mix(docs.repartition(7))) == tuples(mix(docs))
     assert mix(no_documents(spark)).collect() == []
 
