@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from orderlake.session import work_path
 
 # A stored table up to this size may be sent to every executor; beyond it a join shuffles.
-BROADCAST_BYTES = 16 << 20
+BROADCAST_BYTES = 6 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

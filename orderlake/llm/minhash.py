@@ -12,11 +12,11 @@ order of time, so whatever lies beyond a text's largest component is never made.
 of two texts agree with probability equal to their weighted Jaccard similarity.
 
 Links. 28 bands of 5 components miss a pair at 0.8 with probability (1 - 0.8^5)^28 < 2e-5.
-Within a bucket, texts are compared with one hub first; verified links are joined to classes,
-and texts of the bucket that are still in different classes are compared again, with other
-hubs, for some rounds, and at last one by one. So pairs inside a class are never listed, and no
-link between different classes of a bucket is left out. Every link used was verified on the
-whole texts.
+Within a bucket, texts are compared with one hub first, and verified links are joined to
+classes. Buckets that still hold texts of different classes are compared as they lie, each
+text with all others by an inverted index, in blocks; only links that join classes come out, no
+pairs. So no link between different classes of a bucket is left out, and every link used was
+verified on the whole texts.
 
 Rows: equal texts always share a class. NULL texts, and texts of white space only, are alone,
 each in a class of its own. `class_id` is the smallest id in the class (NULL if it has none).
@@ -38,7 +38,7 @@ from orderlake.llm.words import GOLDEN, Words, mixed
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 28, 5
-HUB_ROUNDS = 1
+BLOCK = 800  # texts of a bucket compared in one task
 _BATCH_WORK, _TEXT_WORK = 600_000, 250  # shingles signed together; a text counts as so many more
 
 def gaps(seeds: np.ndarray) -> np.ndarray:
@@ -229,7 +229,7 @@ def classes(
     similarity: float = SIMILARITY,
     bands: int = BANDS,
     rows: int = ROWS,
-    hub_rounds: int = HUB_ROUNDS,
+    block: int = BLOCK,
 ) -> DataFrame:
     """`key`, `label` of the distinct texts that are linked with another one.
 
@@ -252,52 +252,85 @@ def classes(
     pairs = members.where(F.col("key") != F.col("hub.key")).where(similar_sizes("n_shingles", "hub.n_shingles"))
     pairs = pairs.select(F.col("hub.key").alias("a"), F.col("key").alias("b")).distinct()
     tried = stored(compared(pairs, texts, words, similarity), "compared")
-    labels = connected(tried.where("linked"))
-    for turn in range(1, hub_rounds + 2):
-        open_ = _open_buckets(members, labels)
-        pairs = _hub_pairs(open_, turn) if turn <= hub_rounds else _all_pairs(open_)
-        pairs = pairs.where(similar_sizes("n_a", "n_b")).select("a", "b").distinct()
-        pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        more = stored(compared(pairs, texts, words, similarity), "compared")
-        if more.isEmpty() and turn > hub_rounds:
-            break
-        tried = tried.union(more)
-        if not more.where("linked").isEmpty():
-            labels = connected(tried.where("linked"))
-    return labels
+    edges = tried.where("linked").select("a", "b")
+    labels = connected(edges)
+    open_ = stored(_open_buckets(members, labels), "open")
+    more = stored(_links_in_buckets(open_, texts, words, similarity, block), "links")
+    return labels if more.isEmpty() else connected(edges.union(more))
 
 
 def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of the buckets that hold texts of more than one class, with their labels."""
+    """`bucket, key, label, n`: members of the buckets that hold texts of more than one class."""
     label = F.coalesce("label", "key").alias("label")
-    labelled = members.join(sent_if_small(labels), "key", "left").select("bucket", "key", label, "n_shingles")
-    labelled = stored(labelled, "labelled")
-    open_ = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    return labelled.join(open_.where("low <> high").select("bucket"), "bucket")
-
-
-def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Pairs of keys of different classes in one bucket, in a fixed order of the two."""
-    both = left.toDF("bucket", "x", "label_x", "n_x").join(right.toDF("bucket", "y", "label_y", "n_y"), "bucket")
-    first = F.col("x") < F.col("y")
-    return both.where("label_x <> label_y").select(
-        F.when(first, F.col("x")).otherwise(F.col("y")).alias("a"),
-        F.when(first, F.col("y")).otherwise(F.col("x")).alias("b"),
-        F.when(first, F.col("n_x")).otherwise(F.col("n_y")).alias("n_a"),
-        F.when(first, F.col("n_y")).otherwise(F.col("n_x")).alias("n_b"),
+    labelled = members.join(sent_if_small(labels), "key", "left").select("bucket", "key", label)
+    open_ = labelled.groupBy("bucket").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")
     )
+    return labelled.join(open_.where("low <> high").select("bucket", "n"), "bucket")
 
 
-def _hub_pairs(open_: DataFrame, turn: int) -> DataFrame:
-    """A hub of each bucket, another one each turn, with the bucket's texts of other classes."""
-    row = F.struct(F.xxhash64("key", F.lit(turn)).alias("order"), "key", "label", "n_shingles")
-    hub = open_.groupBy("bucket").agg(F.min(row).alias("hub"))
-    return _pairs(hub.select("bucket", "hub.key", "hub.label", "hub.n_shingles"), open_)
+def _links_in_buckets(open_: DataFrame, texts: DataFrame, words: int, similarity: float, block: int) -> DataFrame:
+    """Links between different classes in open buckets: enough of them to join what is linked.
 
+    A bucket's texts are compared where they lie together, by an inverted index of their
+    shingles; a bucket of more than `block` texts is cut into blocks, and each two blocks meet
+    in a task of their own.
+    """
 
-def _all_pairs(open_: DataFrame) -> DataFrame:
-    """All pairs of texts of different classes that share a bucket: what the hubs have left."""
-    return _pairs(open_, open_)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(words)
+        for batch in batches:
+            for part in by_bytes(batch, "text"):
+                bags = [shingler.multiset(t) for t in part.column("text").to_pylist()]
+                hashes = pa.array([b[0].view(np.int64) for b in bags], pa.list_(pa.int64()))
+                counts = pa.array([b[1].astype(np.int32) for b in bags], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([part.column("key"), hashes, counts], names=["key", "h", "c"])
+
+    nodes = open_.select("key").distinct()
+    nodes = F.broadcast(nodes) if stored_bytes(open_) <= BROADCAST_BYTES else nodes
+    bags = texts.join(nodes, "key", "left_semi").select("key", "text")
+    bags = bags.mapInArrow(count, "key binary, h array<long>, c array<int>")
+    n_blocks = F.ceil(F.col("n") / block).cast("int")
+    mine = F.pmod(F.xxhash64("key"), n_blocks).cast("int")
+    meets = F.explode(F.sequence(F.lit(0), n_blocks - 1))
+    placed = open_.select("bucket", "key", "label", mine.alias("mine"), meets.alias("other")).select(
+        "bucket", "key", "label", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high")
+    )
+    groups = placed.join(bags, "key").groupBy("bucket", "low", "high")
+    found = groups.applyInArrow(lambda group: _links_of(group, similarity), "a binary, b binary")
+    return found.distinct()
+
+
+def _links_of(group: pa.Table, similarity: float) -> pa.Table:
+    """Links between different classes among the texts of one group: a spanning forest."""
+    keys, labels = group.column("key").to_pylist(), group.column("label").to_pylist()
+    n, out = len(keys), ([], [])
+    h, c = (group.column(x).combine_chunks() for x in ("h", "c"))
+    ends = np.cumsum([0, *(len(x) for x in h)])
+    _, shingle = np.unique(h.flatten().to_numpy(), return_inverse=True)
+    count = c.flatten().to_numpy()
+    owner = np.repeat(np.arange(n), np.diff(ends))
+    total = np.bincount(owner, count, minlength=n)
+    order = np.argsort(shingle, kind="stable")
+    first = np.concatenate([[0], np.cumsum(np.bincount(shingle))])
+    class_of = np.unique(np.array([x.hex() for x in labels]), return_inverse=True)[1]
+    for i in range(n):
+        mine = slice(ends[i], ends[i + 1])
+        sizes = first[shingle[mine] + 1] - first[shingle[mine]]
+        # Places of all postings of this text's shingles, one run after the other.
+        run = np.repeat(first[shingle[mine]] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
+        postings = order[run + np.arange(sizes.sum())]
+        low = np.minimum(count[postings], np.repeat(count[mine], sizes))
+        overlap = np.bincount(owner[postings], low, minlength=n)
+        near = overlap >= similarity * (total + total[i] - overlap)
+        for j in np.flatnonzero(near & (class_of != class_of[i])).tolist():
+            if class_of[j] != class_of[i]:
+                out[0].append(keys[i])
+                out[1].append(keys[j])
+                class_of[class_of == class_of[j]] = class_of[i]
+        if (class_of == class_of[0]).all():
+            break
+    return pa.table([pa.array(x, pa.binary()) for x in out], names=["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:

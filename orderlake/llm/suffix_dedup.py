@@ -297,18 +297,19 @@ def counted_extents(around_: DataFrame) -> DataFrame:
     """The same by counting every string of `SPAN` bytes around the anchors."""
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int16(), pa.int32())
+        names = ["h", "anchor", "ctx", "back", "weight"]
         for batch in batches:
-            rows: tuple[list, ...] = ([], [], [], [], [])
-            for a, ctx, twice, back, text in zip(*(c.to_pylist() for c in batch.columns)):
-                for start in range(len(text) - SPAN + 1):
-                    if start > back:
-                        break
-                    h = xxhash.xxh3_128_digest(text[start : start + SPAN])
-                    for column, value in zip(rows, (h, a, ctx, back - start, 2 if twice else 1)):
-                        column.append(value)
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int16(), pa.int32())
-            arrays = [pa.array(r, k) for r, k in zip(rows, kinds)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["h", "anchor", "ctx", "back", "weight"])
+            for first in range(0, batch.num_rows, 100):  # a row makes up to BACK + 1 strings
+                rows: tuple[list, ...] = ([], [], [], [], [])
+                part = batch.slice(first, 100)
+                for a, ctx, twice, back, text in zip(*(c.to_pylist() for c in part.columns)):
+                    for start in range(min(back, len(text) - SPAN) + 1):
+                        h = xxhash.xxh3_128_digest(text[start : start + SPAN])
+                        for column, value in zip(rows, (h, a, ctx, back - start, 2 if twice else 1)):
+                            column.append(value)
+                arrays = [pa.array(r, k) for r, k in zip(rows, kinds)]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     each = around_.dropDuplicates(["anchor", "ctx"]).mapInArrow(
         strings, "h binary, anchor long, ctx long, back short, weight int"
