@@ -315,8 +315,10 @@ def counted_extents(around_: DataFrame) -> DataFrame:
         strings, "h binary, anchor long, ctx long, back short, weight int"
     )
     each = stored(each, "strings")
-    repeated = each.groupBy("h").agg(F.sum("weight").alias("n")).where("n > 1").select("h")
-    found = each.where("weight = 1").join(repeated, "h", "left_semi").groupBy("anchor", "ctx")
+    # A string may hold several anchors: it is counted for each of them and its place there.
+    same = ["h", "anchor", "back"]
+    repeated = each.groupBy(*same).agg(F.sum("weight").alias("n")).where("n > 1").select(*same)
+    found = each.where("weight = 1").join(repeated, same, "left_semi").groupBy("anchor", "ctx")
     return found.agg(
         F.max("back").cast("short").alias("back"), (SPAN - F.min("back")).cast("short").alias("on")
     )
