@@ -23,12 +23,11 @@ import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import stored
+from orderlake.llm.common import sent_if_small, stored
 from orderlake.llm.tokens import by_bytes, little_endian, text_encoder, tokenizer_path
 
 CAPACITY = 1024
@@ -192,9 +191,11 @@ def complete_bins(counts: dict[int, int], capacity: int, nodes: int = NODES) ->
     return best
 
 
-def seats(kinds: list[Kind]) -> dict[str, np.ndarray]:
-    """Places for the pieces of each length, by their number: sorted runs of seats alike."""
-    runs: dict[int, list[tuple[int, int, int, int]]] = {}
+def seats(kinds: list[Kind]) -> list[tuple[int, int, int, int, int, int]]:
+    """Places for the pieces of each length, by their number: runs of seats alike, as (length,
+    first number, number after the last, first sequence, pieces of that length in a sequence,
+    offset of the first of them)."""
+    runs: list[tuple[int, int, int, int, int, int]] = []
     taken: dict[int, int] = {}
     first = 0
     for lengths, times in kinds:
@@ -203,13 +204,11 @@ def seats(kinds: list[Kind]) -> dict[str, np.ndarray]:
         for length in dict.fromkeys(lengths):
             each = lengths.count(length)
             start = taken.get(length, 0)
-            runs.setdefault(length, []).append((start, first, each, offset))
             taken[length] = start + each * times
+            runs.append((length, start, taken[length], first, each, offset))
             offset += each * length
         first += times
-    rows = [(length, *run) for length, found in sorted(runs.items()) for run in found]
-    names = ("length", "start", "sequence", "each", "offset")
-    return {n: np.array([r[i] for r in rows], dtype=np.int64) for i, n in enumerate(names)}
+    return runs
 
 
 def pack(
@@ -220,40 +219,31 @@ def pack(
     nodes: int = NODES,
 ) -> DataFrame:
     """`doc_id, piece, start, length, ids_crc32, sequence_id, offset` of every piece."""
+    spark = docs.sparkSession
     pieces = stored(cut_documents(docs, path, capacity, end_id), "pieces")
     counts = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}  # at most `capacity` rows
-    places = seats(complete_bins(counts, capacity, nodes))
     n_chunks = max(1, sum(counts.values()) // CHUNK_ROWS)
 
     chunk = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(n_chunks)).alias("chunk")
     chunked = pieces.select("*", chunk)
     before = F.sum("count").over(Window.partitionBy("length").orderBy("chunk")) - F.col("count")
     sizes = chunked.groupBy("length", "chunk").count().select("length", "chunk", before.alias("before"))
+    sizes = sent_if_small(stored(sizes, "sizes"))
     number = F.row_number().over(
         Window.partitionBy("length", "chunk").orderBy("doc_id", "piece", "ids_crc32", "start")
     )
-    numbered = (
-        chunked.withColumn("within", number)
-        .join(sizes, ["length", "chunk"])
-        .select(
-            "doc_id", "piece", "start", "length", "ids_crc32",
-            (F.col("before") + F.col("within") - 1).alias("number"),
-        )
-    )
+    numbered = chunked.withColumn("within", number).join(sizes, ["length", "chunk"])
+    numbered = numbered.withColumn("number", F.col("before") + F.col("within") - 1)
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wide = np.int64(1) << 48
-        keys = places["length"] * wide + places["start"]
-        for batch in batches:
-            length, number = (batch.column(c).to_numpy() for c in ("length", "number"))
-            run = np.searchsorted(keys, length * wide + number, side="right") - 1
-            nth, each = number - places["start"][run], places["each"][run]
-            sequence = places["sequence"][run] + nth // each
-            offset = places["offset"][run] + nth % each * length
-            kept = [batch.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(sequence), pa.array(offset)],
-                names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
-            )
-
-    return numbered.mapInArrow(place, f"{PIECES}, sequence_id long, offset long")
+    # As many rows as kinds of sequences have lengths: this grows with the capacity, not the data.
+    runs = spark.createDataFrame(
+        seats(complete_bins(counts, capacity, nodes)),
+        "of long, first long, stop long, sequence long, each long, at long",
+    )
+    seated = (F.col("length") == F.col("of")) & (F.col("number") >= F.col("first")) & (F.col("number") < F.col("stop"))
+    nth = F.col("number") - F.col("first")
+    return numbered.join(F.broadcast(runs), seated).select(
+        "doc_id", "piece", "start", "length", "ids_crc32",
+        (F.col("sequence") + F.floor(nth / F.col("each"))).cast("long").alias("sequence_id"),
+        (F.col("at") + nth % F.col("each") * F.col("length")).cast("long").alias("offset"),
+    )
