@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import sent_if_small, stored
+from orderlake.llm.common import stored
 from orderlake.llm.tokens import by_bytes
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -205,14 +205,13 @@ def with_takes(rows: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFra
         )
     )
     times = stored(taken_blocks(chunks, names, drawn_slots(spark, sources, seed=seed)), "times")
-    order = Window.partitionBy("source", "chunk").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    placed = rows.withColumn("start", F.sum("size").over(order) - F.col("size"))
-    key = lambda t: F.coalesce(F.concat(F.lit("s"), t), F.lit(""))  # noqa: E731  NULL is a source too
-    times = sent_if_small(times.select(key(F.col("source")).alias("of"), "chunk", F.col("times").alias("all")))
-    names = names.select(key(F.col("source")).alias("of"), "source_size", "target")
-    joined = placed.withColumn("of", key(F.col("source"))).join(F.broadcast(names), "of").join(
-        times, ["of", "chunk"], "left"
-    )
+    key = F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")).alias("of")  # NULL is a source too
+    times = times.select(key, "chunk", F.col("times").alias("all"))
+    names = names.select(key, "source_size", "target")
+    order = Window.partitionBy("of", "chunk").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    placed = rows.select("*", key).withColumn("start", F.sum("size").over(order) - F.col("size"))
+    # The rows lie by source and chunk already; only the small table of takes is shuffled to them.
+    joined = placed.join(F.broadcast(names), "of").join(times.hint("merge"), ["of", "chunk"], "left")
     first = F.floor(F.col("start") / block).cast("long")
     last = F.floor((F.col("start") + F.col("size") - 1) / block).cast("long")
     mine = F.transform(F.sequence(first, last), lambda b: F.coalesce(F.col("all")[b], F.lit(0)))
