@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from llm.cases import no_documents, odd_documents, tuples
 from orderlake.llm.permutation_index import neighbours
-from orderlake.llm.toxicity import toxicity_report, without_toxic
+from orderlake.llm.toxicity import THRESHOLD, Terms, fit_chain, toxicity_report, without_toxic
 
 VECTORS = "vec_id long, embedding array<float>, label int, v string, pivot int, rank int"
 
@@ -68,9 +68,25 @@ def test_toxicity_of_held_out_documents(spark, sf_dir):
         (r.toxic, r.rejected): r["count"]
         for r in out.join(labels.where(held), "doc_id").groupBy("toxic", "rejected").count().collect()
     }
-    # About 3,000 labelled documents to learn from; larger samples find 99 in 100.
-    assert counts[(1, True)] >= 0.85 * (counts[(1, True)] + counts.get((1, False), 0))
-    assert counts.get((0, True), 0) <= 0.01 * counts[(0, False)]
+    assert counts[(1, True)] >= 0.95 * (counts[(1, True)] + counts.get((1, False), 0))
+    assert counts.get((0, True), 0) <= 0.005 * counts[(0, False)]
+
+
+def test_insults_that_clean_texts_have_by_chance():
+    # Every text has the word "kolb"; only toxic ones have it in every thirtieth place.
+    r, terms = random.Random(3), Terms()
+
+    def text(n, toxic):
+        words = ["".join(r.choice("aeioutrsn") for _ in range(r.randint(4, 8))) for _ in range(n)]
+        for i in r.sample(range(n), n // 30 if toxic else 1):
+            words[i] = "kolb"
+        return " ".join(words)
+
+    toxic = np.array([i % 6 == 0 for i in range(480)], float)
+    found = [terms.of(text(r.choice([150, 300, 600]), t)) for t in toxic]
+    model = fit_chain(found[:240], {"toxic": toxic[:240]}, np.arange(240) % 3)[0]
+    rejected = np.array([model.probability(f, np.zeros(0)) for f in found[240:]]) >= THRESHOLD
+    assert rejected[toxic[240:] == 1].mean() >= 0.95 and rejected[toxic[240:] == 0].mean() <= 0.01
 
 
 def test_toxicity_of_odd_documents(spark):
