@@ -5,11 +5,13 @@ runs of `GRAM` words of a template are winnowed: of every `WINDOW` neighbouring
 smallest is kept. The kept ones are an inverted index from hash to places in templates; it is
 as large as the list of templates, not as the data. Every run of a document is looked up, so a
 passage that shares `GRAM + WINDOW - 1` words in a row with a template is a candidate for it.
-Candidates on near diagonals (place in the document less place in the template) are one
-region; there the best local alignment in a band around the diagonals (matches +2, others -1)
-gives the matched words, their share of the template and the span in the text. Alignments that
-cover at least `COVERAGE` of their template are reported; of reports that overlap, a longer
-match hides a shorter one.
+The places where the template may lie by its candidates, and `BAND` words to both sides, are
+windows of the text. There the best local alignment (matches +2, others -1) gives the matched
+words, their share of the template and the span in the text; then what is left of the window
+before and after it is aligned again, until no alignment covers `COVERAGE` of the template. So
+a notice that is repeated is reported as often as it stands there. A part of a window that has
+too few of the template's words for `COVERAGE`, in whatever order, is not aligned. Of reports
+that overlap, a longer match hides a shorter one.
 
 Rows: one per match, with the id of its document; repeated rows report repeatedly. NULL and
 empty texts match nothing. Spans are in code points of the whole text, end exclusive. Other
@@ -32,8 +34,9 @@ from orderlake.llm.tokens import by_bytes
 from orderlake.llm.words import Words
 
 GRAM, WINDOW = 3, 2
-BAND = 12  # words by which an alignment may leave its diagonals
+BAND = 12  # words that windows reach beyond their candidates
 COVERAGE = 0.8
+BITS = 20  # of a length in words: templates of up to 100,000 words
 _WORD = re.compile(r"[^\W_]+")
 
 # Short notices by which texts state their license.
@@ -107,7 +110,9 @@ class TemplateIndex:
         hashes = [self.hasher.of(t)[2] for t in templates.values()]
         self.vocabulary = np.unique(np.concatenate(hashes))
         self.words = [self.numbers(h).tolist() for h in hashes]
-        self.places: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        self.lengths = [len(w) for w in self.words]
+        self.counts = [np.unique(np.array(w, np.int64), return_counts=True) for w in self.words]
+        self.places: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
         for t, words in enumerate(self.words):
             runs = self.runs(np.array(words, np.int64))
             hashes = (runs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(7)
@@ -115,7 +120,7 @@ class TemplateIndex:
             for i in range(max(1, len(runs) - WINDOW + 1)) if len(runs) else ():
                 kept.add(i + int(np.argmin(hashes[i : i + WINDOW])))
             for i in sorted(kept):
-                self.places[int(runs[i])].append((t, i))
+                self.places[int(runs[i])][t].append(i)
         self.known = np.array(sorted(self.places), np.int64)
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
@@ -142,14 +147,13 @@ class TemplateIndex:
         hits = np.flatnonzero(np.isin(runs, self.known))
         if not len(hits):
             return []
-        seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for at in hits.tolist():
-            for template, place in self.places[int(runs[at])]:
-                seeds[template].append((at - place, at))
+        found = runs[hits].tolist()
         aligned = []
-        for template, points in seeds.items():
-            for low, high in regions(points, len(self.words[template])):
-                aligned += self._align(template, numbers, low, high)
+        for template in sorted({t for run in set(found) for t in self.places[run]}):
+            if self._possible(template, numbers):
+                firsts = [at - i for at, run in zip(hits.tolist(), found) for i in self.places[run].get(template, ())]
+                for start, stop in windows(firsts, self.lengths[template], len(numbers)):
+                    aligned += self._repeats(template, numbers, start, stop)
         spans = list(zip(starts.tolist(), ends.tolist()))
         if len(text.lower()) != len(text):  # a letter whose lower case has another length moves the rest
             spans = word_spans(text)
@@ -158,57 +162,74 @@ class TemplateIndex:
         ]
         return longest_apart(matches)
 
-    def _align(self, template: int, numbers: np.ndarray, low: int, high: int) -> list[tuple[int, int, int, int]]:
-        words = self.words[template]
-        first = max(0, low - BAND)
-        part = numbers[first : max(0, high + len(words) + BAND)].tolist()
-        found = align(part, words, low - BAND - first, high + BAND - first)
-        if not found or found[0] < COVERAGE * len(words):
-            return []
-        n, a, b = found
-        return [(template, n, first + a, first + b)]
+    def _possible(self, template: int, numbers: np.ndarray) -> bool:
+        """Whether enough of the template's words are there, in any order."""
+        least = COVERAGE * self.lengths[template]
+        if len(numbers) < least:
+            return False
+        words, counts = self.counts[template]
+        there = np.bincount(numbers, minlength=len(self.vocabulary) + 1)[words]
+        return np.minimum(there, counts).sum() >= least
+
+    def _repeats(self, template: int, numbers: np.ndarray, start: int, stop: int) -> list[tuple[int, int, int, int]]:
+        """All matches between two words of a text. Long windows are read in pieces; a match that
+        may go on beyond its piece starts in the last three lengths of the template (with more
+        words than that its score is negative) and is left to the next piece."""
+        reach, out = 3 * self.lengths[template], []
+        while start < stop:
+            end = min(stop, start + 3 * reach)
+            last = end if end == stop else end - reach
+            found = [m for m in self._split(template, numbers, start, end) if m[2] < last]
+            out += found
+            start = max([last, *(m[3] + 1 for m in found)])
+        return out
+
+    def _split(self, template: int, numbers: np.ndarray, start: int, stop: int) -> list[tuple[int, int, int, int]]:
+        """The best match, and those in what is left before and after it."""
+        out, left = [], [(start, stop)]
+        while left:
+            start, stop = left.pop()
+            if not self._possible(template, numbers[start:stop]):
+                continue
+            n, a, b = align(numbers[start:stop], np.array(self.words[template], np.int64))
+            if n >= COVERAGE * self.lengths[template]:
+                out.append((template, n, start + a, start + b))
+                left += [(start, start + a), (start + b + 1, stop)]
+        return out
 
 
-def regions(points: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
-    """Ranges of diagonals of seeds that may belong to one match: near in diagonal and place."""
+def windows(firsts: list[int], length: int, end: int) -> list[tuple[int, int]]:
+    """Parts of a text where a template of `length` words may lie, from the places its first word
+    would have."""
     out: list[list[int]] = []
-    for diagonal, at in sorted(points):
-        if out and diagonal - out[-1][1] <= BAND:
-            out[-1][1] = diagonal
+    for first in sorted(set(firsts)):
+        start, stop = max(0, first - BAND), min(end, first + length + BAND)
+        if out and start <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], stop)
         else:
-            out.append([diagonal, diagonal])
-    # A chain of near diagonals longer than the template is cut: each part is one match at most.
-    cut = []
-    for low, high in out:
-        while high - low > length:
-            cut.append((low, low + length // 2))
-            low += length // 2 + 1
-        cut.append((low, high))
-    return cut
-
-
-def align(part: list[int], words: list[int], low: int, high: int) -> tuple[int, int, int] | None:
-    """Best local alignment with diagonals (place in `part` less place in `words`) from `low` to
-    `high`: matched words, and the first and last word of `part` in it."""
-    best = (0, 0, 0, 0)
-    above: dict[int, tuple[int, int, int]] = {}  # place in words -> score, matches, first word
-    for i, word in enumerate(part):
-        row: dict[int, tuple[int, int, int]] = {}
-        for j in range(max(0, i - high), min(len(words), i - low + 1)):
-            score, n, start = above.get(j - 1, (0, 0, i))
-            if score <= 0:
-                score, n, start = 0, 0, i
-            cell = (score + 2, n + 1, start) if word == words[j] else (score - 1, n, start)
-            up, left = above.get(j), row.get(j - 1)
-            for other in (up, left):
-                if other and other[0] - 1 > cell[0]:
-                    cell = (other[0] - 1, other[1], other[2])
-            if cell[0] > 0:
-                row[j] = cell
-                if cell[0] > best[0]:
-                    best = (cell[0], cell[1], cell[2], i)
-        above = row
-    return best[1:] if best[0] else None
+            out.append([start, stop])
+    return [(start, stop) for start, stop in out]
+
+
+def align(part: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
+    """Best local alignment: matched words, and the first and last word of `part` in it.
+
+    A cell is one number: score, matches and first word, `BITS` bits each. So the larger number
+    is the better cell, and a row needs no loop: gaps in `part` are a running maximum."""
+    one, start_bits = 1 << 2 * BITS, (1 << BITS) - 1
+    slope = np.arange(len(words), dtype=np.int64) * one
+    above, best, end = np.zeros(len(words) + 1, np.int64), 0, 0
+    for i, word in enumerate(part.tolist()):
+        before = above[:-1]
+        row = np.where(before >= one, before, i) + np.where(words == word, 2 * one + (1 << BITS), -one)
+        np.maximum(row, above[1:] - one, out=row)
+        row = np.maximum.accumulate(row + slope) - slope
+        row[row < one] = 0
+        above[1:] = row
+        top = int(row.max())
+        if top // one > best // one:
+            best, end = top, i
+    return best >> BITS & start_bits, best & start_bits, end
 
 
 def word_spans(text: str) -> list[tuple[int, int]]:

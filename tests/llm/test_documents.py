@@ -404,3 +404,17 @@ def test_license_matches(spark):
     got = license_matches(odd_documents(spark)).collect()
     assert [(m.doc_id, m.template, m.coverage, m.span_start, m.span_stop) for m in got] == [(14, "MIT", 1.0, 0, 30)]
     assert license_matches(no_documents(spark)).collect() == []
+
+
+def test_license_repeats():
+    index = TemplateIndex(TEMPLATES)
+    for name in ("MIT", "Apache-2.0", "CC-BY-NC-4.0", "GPL-3.0", "ISC-text"):
+        words = words_of(TEMPLATES[name])
+        for copies in (2, 3, 40):
+            for between in ([], ["olp"], ["olp"] * 5, ["olp"] * 12, ["olp"] * 13):
+                text = " ".join((words + between) * copies)
+                got = [(m.template, m.words, m.start) for m in index.scan(text)]
+                step = len(" ".join(words + between)) + 1
+                assert got == [(name, local_alignment(words, words), i * step) for i in range(copies)]
+    text = "Released under the MIT License. Licensed under CC BY-NC 4.0. Released under the old MIT License"
+    assert [m.template for m in index.scan(text)] == ["MIT", "CC-BY-NC-4.0", "MIT"]
