@@ -2,16 +2,23 @@
 
 Templates and texts are sequences of words (letters and digits, lower case). The hashes of all
 runs of `GRAM` words of a template are winnowed: of every `WINDOW` neighbouring ones the
-smallest is kept. The kept ones are an inverted index from hash to places in templates; it is
+smallest is kept, and all of a template of at most `SHORT` words. The kept ones are an inverted index from hash to places in templates; it is
 as large as the list of templates, not as the data. Every run of a document is looked up, so a
 passage that shares `GRAM + WINDOW - 1` words in a row with a template is a candidate for it.
 The places where the template may lie by its candidates, and `BAND` words to both sides, are
 windows of the text. There the best local alignment (matches +2, others -1) gives the matched
 words, their share of the template and the span in the text; then what is left of the window
-before and after it is aligned again, until no alignment covers `COVERAGE` of the template. So
+before and after it is aligned again, until no alignment covers `COVERAGE` of the template and has
+its names. Names are the words by which a template differs from its variants (license, version):
+they must stand in the match without insertions, so that a license without a template is not
+reported under the name of its nearest variant. So
 a notice that is repeated is reported as often as it stands there. A part of a window that has
 too few of the template's words for `COVERAGE`, in whatever order, is not aligned. Of reports
-that overlap, a longer match hides a shorter one.
+that overlap, a longer match hides a shorter one, and of equal ones the better covered hides the
+other; so variants that are in the table are told apart.
+
+The table has short notices, in `TEMPLATES`, and the whole texts in the folder `licenses`; another
+can be given. Only the driver reads the folder.
 
 Rows: one per match, with the id of its document; repeated rows report repeatedly. NULL and
 empty texts match nothing. Spans are in code points of the whole text, end exclusive. Other
@@ -24,6 +31,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +42,7 @@ from orderlake.llm.tokens import by_bytes
 from orderlake.llm.words import Words
 
 GRAM, WINDOW = 3, 2
+SHORT = 20  # words of templates of which every run is kept
 BAND = 12  # words that windows reach beyond their candidates
 COVERAGE = 0.8
 BITS = 20  # of a length in words: templates of up to 100,000 words
@@ -82,6 +91,66 @@ TEMPLATES = {
     ),
 }
 
+TEMPLATES |= {
+    "MIT-licensed": "Licensed under the MIT License",
+    "BSD-2-Clause": "Licensed under the BSD 2-Clause License",
+    "BSD-3-Clause": "Licensed under the BSD 3-Clause License",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2",
+    "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1",
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3",
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3",
+    "CC0-1.0": "Licensed under CC0 1.0 Universal",
+}
+_NOTICE = TEMPLATES["GPL-notice"]
+TEMPLATES |= {
+    "GPL-2.0-notice": _NOTICE.replace("version 3", "version 2"),
+    "LGPL-2.1-notice": _NOTICE.replace("General", "Lesser General").replace("version 3", "version 2.1"),
+    "LGPL-3.0-notice": _NOTICE.replace("General", "Lesser General"),
+    "AGPL-3.0-notice": _NOTICE.replace("General", "Affero General"),
+}
+# Words that must stand in a match without insertions.
+NAMES = {
+    "Apache-2.0": ("Apache License, Version 2.0",),
+    "Apache-2.0-notice": ("Apache License, Version 2.0",),
+    "MIT": ("MIT License",),
+    "MIT-licensed": ("MIT License",),
+    "BSD-2-Clause": ("BSD 2-Clause License",),
+    "BSD-3-Clause": ("BSD 3-Clause License",),
+    "CC0-1.0": ("CC0 1.0",),
+    "MPL-2.0": ("Mozilla Public License, v. 2.0",),
+    "GPL-3-text": ("refers to version 3 of the GNU General Public License",),
+}
+for _name, _title, _version in (
+    ("GPL-2.0", "GNU General Public", "2"),
+    ("GPL-3.0", "GNU General Public", "3"),
+    ("LGPL-2.1", "GNU Lesser General Public", "2.1"),
+    ("LGPL-3.0", "GNU Lesser General Public", "3"),
+    ("AGPL-3.0", "GNU Affero General Public", "3"),
+):
+    NAMES[_name] = (f"{_title} License, version {_version}",)
+    NAMES["GPL-notice" if _name == "GPL-3.0" else f"{_name}-notice"] = (" ".join(_title.split()[:2]), f"{_version} of the License")
+for _kind, _title in {
+    "BY": "Attribution",
+    "BY-SA": "Attribution-ShareAlike",
+    "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC": "Attribution-NonCommercial",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+    "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}.items():
+    for _version in ("3.0", "4.0"):
+        _name = f"CC-{_kind}-{_version}"
+        TEMPLATES[_name] = f"Licensed under CC {_kind} {_version}"
+        NAMES[_name] = (f"CC {_kind} {_version}",)
+        TEMPLATES[f"{_name}-title"] = f"Creative Commons {_title} {_version}"
+        NAMES[f"{_name}-title"] = (f"Commons {_title} {_version}",)
+
+
+def all_templates() -> dict[str, str]:
+    """`TEMPLATES`, and the whole texts as `<file>-text`."""
+    files = sorted((Path(__file__).parent / "licenses").iterdir())
+    return TEMPLATES | {f"{f.name}-text" if f.name != "MIT" else "MIT-whole-text": f.read_text("utf-8") for f in files}
+
+
 RESULT = (
     "doc_id long, template string, matched_words int, template_words int, coverage double, "
     "span_start int, span_stop int"
@@ -104,19 +173,26 @@ def words_of(text: str) -> list[str]:
 class TemplateIndex:
     """Winnowed fingerprints of templates; words are numbered, others are 0."""
 
-    def __init__(self, templates: dict[str, str]):
+    def __init__(self, templates: dict[str, str], required: dict[str, tuple[str, ...]] = NAMES):
+        templates = {n: t for n, t in templates.items() if words_of(t)}
         self.names = list(templates)
         self.hasher = Words(underscore=False)
         hashes = [self.hasher.of(t)[2] for t in templates.values()]
         self.vocabulary = np.unique(np.concatenate(hashes))
         self.words = [self.numbers(h).tolist() for h in hashes]
+        # Names that a template itself lacks belong to another one of its title.
+        phrases = [[self.numbers(self.hasher.of(p)[2]).tolist() for p in required.get(n, ())] for n in self.names]
+        self.required = [[p for p in ps if within(p, words)] for ps, words in zip(phrases, self.words)]
         self.lengths = [len(w) for w in self.words]
         self.counts = [np.unique(np.array(w, np.int64), return_counts=True) for w in self.words]
+        self.all_words = np.concatenate([words for words, _ in self.counts])
+        self.all_counts = np.concatenate([counts for _, counts in self.counts])
+        self.begins = np.cumsum([0, *(len(words) for words, _ in self.counts)])[:-1]
         self.places: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
         for t, words in enumerate(self.words):
             runs = self.runs(np.array(words, np.int64))
             hashes = (runs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(7)
-            kept = set()
+            kept = set(range(len(runs))) if len(words) <= SHORT else set()
             for i in range(max(1, len(runs) - WINDOW + 1)) if len(runs) else ():
                 kept.add(i + int(np.argmin(hashes[i : i + WINDOW])))
             for i in sorted(kept):
@@ -144,13 +220,17 @@ class TemplateIndex:
         starts, ends, hashes, _ = self.hasher.of(text)
         numbers = self.numbers(hashes)
         runs = self.runs(numbers)
-        hits = np.flatnonzero(np.isin(runs, self.known))
+        if not len(self.known):
+            return []
+        at = np.minimum(np.searchsorted(self.known, runs), len(self.known) - 1)
+        hits = np.flatnonzero(self.known[at] == runs)
         if not len(hits):
             return []
+        possible = self.possible(numbers)
         found = runs[hits].tolist()
         aligned = []
         for template in sorted({t for run in set(found) for t in self.places[run]}):
-            if self._possible(template, numbers):
+            if possible[template]:
                 firsts = [at - i for at, run in zip(hits.tolist(), found) for i in self.places[run].get(template, ())]
                 for start, stop in windows(firsts, self.lengths[template], len(numbers)):
                     aligned += self._repeats(template, numbers, start, stop)
@@ -162,8 +242,12 @@ class TemplateIndex:
         ]
         return longest_apart(matches)
 
+    def possible(self, numbers: np.ndarray) -> np.ndarray:
+        """For each template whether enough of its words are there, in any order."""
+        there = np.bincount(numbers, minlength=len(self.vocabulary) + 1)[self.all_words]
+        return np.add.reduceat(np.minimum(there, self.all_counts), self.begins) >= COVERAGE * np.array(self.lengths)
+
     def _possible(self, template: int, numbers: np.ndarray) -> bool:
-        """Whether enough of the template's words are there, in any order."""
         least = COVERAGE * self.lengths[template]
         if len(numbers) < least:
             return False
@@ -193,11 +277,18 @@ class TemplateIndex:
                 continue
             n, a, b = align(numbers[start:stop], np.array(self.words[template], np.int64))
             if n >= COVERAGE * self.lengths[template]:
-                out.append((template, n, start + a, start + b))
+                span = numbers[start + a : start + b + 1].tolist()
+                if all(within(p, span) for p in self.required[template]):
+                    out.append((template, n, start + a, start + b))
                 left += [(start, start + a), (start + b + 1, stop)]
         return out
 
 
+def within(phrase: list[int], words: list[int]) -> bool:
+    n = len(phrase)
+    return any(words[i : i + n] == phrase for i in range(len(words) - n + 1))
+
+
 def windows(firsts: list[int], length: int, end: int) -> list[tuple[int, int]]:
     """Parts of a text where a template of `length` words may lie, from the places its first word
     would have."""
@@ -248,12 +339,14 @@ def longest_apart(matches: list[Match]) -> list[Match]:
     return sorted(kept, key=lambda m: m.start)
 
 
-def license_matches(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
+def license_matches(
+    docs: DataFrame, templates: dict[str, str] | None = None, required: dict[str, tuple[str, ...]] = NAMES
+) -> DataFrame:
     """`doc_id, template, matched_words, template_words, coverage, span_start, span_stop`."""
-    texts = templates or TEMPLATES
+    texts = templates or all_templates()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = TemplateIndex(texts)
+        index = TemplateIndex(texts, required)
         names = ["doc_id", "template", "matched_words", "template_words", "coverage", "span_start", "span_stop"]
         kinds = (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.int32())
         for batch in batches:

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm.cases import no_documents, odd_documents, odd_rows, tuples
-from orderlake.llm.license_scan import TEMPLATES, TemplateIndex, license_matches, words_of
+from orderlake.llm.license_scan import TEMPLATES, TemplateIndex, all_templates, license_matches, words_of
 from orderlake.llm.merkle import changed_leaves, fingerprints, leaf_digests
 from orderlake.llm.minhash import near_duplicates, one_of_each
 from orderlake.llm.mixing import mix, mixed_documents, targets
@@ -418,3 +418,25 @@ def test_license_repeats():
                 assert got == [(name, local_alignment(words, words), i * step) for i in range(copies)]
     text = "Released under the MIT License. Licensed under CC BY-NC 4.0. Released under the old MIT License"
     assert [m.template for m in index.scan(text)] == ["MIT", "CC-BY-NC-4.0", "MIT"]
+
+
+def test_license_variants():
+    index, short = TemplateIndex(all_templates()), TemplateIndex({n: TEMPLATES[n] for n in list(TEMPLATES)[:10]})
+    gpl = "This work is licensed under the GNU {}General Public License, version {}"
+    for text, name in (
+        ("Licensed under CC BY-SA 4.0", "CC-BY-SA-4.0"), ("Licensed under CC BY 4.0", "CC-BY-4.0"),
+        ("Licensed under CC BY-NC-SA 4.0", "CC-BY-NC-SA-4.0"), ("Licensed under CC BY-NC 4.0", "CC-BY-NC-4.0"),
+        ("Creative Commons Attribution-ShareAlike 4.0 International", "CC-BY-SA-4.0-title"),
+        (gpl.format("", 2), "GPL-2.0"), (gpl.format("", 3), "GPL-3.0"), (gpl.format("Lesser ", 3), "LGPL-3.0"),
+        (gpl.format("Affero ", 3), "AGPL-3.0"), (TEMPLATES["GPL-notice"], "GPL-notice"),
+        (TEMPLATES["GPL-notice"].replace("version 3", "version 2"), "GPL-2.0-notice"),
+    ):
+        assert [m.template for m in index.scan(f"Olp thn. {text}. Kio.")] == [name]
+        # Without a template of its own a near miss has no name, not a wrong one.
+        assert {m.template for m in short.scan(f"Olp thn. {text}. Kio.")} <= {name}
+    for name, text in all_templates().items():
+        if name not in TEMPLATES:
+            found = index.scan(f"Olp thn.\n{text}\nKio. Released under the MIT License.")
+            assert [m.template for m in found] == [name, "MIT"] and found[0].words == found[0].of
+    affero = all_templates()["GPL-3-text"].replace("GNU General", "GNU Affero General")
+    assert "GPL-3-text" not in {m.template for m in index.scan(affero)}
