@@ -5,8 +5,14 @@ points, so that the leaves together are the text. A leaf's digest is the beginni
 of its text. A section ends after a leaf whose digest starts with 0 or 1 (about every eighth),
 so an edit moves no section ends but those near it. A section's digest is the MD5 of those of
 its leaves, the root the MD5 of the sections'. The fingerprint is the root and the leaves'
-digests; sections follow from them. Equal roots mean equal texts; where roots differ, the
-sections and then the leaves that the other text lacks locate the edit.
+digests; sections follow from them. Where roots differ, the sections and then the leaves that the
+other text lacks locate the edit.
+
+The query's fingerprints have leaf digests of `DIGEST` hexadecimal digits, as its SQL states them.
+So equal roots do not prove equal texts: two different leaves have one digest with probability
+2^-32, and of n texts of one leaf about n^2 / 2^33 pairs have falsely equal fingerprints (three of
+150,000 texts). With `digits=WHOLE`, digests, sections and roots are built from whole MD5s, and equal
+roots mean equal texts but for a chance of about n^2 / 2^129; `changed_leaves` takes either.
 
 Likeness of two fingerprints: twice the number of common leaf digests over the sum of the
 numbers of digests of either (each counted once per text); 1 for equal texts, 0 for an empty
@@ -31,22 +37,23 @@ from orderlake.llm.common import stored
 
 LEAF = r"[^\n.!?]{0,95}[.!?\n]+|[^\n.!?]{1,96}"
 DIGEST = 8  # hexadecimal digits of a leaf's digest
-SECTION = r"(?:[2-9a-f][0-9a-f]{7})*+[01][0-9a-f]{7}|(?:[2-9a-f][0-9a-f]{7})++"
+WHOLE = 32  # of a whole one
+SECTION = r"(?:[2-9a-f][0-9a-f]{%d})*+[01][0-9a-f]{%d}|(?:[2-9a-f][0-9a-f]{%d})++"
 
 
-def leaf_digests(text: Column) -> Column:
+def leaf_digests(text: Column, digits: int = DIGEST) -> Column:
     leaves = F.regexp_extract_all(text, F.lit(LEAF), F.lit(0))
-    return F.transform(leaves, lambda leaf: F.substring(F.md5(leaf), 1, DIGEST))
+    return F.transform(leaves, lambda leaf: F.substring(F.md5(leaf), 1, digits))
 
 
-def sections(digests: Column) -> Column:
+def sections(digests: Column, digits: int = DIGEST) -> Column:
     """Digests of the sections of a list of leaf digests."""
-    runs = F.regexp_extract_all(F.array_join(digests, ""), F.lit(SECTION), F.lit(0))
+    runs = F.regexp_extract_all(F.array_join(digests, ""), F.lit(SECTION % ((digits - 1,) * 3)), F.lit(0))
     return F.transform(runs, lambda run: F.md5(run))
 
 
-def root(digests: Column) -> Column:
-    return F.md5(F.array_join(sections(digests), ""))
+def root(digests: Column, digits: int = DIGEST) -> Column:
+    return F.md5(F.array_join(sections(digests, digits), ""))
 
 
 def fingerprint(digests: Column) -> Column:
@@ -60,14 +67,14 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(total == 0, F.lit(1.0)).otherwise(2 * common / total)
 
 
-def changed_leaves(before: Column, after: Column) -> Column:
+def changed_leaves(before: Column, after: Column, digits: int = DIGEST) -> Column:
     """Positions (from 0) of the leaves of `after` that lie in sections `before` lacks and that
-    `before` lacks themselves; none if the roots are equal."""
+    `before` lacks themselves; none if the roots are equal. Both are lists of digests of `digits`."""
     new = F.array_except(after, before)
     positions = F.filter(
         F.transform(after, lambda d, i: F.when(F.array_contains(new, d), i)), lambda i: i.isNotNull()
     )
-    return F.when(root(before) == root(after), F.array().cast("array<int>")).otherwise(positions)
+    return F.when(root(before, digits) == root(after, digits), F.array().cast("array<int>")).otherwise(positions)
 
 
 def ordered_links(ids: DataFrame) -> DataFrame:

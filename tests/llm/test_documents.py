@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from llm.cases import no_documents, odd_documents, odd_rows, tuples
 from orderlake.llm.license_scan import TEMPLATES, TemplateIndex, all_templates, license_matches, words_of
-from orderlake.llm.merkle import changed_leaves, fingerprints, leaf_digests
+from orderlake.llm.merkle import WHOLE, changed_leaves, fingerprints, leaf_digests, root
 from orderlake.llm.minhash import near_duplicates, one_of_each
 from orderlake.llm.mixing import mix, mixed_documents, targets
 from orderlake.llm.packing import best_fit, complete_bins, lower_bound, pack
@@ -372,6 +372,20 @@ def test_changed_leaves(spark):
     assert df.select(changed_leaves(a, b), changed_leaves(a, c)).first() == ([1], [])
 
 
+def test_changed_leaves_with_equal_short_digests(spark):
+    seen = {}
+    for i in range(1_000_000):
+        text = f" leaf {i}"
+        other = seen.setdefault(hashlib.md5(text.encode()).hexdigest()[:8], text)
+        if other != text:
+            break
+    df = spark.createDataFrame([(f"One.{other}", f"One.{text}")], "a string, b string")
+    short, whole = ([leaf_digests(F.col(c), n) for c in "ab"] for n in (8, WHOLE))
+    assert df.select(root(short[0]) == root(short[1])).first()[0]
+    got = df.select(root(whole[0], WHOLE) == root(whole[1], WHOLE), changed_leaves(*whole, WHOLE)).first()
+    assert tuple(got) == (False, [1])
+
+
 # --- licenses ------------------------------------------------------------------------------
 
 
