@@ -14,6 +14,7 @@ from orderlake.llm.mixing import mix
 from orderlake.llm.packing import pack
 from orderlake.llm.permutation_index import neighbours
 from orderlake.llm.secret_scan import secret_report
+from orderlake.llm.speculative_bpe import bpe_round_trip
 from orderlake.llm.suffix_dedup import without_repeats
 from orderlake.llm.tokens import token_counts
 from orderlake.llm.toxicity import toxicity_report
@@ -77,6 +78,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@query
+def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_round_trip(documents(spark, sf_dir))
+
+
 ORACLES["op5_merkle_fingerprints"] = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 o AS (
