@@ -13,6 +13,7 @@ from orderlake.llm.minhash import near_duplicates
 from orderlake.llm.mixing import mix
 from orderlake.llm.packing import pack
 from orderlake.llm.permutation_index import neighbours
+from orderlake.llm.prefix_trie import prefix_trie
 from orderlake.llm.secret_scan import secret_report
 from orderlake.llm.speculative_bpe import bpe_round_trip
 from orderlake.llm.suffix_dedup import without_repeats
@@ -83,6 +84,11 @@ def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(documents(spark, sf_dir))
 
 
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 ORACLES["op5_merkle_fingerprints"] = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 o AS (
