@@ -16,6 +16,7 @@ from orderlake.llm.permutation_index import neighbours
 from orderlake.llm.prefix_trie import prefix_trie
 from orderlake.llm.secret_scan import secret_report
 from orderlake.llm.speculative_bpe import bpe_round_trip
+from orderlake.llm.spelling import spelling_variants
 from orderlake.llm.suffix_dedup import without_repeats
 from orderlake.llm.tokens import token_counts
 from orderlake.llm.toxicity import toxicity_report
@@ -79,6 +80,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(documents(spark, sf_dir))
+
+
 @query
 def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(documents(spark, sf_dir))
