@@ -43,8 +43,9 @@ from orderlake.llm.tokens import by_bytes, tokenizer_path
 TOKENIZER = "word_bpe_49k.json"
 STRETCH = 1 << 20  # characters of a text in work at a time
 WORDS = 1 << 17  # words in work at a time
-REMEMBERED = 1 << 18  # words a worker remembers
+REMEMBERED = 1 << 19  # words a worker remembers
 SHORT = 24  # so many symbols are merged by looking for the first merge again and again
+BEGIN = 3  # characters by which the longest token that may follow is looked up
 LONG = 64  # longer words are not remembered
 
 _CUT = re.compile(r"(?<=[^\s])[ \n\r\t]")
@@ -110,18 +111,22 @@ class MergeTable:
         self.inner = {t: i for t, i in self.vocab.items() if whole[i] and not t.endswith(self.end)}
         cut = len(self.end)
         self.final = {t[:-cut]: i for t, i in self.vocab.items() if whole[i] and t.endswith(self.end) and t != self.end}
-        self.longest_inner = max(map(len, self.inner))
+        self.reach: dict[str, int] = {}  # the longest token that begins with these characters
+        for token in self.inner:
+            for n in range(1, min(len(token), BEGIN) + 1):
+                self.reach[token[:n]] = max(self.reach.get(token[:n], 0), len(token))
         self.longest_final = max(map(len, self.final))
 
     def proposed(self, word: str) -> list[int]:
         """Greedy longest match; the token at the end must hold the word's last symbol."""
         ids, at, last = [], 0, len(word) - 1
-        inner, final = self.inner, self.final
+        inner, final, reach = self.inner, self.final, self.reach
         while at <= last:
             if last + 1 - at <= self.longest_final and (i := final.get(word[at:])) is not None:
                 ids.append(i)
                 break
-            for stop in range(min(last, at + self.longest_inner), at, -1):
+            longest = reach.get(word[at : at + BEGIN]) or reach.get(word[at : at + 2]) or 1
+            for stop in range(min(last, at + longest), at, -1):
                 if (i := inner.get(word[at:stop])) is not None:
                     ids.append(i)
                     at = stop
@@ -216,19 +221,25 @@ class WordEncoder:
         return offsets == [m.span() for m in self.pattern.finditer(probe)]
 
     def words(self, text: str) -> Iterator[str]:
-        """Words of a normalised text, as strings of byte symbols."""
+        """Words of a normalised text."""
         new = set(text) - self.usual
         if new:
             self.unusual |= {c for c in new if c not in self.unusual and not self._same_class(c)}
             self.usual |= new - self.unusual
         if new & self.unusual:
-            yield from (w for w, _ in self.cutter.pre_tokenize_str(text))
-        elif text.isascii() and text.isprintable():
-            yield from self.pattern.findall(text) if len(text) <= STRETCH else (m[0] for m in self.pattern.finditer(text))
+            back = str.maketrans({v: k for k, v in self.of_byte.items()})
+            found = (w.translate(back).encode("latin-1") for w, _ in self.cutter.pre_tokenize_str(text))
+            yield from (w.decode() for w in found)
+        elif len(text) <= STRETCH:
+            yield from self.pattern.findall(text)
         else:
-            for m in self.pattern.finditer(text):
-                word = m[0]
-                yield word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.of_byte)
+            yield from (m[0] for m in self.pattern.finditer(text))
+
+    def symbols(self, word: str) -> str:
+        """A word as byte symbols."""
+        if word.isascii() and word.isprintable():
+            return word
+        return word.encode().decode("latin-1").translate(self.of_byte)
 
     def parts(self, text: str) -> Iterator[int | list[str]]:
         """A text as ids of special tokens and lists of words."""
@@ -246,7 +257,7 @@ class WordEncoder:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         new = [w for w in words if w not in self.known]
-        ids, repaired = self.table.encoded(new)
+        ids, repaired = self.table.encoded([self.symbols(w) for w in new])
         self.speculated += len(new)
         self.repaired += repaired
         fresh = {w: (array("I", i).tobytes(), self.decode(i)) for w, i in zip(new, ids)}
