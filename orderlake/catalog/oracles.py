@@ -314,7 +314,7 @@ def _flatten() -> dict[str, str]:
 
 def _files() -> dict[str, str]:
     """Sources, sinks and table care."""
-    kept_body = """k % 97 NOT IN (0, 1, 3, 4)"""
+    kept_body = """k % 97 NOT IN (0, 1, 3, 4, 6, 7, 8)"""
     changed = """CASE WHEN CAST("orderNumber" AS BIGINT) % 3 = 0 THEN 'XXX' ELSE currency END AS currency"""
     latest_row = f"""{_with(DOC, ITEM, ROW_H)},
         r AS (SELECT *, row_number() OVER (PARTITION BY row_hashkey ORDER BY "SKU" DESC,
@@ -351,9 +351,12 @@ def _files() -> dict[str, str]:
         "dead_letter_rows": f"""{_with(DOC)}
             SELECT CASE k % 97 WHEN 0 THEN '{{"orderNumber":' WHEN 1 THEN '[1]'
                 WHEN 3 THEN '{{"orderNumber":"3"}}{{"orderNumber":"4"}}'
+                WHEN 6 THEN '{{"orderNumber":"3"}},"y":{{"orderNumber":"4"}}'
+                WHEN 7 THEN '{{"orderNumber":"3"}},"x":{{"orderNumber":"4"}}'
+                WHEN 8 THEN '{{"orderNumber":"3"}}}} junk'
                 ELSE '{{"orderNumber":"3"}} junk' END AS body,
               "EventEnqueuedUtcTime", CAST(seq AS VARCHAR) AS "Offset", custkey AS "PartitionKey"
-            FROM doc WHERE k % 97 IN (0, 1, 3, 4)""",
+            FROM doc WHERE k % 97 IN (0, 1, 3, 4, 6, 7, 8)""",
         "valid_rows": f"""{_with(DOC)}
             SELECT CASE WHEN k % 97 <> 2 THEN "orderNumber" END AS "orderNumber",
               CASE WHEN k % 97 <> 2 THEN status_value END AS status_value,
@@ -362,9 +365,10 @@ def _files() -> dict[str, str]:
             FROM doc WHERE {kept_body}""",
         "dead_letter_raw": f"""{_with(DOC)}
             SELECT "orderNumber", CAST(seq AS VARCHAR) AS "Offset", CASE k % 89 WHEN 0 THEN 'status'
-              WHEN 1 THEN 'buckets' WHEN 2 THEN 'payments' ELSE 'offers,total' END AS broken
-            FROM doc WHERE k % 89 < 4
-            UNION ALL SELECT "orderNumber", NULL, '' FROM doc WHERE k % 89 >= 4""",
+              WHEN 1 THEN 'buckets' WHEN 2 THEN 'payments' WHEN 3 THEN 'offers,total'
+              WHEN 4 THEN 'offers' WHEN 5 THEN 'payments' ELSE 'buckets' END AS broken
+            FROM doc WHERE k % 89 < 7
+            UNION ALL SELECT "orderNumber", NULL, '' FROM doc WHERE k % 89 >= 7""",
         "retype_rewrite": "SELECT * FROM orders",
         "compact_matching_tables": """SELECT t AS table_name, o_orderkey, o_orderstatus, true AS moved,
               'ok' AS status
@@ -390,7 +394,7 @@ def _files() -> dict[str, str]:
         "empty_batch": "SELECT *, 'False,True,False' AS steps FROM events",
         "stream_ingest_rows": "SELECT * FROM events",
         "stream_ingest_tables": f"""{_with(DOC, ITEM, _row_s('INTEGER'))} SELECT * FROM row_s
-            WHERE "orderNumber" NOT IN (SELECT "orderNumber" FROM doc WHERE k % 97 IN (0, 1, 2, 3, 4))""",
+            WHERE "orderNumber" NOT IN (SELECT "orderNumber" FROM doc WHERE k % 97 IN (0, 1, 2, 3, 4, 6, 7, 8))""",
         "stream_upsert_order": f"""{_with(DOC, ORDER_H)} SELECT * REPLACE ({changed}) FROM order_h""",
         "stream_upsert_row": f"SELECT * REPLACE ({changed}) FROM ({latest_row})",
         "stream_restart": f"{_with(DOC, PAY, PAYMENT_H)} SELECT * FROM payment_h",

@@ -24,6 +24,7 @@ from orderlake.functions import (
 )
 from orderlake.operators import aggregates, flatten, incremental, merge, quality, tables
 from orderlake.operators.dedup import dedup_latest, newest_first
+from orderlake.operators.stored import StoredTable, replay
 from orderlake.plans import registry, warehouse
 from orderlake.plans.silver import latest_documents, silver_tables, upsert_silver
 from orderlake.session import configure, work_path
@@ -112,17 +113,15 @@ def last_per_user(spark: SparkSession, sf_dir: str, until: str | None = None) ->
     return dedup_latest(rows, ["user_id", "event_type"], newest_first("ts", "event_id"))
 
 
-def bucket_count(spark: SparkSession, sf_dir: str) -> int:
-    """Buckets of a stored table: one per 256 MB of documents, at least eight."""
-    return max(8, -(-tables.listed_bytes(order_updates(spark, sf_dir)) // (256 * 1024 * 1024)))
+def per_block(spark: SparkSession, sf_dir: str, name: str = "orders", key: str = "o_orderkey") -> int:
+    """Key values of a block: so many that there is one for 64 MB of a table, at least eight."""
+    rows = table(spark, sf_dir, name)
+    blocks = max(8, -(-tables.listed_bytes(rows) // (64 << 20)))
+    return -(-(1 + rows.agg(F.max(key)).first()[0]) // blocks)
 
 
-def stored_table(
-    spark: SparkSession, sf_dir: str, label: str, keys: list[str], watermark: str | None = None
-) -> tables.VersionedTable:
-    """A fresh stored table in the work folder."""
-    path, buckets = work_path(spark, label), bucket_count(spark, sf_dir)
-    return tables.VersionedTable(spark, path, keys, buckets, watermark)
+def user_block(spark: SparkSession, sf_dir: str) -> Column:
+    return F.floor(F.col("user_id") / per_block(spark, sf_dir, "events", "user_id"))
 
 
 # --- sources and sinks -------------------------------------------------------------------
@@ -161,21 +160,21 @@ def append_schema_merge(spark, sf_dir):
 
 @query
 def first_load(spark, sf_dir):
-    target = stored_table(spark, sf_dir, "first", ["row_hashkey"])
+    target = silver_tables(spark, work_path(spark, "first"), per_block(spark, sf_dir))["row"]
     sinks.save_or_merge(target, flatten.flatten_row_h(keyed_raw(spark, sf_dir)))
     return target.read()
 
 
 @query
 def fanout_counts(spark, sf_dir):
-    targets = silver_tables(spark, work_path(spark, "fanout"), bucket_count(spark, sf_dir))
+    targets = silver_tables(spark, work_path(spark, "fanout"), per_block(spark, sf_dir))
     upsert_silver(order_updates(spark, sf_dir), targets, as_of=clock(), on_source_duplicates="error")
     return aggregates.table_counts({name: t.read() for name, t in targets.items()})
 
 
 def damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event bodies of which some are cut off, no objects, empty objects, followed by another
-    object or junk, or surrounded by white space."""
+    object, more fields or junk, or surrounded by white space."""
     kind = F.col("o_orderkey") % 97
     body = (
         F.when(kind == 0, F.lit('{"orderNumber":'))
@@ -184,6 +183,9 @@ def damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 3, F.lit('{"orderNumber":"3"}{"orderNumber":"4"}'))
         .when(kind == 4, F.lit('{"orderNumber":"3"} junk'))
         .when(kind == 5, F.concat(F.lit("\n\t\r "), F.col("body"), F.lit(" \n")))
+        .when(kind == 6, F.lit('{"orderNumber":"3"},"y":{"orderNumber":"4"}'))
+        .when(kind == 7, F.lit('{"orderNumber":"3"},"x":{"orderNumber":"4"}'))
+        .when(kind == 8, F.lit('{"orderNumber":"3"}} junk'))
         .otherwise(F.col("body"))
     )
     updates = order_updates(spark, sf_dir)
@@ -225,8 +227,11 @@ def dead_letter_raw(spark, sf_dir):
             "total": cut("total", 3, '{"totalAmount":{}}'),
         }
     )
+    behind = lambda name, k, text: F.when(kind == k, F.concat(F.coalesce(name, F.lit("[]")), F.lit(text))).otherwise(F.col(name))
+    raw = raw.withColumns({"offers": behind("offers", 4, ',"y":[1]'), "payments": behind("payments", 5, ',"x":[]')})
+    raw = raw.withColumn("buckets", behind("buckets", 6, "] junk"))
     path = work_path(spark, "deadletters")
-    targets = silver_tables(spark, work_path(spark, "silver"), bucket_count(spark, sf_dir))
+    targets = silver_tables(spark, work_path(spark, "silver"), per_block(spark, sf_dir))
     upsert_silver(raw, targets, 0, clock(), dead_letters=path)
     bad = sinks.read_dead_letters(spark, f"{path}/consumer=silver/stage=parse", "orderNumber STRING, Offset STRING, broken ARRAY<STRING>")
     good = targets["order"].read().select("orderNumber", F.lit(None).cast("string").alias("Offset"), F.lit("").alias("broken"))
@@ -420,9 +425,9 @@ def _register_per_warehouse_table() -> None:
     def refreshed(name: str) -> Query:
         def run(spark, sf_dir):
             stream = stream_table(spark, sf_dir, name)
-            root, buckets = work_path(spark, "warehouse"), bucket_count(spark, sf_dir)
-            stored = warehouse.warehouse_tables(spark, root, buckets)[name]
-            stored.create(warehouse.latest(first_versions(stream), name))
+            root = work_path(spark, "warehouse")
+            stored = warehouse.warehouse_tables(spark, root, per_block(spark, sf_dir))[name]
+            stored.merge(warehouse.latest(first_versions(stream), name), on_source_duplicates="assume_unique")
             warehouse.warehouse_refresh({name: stream}, {name: stored})
             return stored.read()
 
@@ -613,7 +618,7 @@ def _silver_runs(spark: SparkSession, sf_dir: str, name: str, landings: list[tup
             f"{root}/silver",
             f"{root}/{checkpoint}",
             as_of=clock(),
-            buckets=bucket_count(spark, sf_dir),
+            orders_per_block=per_block(spark, sf_dir),
             names=[name],
         ).awaitTermination()
     return silver_tables(spark, f"{root}/silver")[name].read()
@@ -689,8 +694,8 @@ def late_event_applied(spark, sf_dir):
 def replay_idempotent(spark, sf_dir):
     """The same source merged twice into a stored table gives the state after one merge."""
     keys = ["user_id", "event_type"]
-    stored = stored_table(spark, sf_dir, "replay", keys)
-    stored.create(last_per_user(spark, sf_dir, EVENT_CUT))
+    stored = StoredTable(spark, work_path(spark, "replay"), keys, user_block(spark, sf_dir))
+    stored.merge(last_per_user(spark, sf_dir, EVENT_CUT))
     for _ in range(2):
         stored.merge(last_per_user(spark, sf_dir), "t.ts < s.ts", "assume_unique")
     return stored.read()
@@ -766,7 +771,8 @@ def compact_matching_tables(spark, sf_dir):
 def empty_batch(spark, sf_dir):
     """An empty batch neither creates a table nor changes one."""
     events = table(spark, sf_dir, "events")
-    target = stored_table(spark, sf_dir, "empty", ["event_id"])
+    block = F.floor(F.col("event_id") / per_block(spark, sf_dir, "events", "event_id"))
+    target = StoredTable(spark, work_path(spark, "empty"), ["event_id"], block)
     steps = [sinks.save_or_merge(target, df) for df in (events.limit(0), events, events.limit(0))]
     return target.read().withColumn("steps", F.lit(",".join(map(str, steps))))
 

@@ -1,7 +1,7 @@
 """Upsert, delete and change reads as plain joins over two DataFrames.
 
-Nothing here writes: a merge returns the next state of the target. `tables.VersionedTable`
-stores such states.
+Nothing here writes: a merge returns the next state of the target. `stored.StoredTable` stores
+such states.
 """
 
 from __future__ import annotations
@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from orderlake.operators.dedup import dedup_latest
 
+# Columns of a flagged state: what happened to a row, and the row it replaced.
+CHANGE, BEFORE = "_change_type", "_before"
+
 # A merge source below this many bytes (its rows as text, measured) may be broadcast.
 BROADCAST_LIMIT = 64 * 1024 * 1024
 
@@ -23,7 +26,8 @@ def has_null_key(keys: list[str]) -> Column:
 
 def measured_bytes(df: DataFrame) -> int:
     """Size of the rows as JSON text: one narrow pass with a partial sum. Use on staged data."""
-    size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
+    # to_json leaves NULL fields out, so each column counts eight bytes besides.
+    size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))) + 8 * len(df.columns))
     return df.agg(F.coalesce(size, F.lit(0)).cast("long")).first()[0]
 
 
@@ -61,12 +65,19 @@ def one_row_per_key(
 
 
 def _next_state(
-    target: DataFrame, source: DataFrame, keys: list[str], guard: Column, how: str
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    guard: Column,
+    how: str,
+    flags: bool = False,
+    images: bool = False,
 ) -> DataFrame:
     """Join both sides and pick, row by row, the side that wins.
 
     Presence flags decide what is matched; column NULLs never do, so real NULLs overwrite.
-    A guard that is NULL counts as false.
+    A guard that is NULL counts as false. With `flags`, CHANGE tells inserts and updates; with
+    `images`, BEFORE holds the row that was updated. An update to the same values is none.
     """
     t = target.withColumn("_in_target", F.lit(True)).alias("t")
     s = source.withColumn("_in_source", F.lit(True)).alias("s")
@@ -84,7 +95,25 @@ def _next_state(
         return F.when(take_source, F.col(f"s.{name}").cast(kind)).otherwise(old).alias(name)
 
     names = target.columns + [c for c in source.columns if c not in target.columns]
-    return t.join(s, on, how).select(*[pick(n) for n in names])
+    extra = []
+    if flags:
+        both = [c for c in source.columns if c not in keys]
+        old = {f.name: F.col(f"t.{f.name}") for f in target.schema}
+        new = {c: F.col(f"s.{c}").cast(target.schema[c].dataType) if c in old else F.col(f"s.{c}") for c in both}
+        same = reduce(lambda a, b: a & b, [new[c].eqNullSafe(old.get(c)) for c in both], F.lit(True))
+        changed = F.col("_in_target").isNotNull() & updated & ~same
+        extra.append(F.when(inserted, F.lit("insert")).when(changed, F.lit("update")).alias(CHANGE))
+        if images:
+            extra.append(F.when(changed, F.struct(*[old[c].alias(c) for c in old])).alias(BEFORE))
+    return t.join(s, on, how).select(*[pick(n) for n in names], *extra)
+
+
+def merge_flagged(
+    target: DataFrame, source: DataFrame, keys: list[str], guard: str | None = None, images: bool = False
+) -> DataFrame:
+    """`merge_upsert` of sides with unique, complete keys; every row is flagged with its change."""
+    condition = F.lit(True) if guard is None else F.expr(guard)
+    return _next_state(target, source, keys, condition, "full_outer", True, images)
 
 
 def merge_upsert(

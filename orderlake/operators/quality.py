@@ -14,47 +14,83 @@ from orderlake.operators.aggregates import union_all
 def whole_json(text: Column, kind: T.DataType) -> Column:
     """`text` as the field `x` of a struct that also has the corrupt-record field.
 
-    The text is parsed as the value of a field, so that one with anything after its end (a
-    second object, or junk) does not convert, and arrays have a corrupt record too. The options
-    keep Spark from parsing only the referenced fields, which would miss bad ones.
+    The text is parsed as the value of a field, so arrays have a corrupt record too. The options
+    keep Spark from parsing only the referenced fields, which would miss bad ones. Use it with
+    `is_one_value`: a parser stops where the value it reads ends.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
     fields = [T.StructField("x", kind), T.StructField(schemas.CORRUPT, T.StringType())]
     return F.from_json(F.concat(F.lit('{"x":'), text, F.lit("}")), T.StructType(fields), options)
 
 
+def is_one_value(text: Column) -> Column:
+    """Whether a text in which `whole_json` finds a value is that one JSON value and no more.
+
+    As the only element of an array it has length one. A text that closes more brackets than it
+    opens ends either the array or the object around it too early, but not both.
+    """
+    length = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
+    return F.coalesce(length == 1, F.lit(False))
+
+
+def keep(df: DataFrame, condition: Column) -> DataFrame:
+    """`df.filter(condition)`, evaluated where it stands: Spark pushes filters below projections,
+    and what these parse would be parsed once more for the filter."""
+    kept = F.explode(F.when(condition, F.array(F.lit(True))))
+    return df.select("*", kept.alias("_kept")).drop("_kept")
+
+
 def parse_checked(df: DataFrame, body_ddl: str = schemas.BODY_S) -> DataFrame:
     """Envelope rows plus `event` (typed body) and `is_valid`.
 
     A body is valid when it is one JSON object, white space around it aside, all of whose
     declared fields convert.
     """
-    is_object = F.col("body").rlike("^[ \\t\\n\\r]*\\{")
-    checked = df.withColumn("parsed", whole_json(F.col("body"), schemas.struct(body_ddl)))
-    clean = F.col("event").isNotNull() & F.col(f"parsed.{schemas.CORRUPT}").isNull()
-    checked = checked.withColumn("event", F.col("parsed.x"))
-    return checked.withColumn("is_valid", F.coalesce(is_object & clean, F.lit(False))).drop("parsed")
-
-
-def broken_texts(df: DataFrame, names: list[str] | None = None) -> Column:
-    """Names of the raw JSON text columns (of those in `names`) whose text does not convert."""
-    found = []
-    for name, kind in schemas.RAW_JSON_H.items():
-        if (names is None or name in names) and name in df.columns:
-            parsed = whole_json(F.col(name), schemas.struct(f"x {kind}")["x"].dataType)
-            broken = F.col(name).isNotNull() & (
-                parsed.isNull() | parsed[schemas.CORRUPT].isNotNull()
-            )
-            found.append(F.when(broken, F.lit(name)))
-    return F.array_compact(F.array(*found))
+    body = F.col("body")
+    checked = df.withColumn("parsed", whole_json(body, schemas.struct(body_ddl)))
+    clean = F.col("parsed.x").isNotNull() & F.col(f"parsed.{schemas.CORRUPT}").isNull()
+    valid = body.rlike("^[ \\t\\n\\r]*\\{") & clean & is_one_value(body)
+    return checked.withColumns({"event": F.col("parsed.x"), "is_valid": F.coalesce(valid, F.lit(False))}).drop("parsed")
+
+
+def parse_checked_raw(df: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """Raw rows with their JSON text columns (those in `names`) parsed, `broken`, the names of
+    those that are not one value or do not convert, and `texts`, their texts where one is broken."""
+    found = {
+        name: schemas.struct(f"x {kind}")["x"].dataType
+        for name, kind in schemas.RAW_JSON_H.items()
+        if (names is None or name in names) and name in df.columns
+    }
+    parsed = df.withColumns({f"_{name}": whole_json(F.col(name), kind) for name, kind in found.items()})
+
+    def broken(name: str) -> Column:
+        value = F.col(f"_{name}")
+        clean = value.isNotNull() & value[schemas.CORRUPT].isNull() & is_one_value(F.col(name))
+        return F.when(F.col(name).isNotNull() & ~clean, F.lit(name))
+
+    marked = parsed.withColumn("broken", F.array_compact(F.array(*[broken(n) for n in found])))
+    texts = F.when(F.size("broken") > 0, F.struct(*found))
+    values = {name: F.col(f"_{name}.x") for name in found}
+    return marked.withColumn("texts", texts).withColumns(values).drop(*[f"_{n}" for n in found])
+
+
+def whole_documents(checked: DataFrame) -> DataFrame:
+    """The parsed rows of which no text is broken."""
+    return keep(checked, F.size("broken") == 0).drop("broken", "texts")
+
+
+def broken_documents(checked: DataFrame) -> DataFrame:
+    """Dead letters: the other rows, unchanged, with `broken`."""
+    rows = keep(checked, F.size("broken") > 0)
+    texts = {n: F.col(f"texts.{n}") for n in checked.schema["texts"].dataType.names}
+    return rows.withColumns(texts).drop("texts")
 
 
 def split_raw(df: DataFrame, names: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(raw rows whose JSON texts all convert, dead letters: the other rows unchanged, with
-    `broken`, the names of the columns that do not)."""
-    marked = df.withColumn("broken", broken_texts(df, names))
-    good = marked.filter(F.size("broken") == 0).drop("broken")
-    return good, marked.filter(F.size("broken") > 0)
+    """(parsed raw rows whose JSON texts all convert, dead letters). Persist `parse_checked_raw`
+    and use the two functions above where both are written."""
+    checked = parse_checked_raw(df, names)
+    return whole_documents(checked), broken_documents(checked)
 
 
 def split_valid(df: DataFrame, body_ddl: str = schemas.BODY_S) -> tuple[DataFrame, DataFrame]:
@@ -63,8 +99,8 @@ def split_valid(df: DataFrame, body_ddl: str = schemas.BODY_S) -> tuple[DataFram
     checked = df if "is_valid" in df.columns else parse_checked(df, body_ddl)
     meta = [c for c in checked.columns if c not in ("body", "event", "is_valid")]
     fields = schemas.struct(body_ddl).names
-    good = checked.filter("is_valid").select(*[F.col(f"event.{n}") for n in fields], *meta)
-    bad = checked.filter("NOT is_valid").select("body", *meta)
+    good = keep(checked, F.col("is_valid")).select(*[F.col(f"event.{n}") for n in fields], *meta)
+    bad = keep(checked, ~F.col("is_valid")).select("body", *meta)
     return good, bad
 
 

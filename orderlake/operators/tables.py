@@ -1,310 +1,16 @@
-"""Tables as immutable Parquet versions, and table care (detail, history, compaction).
-
-Spark can neither MERGE into plain Parquet nor overwrite what it reads, so a table state is
-a set of files that are never changed:
-
-    <path>/data/_version=<n>/_bucket=<b>/…  rows, spread over a fixed number of key buckets
-    <path>/commits/version=<n>/…            one small file: which version each bucket is to
-                                            be read from, plus facts about the write
-
-A merge rewrites only the buckets its source touches. A version counts once its commit file
-is there; a failed attempt leaves unread data that the next attempt overwrites.
-"""
+"""Care of stored tables: detail, compaction, catalog metadata, added columns."""
 
 from __future__ import annotations
 
-import json
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from orderlake.operators.merge import (
-    has_null_key,
-    merge_upsert,
-    one_row_per_key,
-    split_null_keys,
-)
-from orderlake.session import child_names
 
-BUCKET, VERSION, PART = "_bucket", "_version", "_part"
-PARTS = 8  # tasks that merge one bucket
 WORKERS = 5  # fixed value: tables compacted side by side
 
 
-def order_block(business_key: str, orders_per_block: int) -> Column:
-    """Block of the order a business key starts with: numbered orders by number, others by
-    hash. Orders that arrive together then share a few blocks."""
-    order = F.substring_index(business_key, "_", 1)
-    number = F.floor(order.try_cast("bigint") / orders_per_block)
-    return F.coalesce(number, F.xxhash64(order))
-
-
-_COMMIT = (
-    T.StructType()
-    .add("bucket", "integer")
-    .add("data_version", "long")
-    .add("operation", "string")
-    .add("writer", "string")
-    .add("batch_id", "long")
-    .add("batches", T.MapType(T.StringType(), T.LongType()))
-    .add("buckets", "integer")
-    .add("rows_written", "long")
-    .add("watermark", "timestamp")
-    .add("table_schema", "string")
-    .add("committed_at", "timestamp")
-)
-
-
-@dataclass(frozen=True)
-class Commit:
-    """One committed version: where every bucket lives, and the facts of the write."""
-
-    version: int
-    placement: dict[int, int]
-    facts: T.Row
-
-    @property
-    def schema(self) -> T.StructType:
-        return T.StructType.fromJson(json.loads(self.facts["table_schema"]))
-
-
-class VersionedTable:
-    """An upsertable table of one key. One writer at a time.
-
-    buckets    fixed at creation. A merge rewrites whole buckets, `PARTS` tasks each, so choose
-               it such that table size / buckets stays near 4 GB; defaults to the shuffle
-               partitions.
-    locate     optional column giving each row a block number, which replaces the key hash.
-               It must be a function of the key. See `order_block`: where new and changed
-               keys lie close together, a batch then touches few buckets of a large table.
-    watermark  optional timestamp column whose maximum is kept with each commit, so that an
-               incremental load does not have to scan the table for it.
-    """
-
-    def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        keys: list[str],
-        buckets: int | None = None,
-        watermark: str | None = None,
-        locate: Column | None = None,
-    ):
-        self.spark, self.path, self.keys = spark, path.rstrip("/"), keys
-        self.watermark, self.locate = watermark, locate
-        self._buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    # --- commits ---------------------------------------------------------------------
-    def versions(self) -> list[int]:
-        """Committed versions, oldest first (a folder listing, no Spark job)."""
-        names = child_names(self.spark, f"{self.path}/commits")
-        found = [int(n.partition("=")[2]) for n in names if n.startswith("version=")]
-        done = "_SUCCESS"
-        if found and done not in child_names(self.spark, f"{self.path}/commits/version={max(found)}"):
-            found.remove(max(found))  # the writer died while committing
-        return sorted(found)
-
-    def exists(self) -> bool:
-        return bool(self.versions())
-
-    def commit(self, version: int | None = None) -> Commit | None:
-        """The newest commit, or that of the given version. At most buckets + 1 rows."""
-        known = self.versions()
-        if version is None:
-            if not known:
-                return None
-            version = known[-1]
-        elif version not in known:
-            raise ValueError(f"{self.path} has no version {version}")
-        path = f"{self.path}/commits/version={version}"
-        rows = self.spark.read.schema(_COMMIT).parquet(path).collect()
-        facts = next(r for r in rows if r["bucket"] is None)
-        placement = {r["bucket"]: r["data_version"] for r in rows if r["bucket"] is not None}
-        return Commit(version, placement, facts)
-
-    # --- reading ----------------------------------------------------------------------
-    def _read(self, commit: Commit, buckets: set[int] | None = None) -> DataFrame:
-        """Rows of a version (or of some of its buckets), with the bucket column."""
-        placed = {
-            b: v for b, v in commit.placement.items() if buckets is None or b in buckets
-        }
-        schema = commit.schema.add(VERSION, "long").add(BUCKET, "integer")
-        if not placed:
-            return self.spark.createDataFrame([], schema).drop(VERSION)
-        versions = set(placed.values())
-        if placed == commit.placement and len(versions) == 1:
-            paths = [f"{self.path}/data/{VERSION}={versions.pop()}"]
-        else:
-            paths = [f"{self.path}/data/{VERSION}={v}/{BUCKET}={b}" for b, v in placed.items()]
-        reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/data")
-        return reader.parquet(*paths).drop(VERSION)
-
-    def read(self, version: int | None = None) -> DataFrame:
-        commit = self.commit(version)
-        if commit is None:
-            raise ValueError(f"{self.path} has no versions")
-        return self._read(commit).drop(BUCKET)
-
-    # --- writing ---------------------------------------------------------------------
-    def _bucket_of(self, df: DataFrame, buckets: int) -> Column:
-        """Bucket by key. Rows with a NULL key match nothing, so they are spread by content."""
-        by_key = F.xxhash64(*self.keys) if self.locate is None else self.locate
-        spread = F.when(has_null_key(self.keys), F.xxhash64(*df.columns)).otherwise(by_key)
-        return F.pmod(spread, F.lit(buckets)).cast("integer")
-
-    def _write(self, df: DataFrame, version: int) -> dict:
-        """Write bucketed rows; returns the observed facts (rows, watermark)."""
-        seen = Observation()
-        newest = F.max(self.watermark) if self.watermark else F.lit(None)
-        measured = df.observe(
-            seen, F.count(F.lit(1)).alias("rows"), newest.cast("timestamp").alias("watermark")
-        )
-        target = f"{self.path}/data/{VERSION}={version}"
-        measured.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
-        return seen.get
-
-    def _commit(
-        self,
-        version: int,
-        placement: dict[int, int],
-        schema: T.StructType,
-        buckets: int,
-        facts: dict,
-        previous: Commit | None = None,
-        **info: str | int | None,
-    ) -> None:
-        """Make a version readable: one small file, moved into place as a whole."""
-        batches = dict(previous.facts["batches"] or {}) if previous else {}
-        if info["batch_id"] is not None:
-            batches[info["writer"]] = info["batch_id"]
-        columns = T.StructType([f for f in schema if f.name != BUCKET])
-        head = {
-            **info,
-            "batches": batches,
-            "buckets": buckets,
-            "rows_written": facts["rows"],
-            "watermark": facts["watermark"],
-            "table_schema": columns.json(),
-        }
-        rows = [head] + [{"bucket": b, "data_version": v} for b, v in sorted(placement.items())]
-        values = [tuple(r.get(n) for n in _COMMIT.names) for r in rows]
-        stamped = self.spark.createDataFrame(values, _COMMIT).withColumn(
-            "committed_at", F.when(F.col("bucket").isNull(), F.current_timestamp())
-        )
-        path = f"{self.path}/commits/version={version}"
-        if "_SUCCESS" in child_names(self.spark, path):
-            raise RuntimeError(f"{self.path} has a version {version} already: one writer at a time")
-        stamped.coalesce(1).write.mode("overwrite").parquet(path)
-
-    def create(self, df: DataFrame, writer: str = "batch", batch_id: int | None = None) -> None:
-        """First version: all rows as they are, duplicates included."""
-        if self.exists():
-            raise RuntimeError(f"{self.path} exists already")
-        n = self._buckets
-        # Rebalancing gathers small buckets in one task and cuts a bucket that one key fills.
-        bucketed = df.withColumn(BUCKET, self._bucket_of(df, n)).hint("rebalance", BUCKET)
-        facts = self._write(bucketed, 1)
-        placement = dict.fromkeys(self._filled(1), 1)
-        info = {"operation": "create", "writer": writer, "batch_id": batch_id}
-        self._commit(1, placement, bucketed.schema, n, facts, None, **info)
-
-    def _filled(self, version: int) -> list[int]:
-        """Buckets that got rows (Spark writes no folder for the others)."""
-        written = self.spark.read.schema(f"{BUCKET} INT").option("basePath", f"{self.path}/data")
-        found = written.parquet(f"{self.path}/data/{VERSION}={version}").select(BUCKET).distinct().collect()
-        return [r[0] for r in found]
-
-    def merge(
-        self,
-        source: DataFrame,
-        guard: str | None = None,
-        on_source_duplicates: str = "error",
-        order_by: list[Column] | None = None,
-        null_keys: str = "insert",
-        writer: str = "batch",
-        batch_id: int | None = None,
-    ) -> None:
-        """Upsert into a new version, rewriting only the buckets that the source touches.
-
-        With a batch id, a batch this writer has already committed is skipped.
-        """
-        commit = self.commit()
-        if batch_id is not None and commit and (commit.facts["batches"] or {}).get(writer, -1) >= batch_id:
-            return
-        kept: list[DataFrame] = []  # persisted here, released at the end
-        try:
-            rows = self._unique(source, on_source_duplicates, order_by, null_keys, commit, kept)
-            if commit is None:
-                self.create(rows, writer, batch_id)
-                return
-            buckets = commit.facts["buckets"]  # fixed for the table's life
-            rows = rows.withColumn(BUCKET, self._bucket_of(rows, buckets)).persist()
-            kept.append(rows)
-            touched = {r[0] for r in rows.select(BUCKET).distinct().collect()}
-            if not touched:
-                return
-            tasks = PARTS * len(touched)
-            old = self._read(commit, touched)
-            old_keyed, old_loose = split_null_keys(old, self.keys)
-            new_keyed, new_loose = split_null_keys(rows, self.keys)
-            # Both sides are partitioned by bucket and a second hash of the key, so a bucket is
-            # several tasks; the join and the write need no further shuffle. Rows without a
-            # key skip all of it.
-            part = F.pmod(F.hash(*self.keys), F.lit(PARTS))
-            state = merge_upsert(
-                old_keyed.withColumn(PART, part).repartition(tasks, BUCKET, PART),
-                new_keyed.withColumn(PART, part).repartition(tasks, BUCKET, PART),
-                [BUCKET, PART, *self.keys],
-                guard=guard,
-                on_source_duplicates="assume_unique",
-                keys_not_null=True,
-            ).drop(PART)
-            for loose_rows in (old_loose, new_loose):
-                # A table keeps the types of its columns, whatever a source brings.
-                typed = loose_rows.select(
-                    *[F.col(f.name).cast(f.dataType) for f in state.schema if f.name in loose_rows.columns]
-                )
-                state = state.unionByName(typed, allowMissingColumns=True)
-            version = commit.version + 1
-            facts = self._write(state, version)
-            if self.watermark and commit.facts["watermark"] is not None:
-                seen = [commit.facts["watermark"], facts["watermark"]]
-                facts = {**facts, "watermark": max(w for w in seen if w is not None)}
-            placement = {**commit.placement, **{b: version for b in touched}}
-            info = {"operation": "merge", "writer": writer, "batch_id": batch_id}
-            self._commit(version, placement, state.schema, buckets, facts, commit, **info)
-        finally:
-            for df in kept:
-                df.unpersist()
-
-    def _unique(
-        self,
-        source: DataFrame,
-        mode: str,
-        order_by: list[Column] | None,
-        null_keys: str,
-        commit: Commit | None,
-        kept: list[DataFrame],
-    ) -> DataFrame:
-        """The source with one row per complete key; rows with a NULL key all stay or all go."""
-        if mode == "error" and commit is None:
-            mode = "assume_unique"  # a first load takes every row
-        if mode == "assume_unique":
-            return source if null_keys == "insert" else split_null_keys(source, self.keys)[0]
-        if any(source.schema[k].nullable for k in self.keys):
-            source = source.persist()  # read by both branches below
-            kept.append(source)
-            keyed, loose = split_null_keys(source, self.keys)
-        else:
-            keyed, loose = source, None
-        keyed = one_row_per_key(keyed, self.keys, mode, order_by)
-        return keyed if loose is None or null_keys == "quarantine" else keyed.unionByName(loose)
-
-
 # --- table care -------------------------------------------------------------------------
 def file_sizes(df: DataFrame) -> DataFrame:
     """`file`, `bytes`, `rows` of each file of a file-backed DataFrame."""

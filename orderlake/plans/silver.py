@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from orderlake import schemas
 from orderlake.operators.dedup import dedup_latest, newest_first
 from orderlake.operators.flatten import ORDER_KEY_H, READS_H, parse_raw, preprocess_bronze
 from orderlake.operators.merge import has_null_key
-from orderlake.operators.quality import split_raw
-from orderlake.operators.tables import VersionedTable, order_block
+from orderlake.operators.quality import broken_documents, parse_checked_raw, whole_documents
+from orderlake.operators.stored import ORDERS_PER_BLOCK, StoredTable, order_block
 from orderlake.plans.registry import transforms
 from orderlake.sources.sinks import fan_out, save_or_merge, write_dead_letters
 
@@ -25,15 +26,19 @@ def latest_documents(raw: DataFrame, as_of: Column | None = None) -> DataFrame:
 
 
 def silver_tables(
-    spark: SparkSession, root: str, buckets: int | None = None, orders_per_block: int | None = None
-) -> dict[str, VersionedTable]:
-    """A stored table per registered transform. With `orders_per_block`, rows are laid out
-    by the order number their business key (`<name>_bk`) starts with."""
-    stored = {}
-    for name, t in transforms().items():
-        locate = order_block(f"{name}_bk", orders_per_block) if orders_per_block else None
-        stored[name] = VersionedTable(spark, f"{root}/{t.table}", t.keys, buckets, locate=locate)
-    return stored
+    spark: SparkSession, root: str, orders_per_block: int = ORDERS_PER_BLOCK, record_changes: bool = False
+) -> dict[str, StoredTable]:
+    """A stored table per registered transform, laid out by the order number its business key
+    (`<name>_bk`) starts with. Columns are what the transform makes of a raw document."""
+    documents = parse_raw(preprocess_bronze(spark.createDataFrame([], schemas.RAW_H)))
+
+    def table(name: str) -> StoredTable:
+        t = transforms()[name]
+        schema = t.fn(documents).schema if name in READS_H else None
+        block = order_block(f"{name}_bk", orders_per_block)
+        return StoredTable(spark, f"{root}/{t.table}", t.keys, block, schema, record_changes)
+
+    return {name: table(name) for name in transforms()}
 
 
 def json_columns(names: list[str]) -> list[str] | None:
@@ -45,14 +50,14 @@ def json_columns(names: list[str]) -> list[str] | None:
 
 def upsert_silver(
     raw: DataFrame,
-    tables: dict[str, VersionedTable],
+    tables: dict[str, StoredTable],
     batch_id: int | None = None,
     as_of: Column | None = None,
     on_source_duplicates: str = "latest",
     writer: str = "silver",
     dead_letters: str | None = None,
 ) -> None:
-    """Upsert one raw batch into the silver tables, parsed once.
+    """Upsert one raw batch into the silver tables. Each JSON text is parsed once.
 
     Documents with a JSON text that does not convert are left out before anything else, so they
     hide no older good document. A document may hold one child key twice. "latest" stores the
@@ -60,12 +65,11 @@ def upsert_silver(
     fails on a later merge. With `dead_letters`, a folder, both kinds of rejected rows are kept
     there: broken documents under stage `parse`, children under `duplicate_<table>`.
     """
-    if raw.isEmpty():
-        return
-    good, bad = split_raw(raw, json_columns(list(tables)))
+    checked = parse_checked_raw(raw, json_columns(list(tables)))
     if dead_letters:
-        write_dead_letters(bad, dead_letters, "silver", "parse", batch_id, writer)
-    documents = parse_raw(latest_documents(good, as_of), list(tables))
+        checked = checked.persist()
+        write_dead_letters(broken_documents(checked), dead_letters, "silver", "parse", batch_id, writer)
+    documents = latest_documents(whole_documents(checked), as_of)
     known = transforms()
 
     def write(name: str, rows: DataFrame) -> None:
@@ -81,16 +85,13 @@ def upsert_silver(
             write_dead_letters(losers, dead_letters, "silver", f"duplicate_{name}", batch_id, writer)
             rows, mode = ranked.filter("_nth = 1").drop("_nth"), "assume_unique"
         try:
-            save_or_merge(
-                tables[name],
-                rows,
-                on_source_duplicates=mode,
-                order_by=tie_break,
-                writer=writer,
-                batch_id=batch_id,
-            )
+            save_or_merge(tables[name], rows, on_source_duplicates=mode, order_by=tie_break)
         finally:
             if ranked is not None:
                 ranked.unpersist()
 
-    fan_out(documents, {name: known[name].fn for name in tables}, write)
+    try:
+        fan_out(documents, {name: known[name].fn for name in tables}, write)
+    finally:
+        if dead_letters:
+            checked.unpersist()

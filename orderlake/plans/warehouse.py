@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from orderlake import schemas
 from orderlake.functions import local_time_ms
 from orderlake.operators.dedup import dedup_latest, newest_first
-from orderlake.operators.incremental import incremental, newer_than
+from orderlake.operators.incremental import incremental
 from orderlake.operators.merge import merge_upsert
 from orderlake.operators.quality import conform
-from orderlake.operators.tables import VersionedTable, order_block
+from orderlake.operators.stored import ORDERS_PER_BLOCK, StoredTable, order_block
 
 CLOCK = "updated_datetime"  # processing time, compared by the look-back
 
@@ -78,39 +78,35 @@ def refresh_state(
 
 def warehouse_refresh(
     streams: dict[str, DataFrame],
-    tables: dict[str, VersionedTable],
+    tables: dict[str, StoredTable],
     lookback: str = "15 minutes",
     on_empty: str = "all",
 ) -> None:
     """Refresh the stored tables, one after the other: row, payment, order.
 
-    The watermark comes from the table's last commit, so no target scan is needed to find
-    where to read on, and only key buckets with fresh rows are rewritten.
+    Where to read on comes from one column of the table, as a scalar subquery; only blocks with
+    fresh rows are rewritten.
     """
     for name in [n for n in TABLES if n in tables]:
         table, spec, stream = tables[name], TABLES[name], streams[name]
-        commit = table.commit()
-        mark = commit.facts["watermark"] if commit else None
-        if mark is None:
-            if on_empty == "none":
-                continue
-            fresh = stream
-        else:
-            bound = F.lit(mark).cast("timestamp") - F.expr(f"INTERVAL {lookback}")
-            fresh = newer_than(stream, CLOCK, bound)
-        table.merge(latest(fresh, name), guard=spec.guard, on_source_duplicates="assume_unique")
+        table.recover()
+        if table.exists():
+            stream = incremental(stream, table.read(), CLOCK, lookback, on_empty)
+        elif on_empty == "none":
+            continue
+        table.merge(latest(stream, name), guard=spec.guard, on_source_duplicates="assume_unique")
 
 
 def warehouse_tables(
     spark: SparkSession,
     root: str,
-    buckets: int | None = None,
-    orders_per_block: int | None = None,
-) -> dict[str, VersionedTable]:
-    """The stored tables. With `orders_per_block`, rows are laid out by order number."""
-
-    def table(name: str, key: str) -> VersionedTable:
-        locate = order_block(key, orders_per_block) if orders_per_block else None
-        return VersionedTable(spark, f"{root}/orderupdated_{name}", [key], buckets, CLOCK, locate)
+    orders_per_block: int = ORDERS_PER_BLOCK,
+    record_changes: bool = False,
+) -> dict[str, StoredTable]:
+    """The stored tables, laid out by order number."""
+
+    def table(name: str, key: str) -> StoredTable:
+        block, schema = order_block(key, orders_per_block), schemas.struct(schemas.WAREHOUSE[name])
+        return StoredTable(spark, f"{root}/orderupdated_{name}", [key], block, schema, record_changes)
 
     return {name: table(name, t.key) for name, t in TABLES.items()}

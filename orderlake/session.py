@@ -64,6 +64,29 @@ def work_path(spark: SparkSession, label: str) -> str:
 
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries of a folder, on whatever file system it is; none if it is absent."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folder, files = _folder(spark, path)
     return [e.getPath().getName() for e in files.listStatus(folder)] if files.exists(folder) else []
+
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the engine's own, on whatever file system it is."""
+    folder, files = _folder(spark, path)
+    files.delete(folder, True)
+
+
+def mark_complete(spark: SparkSession, path: str) -> None:
+    """Leave the file that Spark's writers leave in a complete folder."""
+    _, files = _folder(spark, path)
+    files.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS"), True).close()
+
+
+def folder_bytes(spark: SparkSession, path: str, prefix: str = "") -> int:
+    """Bytes below the entries of a folder whose names begin with `prefix`."""
+    folder, files = _folder(spark, path)
+    found = [e.getPath() for e in files.listStatus(folder)] if files.exists(folder) else []
+    return sum(files.getContentSummary(p).getLength() for p in found if p.getName().startswith(prefix))

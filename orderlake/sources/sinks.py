@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlake.operators.tables import VersionedTable
+from orderlake.operators.stored import StoredTable
 
 
 def _batch_writer(
@@ -50,12 +50,9 @@ def read_appended(
     return df.drop("batch") if "batch" in df.columns else df
 
 
-def save_or_merge(table: VersionedTable, df: DataFrame, **merge_options) -> bool:
+def save_or_merge(table: StoredTable, df: DataFrame, **merge_options) -> bool:
     """Create the table from the first non-empty batch, upsert later ones. False if empty."""
-    if df.isEmpty():
-        return False
-    table.merge(df, **merge_options)
-    return True
+    return table.merge(df, **merge_options)
 
 
 def fan_out(

@@ -1,7 +1,7 @@
 """Structured Streaming jobs: event ingest (S) and silver upsert (H).
 
 Progress lives in the checkpoint. A batch that is replayed after a failure rewrites the same
-batch folders or is skipped by tables that have already committed it, each on its own.
+batch folders, and merges into stored tables what they already hold.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from orderlake import schemas
 from orderlake.operators.flatten import flatten_order_s, flatten_payment_s, flatten_row_s
 from orderlake.operators.quality import parse_checked, split_valid
+from orderlake.operators.stored import ORDERS_PER_BLOCK
 from orderlake.plans.silver import silver_tables, upsert_silver
 from orderlake.session import configure
 from orderlake.sources.events import read_events
@@ -66,9 +67,8 @@ def upsert_stream(
     checkpoint: str,
     interval: str | None = None,
     as_of: Column | None = None,
-    buckets: int | None = None,
     names: list[str] | None = None,
-    orders_per_block: int | None = None,
+    orders_per_block: int = ORDERS_PER_BLOCK,
     on_source_duplicates: str = "latest",
 ) -> StreamingQuery:
     """Raw order updates from any streaming DataFrame, upserted into the silver tables.
@@ -76,7 +76,7 @@ def upsert_stream(
     Documents whose JSON texts do not convert, and child rows that lose against another one of
     the same key in their document, are kept below `<target_dir>/deadletters`.
     """
-    tables = silver_tables(raw.sparkSession, target_dir, buckets, orders_per_block)
+    tables = silver_tables(raw.sparkSession, target_dir, orders_per_block)
     if names:
         tables = {n: tables[n] for n in names}
 

@@ -6,7 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from orderlake import schemas
-from orderlake.operators.tables import VersionedTable
+from orderlake.operators.stored import StoredTable
 from orderlake.session import shared_root, work_path
 from orderlake.sources import events, sinks
 
@@ -30,7 +30,7 @@ def test_replayed_batch_is_appended_once(spark, tmp_path):
 
 
 def test_empty_batch_does_not_create_a_table(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), ["id"])
+    table = StoredTable(spark, str(tmp_path / "t"), ["id"], F.col("id"))
     empty = spark.createDataFrame([], "id INT")
     assert not sinks.save_or_merge(table, empty) and not table.exists()
     assert sinks.save_or_merge(table, spark.createDataFrame([(1,)], "id INT")) and table.exists()

@@ -1,177 +1,20 @@
 import os
 from datetime import datetime
 
-import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from orderlake.operators import tables
-from orderlake.operators.tables import BUCKET, VersionedTable, compact, compact_tables, order_block, table_detail
+from orderlake.operators.tables import compact, compact_tables, table_detail
 
-T1, T2, T3 = (datetime(2025, 1, d) for d in (1, 2, 3))
+T1 = datetime(2025, 1, 1)
 SCHEMA = "k STRING, ts TIMESTAMP, v STRING"
-NEWER = "t.ts < s.ts"
 
 
 def frame(spark, values):
     return spark.createDataFrame(values, SCHEMA)
 
 
-@pytest.fixture
-def stored(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), ["k"], buckets=4, watermark="ts")
-    table.create(frame(spark, [(str(i), T1, "t") for i in range(20)]))
-    return table
-
-
-def test_absent_table(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "none"), ["k"])
-    assert not table.exists() and table.commit() is None and table.versions() == []
-    with pytest.raises(ValueError):
-        table.read()
-
-
-def test_merge_makes_a_new_version_and_keeps_the_old(spark, stored):
-    stored.merge(frame(spark, [("3", T2, "s"), ("x", T1, "s")]), NEWER)
-    assert stored.versions() == [1, 2]
-    assert stored.read().count() == 21
-    assert rows(stored.read().filter("v = 's'"), "k") == [("3",), ("x",)]
-    assert stored.read(1).filter("v = 's'").count() == 0
-    with pytest.raises(ValueError):
-        stored.read(9)
-
-
-def test_only_touched_buckets_are_rewritten(spark, stored):
-    stored.merge(frame(spark, [("3", T2, "s")]), NEWER)
-    placement = stored.commit().placement
-    assert sorted(placement.values()) == [1, 1, 1, 2]
-    moved = stored.read().select("k", "v").exceptAll(stored.read(1).select("k", "v"))
-    assert rows(moved) == [("3", "s")]
-    written = stored.commit(2).facts["rows_written"]
-    assert 1 <= written < 20
-
-
-def test_a_batch_counts_once_per_writer(spark, stored):
-    batch = frame(spark, [("3", T2, "s")])
-    stored.merge(batch, writer="a", batch_id=0)
-    stored.merge(batch, writer="b", batch_id=0)
-    stored.merge(batch, writer="a", batch_id=0)
-    assert stored.versions() == [1, 2, 3]
-    stored.merge(batch, writer="a", batch_id=1)
-    assert stored.versions() == [1, 2, 3, 4]
-    assert stored.commit().facts["batches"] == {"a": 1, "b": 0}
-
-
-def test_unfinished_write_is_ignored_and_repeated(spark, stored, monkeypatch):
-    def fail(*args, **kwargs):
-        raise RuntimeError("lost")
-
-    with monkeypatch.context() as broken:
-        broken.setattr(VersionedTable, "_commit", fail)
-        with pytest.raises(RuntimeError):
-            stored.merge(frame(spark, [("3", T2, "lost")]), NEWER)
-    assert stored.versions() == [1] and stored.read().filter("v = 'lost'").count() == 0
-    stored.merge(frame(spark, [("4", T2, "s")]), NEWER)
-    assert rows(stored.read().filter("v <> 't'")) == [("4", T2, "s")]
-
-
-def test_unfinished_commit_is_ignored(stored):
-    os.makedirs(f"{stored.path}/commits/version=2")
-    assert stored.versions() == [1]
-
-
-def test_watermark_never_goes_back(spark, stored):
-    stored.merge(frame(spark, [("3", T3, "s")]), NEWER)
-    stored.merge(frame(spark, [("4", T2, "s")]), NEWER)
-    assert [stored.commit(v).facts["watermark"] for v in (1, 2, 3)] == [T1, T3, T3]
-
-
-def test_null_keys_are_inserted_again_or_left_out(spark, stored):
-    source = frame(spark, [(None, T1, "a"), (None, T1, "a"), ("3", T2, "s")])
-    stored.merge(source, NEWER)
-    assert stored.read().filter("k IS NULL").count() == 2
-    stored.merge(source, NEWER)
-    assert stored.read().filter("k IS NULL").count() == 4
-    stored.merge(source, NEWER, null_keys="quarantine")
-    assert stored.read().filter("k IS NULL").count() == 4
-    assert stored.read().count() == 24
-
-
-def test_duplicates_first_load_takes_all_a_later_merge_fails(spark, tmp_path):
-    twice = frame(spark, [("a", T1, "x"), ("a", T1, "y")])
-    table = VersionedTable(spark, str(tmp_path / "d"), ["k"], buckets=2)
-    table.merge(twice)
-    assert table.read().count() == 2
-    with pytest.raises(Exception, match="several source rows"):
-        table.merge(twice)
-    assert table.versions() == [1]
-    other = VersionedTable(spark, str(tmp_path / "l"), ["k"], buckets=2)
-    other.merge(twice, on_source_duplicates="latest", order_by=[F.desc("v")])
-    assert rows(other.read(), "v") == [("y",)]
-
-
-def test_new_columns_of_a_source_are_added(spark, stored):
-    wider = frame(spark, [("3", T2, "s")]).withColumn("extra", F.lit(1))
-    stored.merge(wider, NEWER)
-    assert stored.read().columns == ["k", "ts", "v", "extra"]
-    assert rows(stored.read().filter("extra IS NOT NULL"), "k") == [("3",)]
-    assert stored.read().count() == 20
-
-
-def test_a_wider_source_type_leaves_the_table_its_own(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "w"), ["k"], buckets=4)
-    table.create(spark.createDataFrame([(str(i), i) for i in range(20)], "k STRING, v BIGINT"))
-    source = spark.createDataFrame([("3", 33.0), (None, 7.0), ("x", 1.0)], "k STRING, v DOUBLE")
-    table.merge(source)
-    assert dict(table.read().dtypes)["v"] == "bigint"
-    assert table.read().count() == 22
-    assert rows(table.read().filter("k = '3' OR k IS NULL"), "v") == [(33,), (7,)]
-
-
-def test_a_second_writer_is_refused(spark, stored):
-    other = VersionedTable(spark, stored.path, ["k"], buckets=4)
-    with pytest.raises(RuntimeError, match="exists"):
-        other.create(frame(spark, [("z", T1, "t")]))
-    facts = {"rows": 0, "watermark": None}
-    with pytest.raises(RuntimeError, match="one writer"):
-        stored._commit(1, {}, frame(spark, []).schema, 4, facts, operation="x", writer="w", batch_id=None)
-    assert stored.read().count() == 20
-
-
-def test_one_bucket_is_merged_by_several_tasks(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "h"), ["k"], buckets=1)
-    table.create(frame(spark, [(str(i), T1, "t") for i in range(200)]))
-    table.merge(frame(spark, [(str(i), T2, "s") for i in range(100)]), NEWER)
-    files = os.listdir(f"{table.path}/data/_version=2/_bucket=0")
-    assert sum(f.endswith(".parquet") for f in files) > 2
-    assert table.read().filter("v = 's'").count() == 100
-
-
-def test_order_blocks_keep_neighbours_together(spark, tmp_path):
-    schema = "k STRING, ts TIMESTAMP, v STRING"
-    table = VersionedTable(spark, str(tmp_path / "b"), ["k"], buckets=8, locate=order_block("k", 100))
-    table.create(spark.createDataFrame([(f"{i}_1", T1, "t") for i in range(800)], schema))
-    recent = [(f"{i}_1", T2, "s") for i in range(720, 790)] + [("web_1", T2, "s")]
-    table.merge(spark.createDataFrame(recent, schema), NEWER)
-    assert sum(v == 2 for v in table.commit().placement.values()) <= 2
-    assert table.read().filter("v = 's'").count() == 71
-    assert table.read().count() == 801
-
-
-def test_a_bucket_filled_by_one_key_is_spread_over_files(spark, tmp_path):
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
-    try:
-        hot = spark.range(60_000).select(
-            F.lit("hot").alias("k"), F.lit(T1).alias("ts"), F.sha2(F.col("id").cast("string"), 256).alias("v")
-        )
-        table = VersionedTable(spark, str(tmp_path / "h"), ["k"], buckets=4)
-        table.create(hot.repartition(8))
-    finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    assert table.read().count() == 60_000
-    assert len(table.read().inputFiles()) > 1
-
-
 def test_detail(spark, tmp_path):
     path = str(tmp_path / "p")
     frame(spark, [("a", T1, "x")] * 10).repartition(2).write.parquet(path)
@@ -221,7 +64,3 @@ def test_compact_catalog_tables(spark, tmp_path, monkeypatch):
         assert rows(again) == [("other", "failed", "no space")]
     finally:
         spark.sql("DROP DATABASE care CASCADE")
-
-
-def test_bucket_column_is_hidden(stored):
-    assert BUCKET not in stored.read().columns
