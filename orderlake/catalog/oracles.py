@@ -8,6 +8,7 @@ from __future__ import annotations
 
 ORDER_CUT = "TIMESTAMP '1998-07-01 00:00:00'"
 EVENT_CUT = "TIMESTAMP '2024-01-20 00:00:00'"
+FIRST_CUT = "TIMESTAMP '2024-01-10 00:00:00'"
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 NO_TEXT = "CAST(NULL AS VARCHAR)"
 NO_DOUBLE = "CAST(NULL AS DOUBLE)"
@@ -401,7 +402,26 @@ def _files() -> dict[str, str]:
         "add_columns": f"""SELECT *, {NO_TEXT} AS source_name,
             CAST(NULL AS BOOLEAN) AS "source_isExternal", {NO_DOUBLE} AS discount FROM orders""",
         "compact_preserves": "SELECT * FROM lineitem",
-        "table_detail": "SELECT CAST(1 AS BIGINT) AS num_files, count(*) AS num_rows FROM lineitem",
+        "table_detail": "SELECT count(DISTINCT l_returnflag) AS num_files, count(*) AS num_rows FROM lineitem",
+        "compact_small_files": """SELECT l_returnflag, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_files,
+            CAST(l_returnflag = 'R' AS INTEGER) AS kept FROM lineitem GROUP BY l_returnflag""",
+        "evolve_stored_table": f"""SELECT o_orderkey, o_orderstatus, o_orderdate,
+            CASE WHEN o_orderdate >= {ORDER_CUT} THEN o_orderpriority END AS o_orderpriority,
+            CASE WHEN o_orderdate >= {ORDER_CUT} THEN o_orderkey % 2 = 0 END AS "isExternal" FROM orders""",
+        "catalog_listing": """SELECT t AS table_name, k AS key,
+            CASE k WHEN 'load.rows' THEN CAST((SELECT count(*) FROM orders) AS VARCHAR) ELSE t END AS value
+            FROM (VALUES ('orders'), ('orders_old')) x(t), (VALUES ('load.rows'), ('load.source')) y(k)""",
+        "delete_stored": """SELECT * FROM orders WHERE NOT coalesce(nullif(o_orderstatus, 'P') = 'F'
+            AND o_orderkey <= (SELECT max(o_orderkey) // 4 FROM orders), false)""",
+        "stream_replayed_events": f"""{_with(DOC, ITEM, _row_s('INTEGER'))} SELECT * FROM row_s
+            WHERE "orderNumber" NOT IN (SELECT "orderNumber" FROM doc WHERE k % 97 IN (0, 1, 2, 3, 4, 6, 7, 8))""",
+        "stream_batch_counts": f"""{_with(DOC)} SELECT count(*) AS n_events,
+            count(*) FILTER ({kept_body}) AS n_valid, count(*) FILTER (NOT ({kept_body})) AS n_rejected FROM doc""",
+        "stream_admission": """SELECT event_id % 6 // 2 AS batch_id, event_id % 6 AS file, count(*) AS n
+            FROM events GROUP BY ALL""",
+        "stream_repeating": "SELECT * FROM events",
+        "processing_stamp": """SELECT event_type, count(*) AS n, CAST(1 AS BIGINT) AS n_stamps, true AS is_now
+            FROM events GROUP BY event_type""",
     }
 
 
@@ -458,6 +478,9 @@ def _simple() -> dict[str, str]:
         "raised_error": f"""WITH {fresh} SELECT event_type, count(*) AS count,
               (SELECT string_agg(table_name, ', ' ORDER BY table_name) FROM fresh WHERE n = 0) AS message
             FROM events GROUP BY event_type""",
+        "freshness_script": f"""WITH {fresh} SELECT event_type, count(*) AS count,
+            (SELECT string_agg(table_name, ', ' ORDER BY table_name) FROM fresh WHERE n = 0) AS stale,
+            'all tables are fresh' AS others FROM events GROUP BY event_type""",
         "freshness_counts": f"WITH {fresh} SELECT * FROM fresh",
         "freshness_failures": f"""WITH {fresh} SELECT
             string_agg(table_name, ', ' ORDER BY table_name) AS failed_tables
@@ -532,6 +555,17 @@ def _upserts() -> dict[str, str]:
         "late_event_ignored": late("- INTERVAL 1 HOUR"),
         "late_event_applied": late("+ INTERVAL 1 HOUR"),
         "replay_idempotent": f"{last} {newer}",
+        "change_feed_recorded": f"""WITH k AS (SELECT user_id, event_type, min(ts) AS first,
+              coalesce(bool_or(ts >= {FIRST_CUT} AND ts < {EVENT_CUT}), false) AS second, coalesce(bool_or(ts >= {EVENT_CUT}), false) AS third
+              FROM events GROUP BY user_id, event_type),
+            c AS (SELECT 2 AS v, 'insert' AS t, event_type FROM k WHERE first >= {FIRST_CUT} AND first < {EVENT_CUT}
+              UNION ALL SELECT 2, unnest(['update_preimage', 'update_postimage']), event_type FROM k WHERE first < {FIRST_CUT} AND second
+              UNION ALL SELECT 3, 'insert', event_type FROM k WHERE first >= {EVENT_CUT}
+              UNION ALL SELECT 3, unnest(['update_preimage', 'update_postimage']), event_type FROM k WHERE first < {EVENT_CUT} AND third
+              UNION ALL SELECT 4, 'delete', event_type FROM k WHERE event_type = 'signup')
+            SELECT CAST(v AS BIGINT) AS _commit_version, t AS _change_type, event_type, count(*) AS n FROM c GROUP BY ALL""",
+        "change_feed_replayed": """SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type
+            ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS r FROM events) WHERE r = 1 AND event_type <> 'signup'""",
     }
 
 

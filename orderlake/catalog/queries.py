@@ -20,6 +20,7 @@ from orderlake.functions import (
     hash_key,
     local_time,
     local_time_ms,
+    stamp,
     utc_text_timestamp,
 )
 from orderlake.operators import aggregates, flatten, incremental, merge, quality, tables
@@ -32,6 +33,7 @@ from orderlake.sources import events as sources
 from orderlake.sources import sinks
 from orderlake.streaming.upsert import (
     STREAM_TABLES,
+    batch_counts,
     start_ingest_stream,
     start_upsert_stream,
     trigger,
@@ -43,6 +45,7 @@ QUERIES: dict[str, Query] = {}
 # Orders placed before this day are in a target before it is refreshed.
 ORDER_CUT = "1998-07-01 00:00:00"
 EVENT_CUT = "2024-01-20 00:00:00"
+FIRST_CUT = "2024-01-10 00:00:00"
 # The fixed clock of the freshness checks.
 AS_OF = "2024-01-31 00:00:00"
 
@@ -528,6 +531,42 @@ def state_changes(spark, sf_dir):
     return merge.read_changes(before, kept, ["user_id", "event_type"], version=2)
 
 
+def _recorded(spark: SparkSession, sf_dir: str) -> StoredTable:
+    """Latest events per user and type, stored up to two days and then to the end, and the sign-ups
+    deleted: four versions of recorded changes."""
+    keys = ["user_id", "event_type"]
+    stored = StoredTable(spark, work_path(spark, "recorded"), keys, user_block(spark, sf_dir), record_changes=True)
+    for until in (FIRST_CUT, EVENT_CUT, None):
+        stored.merge(last_per_user(spark, sf_dir, until), "t.ts < s.ts", "assume_unique")
+    stored.delete("event_type = 'signup'")
+    return stored
+
+
+@query
+def change_feed_recorded(spark, sf_dir):
+    changes = _recorded(spark, sf_dir).changes(since=2)
+    return changes.groupBy("_commit_version", "_change_type", "event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def change_feed_replayed(spark, sf_dir):
+    """The first state, and the changes since then, give the last one."""
+    changes = _recorded(spark, sf_dir).changes(since=2)
+    return replay(last_per_user(spark, sf_dir, FIRST_CUT), changes, ["user_id", "event_type"])
+
+
+@query
+def delete_stored(spark, sf_dir):
+    """Finished orders of the first quarter of all order numbers leave a stored table."""
+    block = F.floor(F.col("o_orderkey") / per_block(spark, sf_dir))
+    stored = StoredTable(spark, work_path(spark, "delete"), ["o_orderkey"], block)
+    orders = table(spark, sf_dir, "orders")
+    stored.merge(orders)
+    quarter = orders.agg(F.max("o_orderkey")).first()[0] // 4
+    stored.delete(f"nullif(o_orderstatus, 'P') = 'F' AND o_orderkey <= {quarter}")
+    return stored.read()
+
+
 @query
 def delete_where(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
@@ -643,6 +682,67 @@ def stream_ingest_tables(spark, sf_dir):
     return sinks.read_appended(spark, f"{root}/{STREAM_TABLES['row'][1]}")
 
 
+@query
+def stream_replayed_events(spark, sf_dir):
+    """The events arrive twice, in different batches, and a third time after a restart."""
+    root = work_path(spark, "replayed")
+    bodies = damaged(spark, sf_dir).withColumn("SequenceNumber", F.col("Offset").cast("decimal(20,0)"))
+    for times in (2, 1):
+        for _ in range(times):
+            bodies.coalesce(4).write.mode("append").parquet(f"{root}/in")
+        start_ingest_stream(
+            spark, f"{root}/in", root, f"{root}/checkpoint", max_files_per_trigger=4, as_of=clock()
+        ).awaitTermination()
+    return sinks.read_appended(spark, f"{root}/{STREAM_TABLES['row'][1]}")
+
+
+@query
+def stream_batch_counts(spark, sf_dir):
+    """What the batches of an ingest stream report of themselves, summed up."""
+    root = work_path(spark, "counted")
+    bodies = damaged(spark, sf_dir).withColumn("SequenceNumber", F.col("Offset").cast("decimal(20,0)"))
+    bodies.coalesce(4).write.parquet(f"{root}/in")
+    running = start_ingest_stream(spark, f"{root}/in", root, f"{root}/checkpoint", max_files_per_trigger=1)
+    running.awaitTermination()
+    counts = spark.createDataFrame(batch_counts(running), "batch_id LONG, n_events LONG, n_valid LONG, n_rejected LONG")
+    return counts.agg(*[F.sum(c).alias(c) for c in counts.columns[1:]])
+
+
+@query
+def stream_admission(spark, sf_dir):
+    """Six files, two for each batch, which then go to an archive: rows of the batches."""
+    root, events = work_path(spark, "admission"), table(spark, sf_dir, "events")
+    for i in range(6):
+        events.filter(F.col("event_id") % 6 == i).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = sources.read_events(spark, f"{root}/in", events.schema, max_files_per_trigger=2, archive_dir=f"{root}/archive")
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
+
+    sink = stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{root}/checkpoint")
+    sink.trigger(**trigger()).start().awaitTermination()
+    batches = spark.read.parquet(f"{root}/out/*").groupBy("batch_id", (F.col("event_id") % 6).alias("file"))
+    return batches.agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def stream_repeating(spark, sf_dir):
+    """A stream that repeats its batches until it is stopped; files arrive while it runs."""
+    root, events = work_path(spark, "repeating"), table(spark, sf_dir, "events")
+    later = F.col("ts") >= F.lit(EVENT_CUT).cast("timestamp_ntz")
+    events.filter(~later).coalesce(2).write.parquet(f"{root}/in")
+    stream = sources.read_events(spark, f"{root}/in", events.schema)
+    sink = stream.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+    running = sink.trigger(**trigger("1 second")).start(f"{root}/out")
+    try:
+        running.processAllAvailable()
+        events.filter(later).coalesce(2).write.mode("append").parquet(f"{root}/in")
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return spark.read.schema(events.schema).parquet(f"{root}/out")
+
+
 @query
 def stream_upsert_order(spark, sf_dir):
     return _changed_later(spark, sf_dir, "order")
@@ -702,8 +802,8 @@ def replay_idempotent(spark, sf_dir):
 
 
 # --- quality and table care ---------------------------------------------------------
-def _freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events per type in the last hours, and two tables that are long out of date."""
+def _aged_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Events by type, and two tables that are long out of date."""
     events = table(spark, sf_dir, "events").withColumn("updated", F.col("ts").cast("timestamp"))
     checked = {
         f"events_{t}": events.filter(F.col("event_type") == t) for t in ("click", "error", "view")
@@ -712,7 +812,11 @@ def _freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     checked["orders"] = orders.withColumn("updated", F.col("o_orderdate").cast("timestamp"))
     checked["lineitem"] = lines.withColumn("updated", F.col("l_shipdate").cast("timestamp"))
-    return quality.freshness(checked, "updated", at(AS_OF), "36 hours")
+    return checked
+
+
+def _freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.freshness(_aged_tables(spark, sf_dir), "updated", at(AS_OF), "36 hours")
 
 
 @query
@@ -739,9 +843,77 @@ def compact_preserves(spark, sf_dir):
     )
 
 
+@query
+def compact_small_files(spark, sf_dir):
+    """A partitioned table: two folders with many small files and one with a single file, which
+    keeps its name."""
+    path, lines = work_path(spark, "small"), table(spark, sf_dir, "lineitem")
+    many = F.col("l_returnflag") != "R"
+    lines.filter(many).repartition(6).write.partitionBy("l_returnflag").parquet(path)
+    lines.filter(~many).coalesce(1).write.mode("append").partitionBy("l_returnflag").parquet(path)
+    name = F.regexp_extract(F.col("_metadata.file_path"), "[^/]+$", 0)
+
+    def files() -> DataFrame:
+        return spark.read.parquet(path).select("l_returnflag", name.alias("file")).groupBy("l_returnflag", "file").count()
+
+    before = {r["file"] for r in files().collect()}
+    tables.compact_files(spark, path)
+    kept = F.max(F.col("file").isin(list(before)).cast("int")).alias("kept")
+    return files().groupBy("l_returnflag").agg(F.sum("count").alias("n_rows"), F.count("file").alias("n_files"), kept)
+
+
 @query
 def table_detail(spark, sf_dir):
-    return tables.table_detail(table(spark, sf_dir, "lineitem")).select("num_files", "num_rows")
+    """Files and rows of a table that has one file for each ship mode."""
+    path = work_path(spark, "detail")
+    table(spark, sf_dir, "lineitem").repartition("l_returnflag").write.partitionBy("l_returnflag").parquet(path)
+    return tables.table_detail(spark.read.parquet(path)).select("num_files", "num_rows")
+
+
+def _in_database(spark: SparkSession, work: Callable[[str, str], DataFrame]) -> DataFrame:
+    """The result of `work(database, folder)`, stored before the new database is dropped."""
+    name, path = f"care_{uuid.uuid4().hex}", work_path(spark, "care")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{path}/db'")
+    try:
+        work(name, path).write.parquet(f"{path}/result")
+        return spark.read.parquet(f"{path}/result")
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+@query
+def evolve_stored_table(spark, sf_dir):
+    """Columns are added to a stored table; then rows come that fill them. Old rows read NULL."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    early = F.col("o_orderdate") < F.lit(ORDER_CUT).cast("timestamp_ntz")
+
+    def work(database: str, path: str) -> DataFrame:
+        stored = f"{database}.orders"
+        orders.filter(early).drop("o_orderpriority").write.option("path", f"{path}/orders").saveAsTable(stored)
+        tables.add_stored_columns(spark, stored, "O_ORDERSTATUS STRING, o_orderpriority STRING, isExternal BOOLEAN")
+        orders.filter(~early).withColumn("isExternal", F.col("o_orderkey") % 2 == 0).write.insertInto(stored)
+        return spark.table(stored)
+
+    return _in_database(spark, work)
+
+
+@query
+def catalog_listing(spark, sf_dir):
+    """Tables of a database by prefix, with those properties whose names match a pattern."""
+
+    def work(database: str, path: str) -> DataFrame:
+        found = []
+        for name in ("orders", "orders_old", "lineitem"):
+            rows = table(spark, sf_dir, name.split("_")[0])
+            rows.write.option("path", f"{path}/{name}").saveAsTable(f"{database}.{name}")
+            n = rows.count()
+            spark.sql(f"ALTER TABLE {database}.{name} SET TBLPROPERTIES ('load.rows' = '{n}', 'load.source' = '{name}', 'owner.team' = 'x')")
+        for r in tables.tables_like(spark, database, "orders").collect():
+            own = tables.table_properties(spark, f"{database}.{r['table_name']}", "load.%")
+            found.append(own.select(F.lit(r["table_name"]).alias("table_name"), "key", "value"))
+        return aggregates.union_all(found)
+
+    return _in_database(spark, work)
 
 
 @query
@@ -789,6 +961,40 @@ def raised_error(spark, sf_dir):
     return events.withColumn("message", F.lit(message))
 
 
+@query
+def freshness_script(spark, sf_dir):
+    """The same check as a SQL script, of all tables and then of those that it did not name."""
+    tables_ = _aged_tables(spark, sf_dir)
+    for name, df in tables_.items():
+        df.createOrReplaceTempView(name)
+
+    def verdict(names: list[str]) -> str:
+        script = quality.freshness_script(names, "updated", f"TIMESTAMP '{AS_OF}'", "36 HOURS")
+        try:
+            return spark.sql(script).first()["result"]
+        except PySparkException as e:
+            found = re.search("no fresh records in tables: ([a-z_, ]+)", str(e))
+            return found[1].strip() if found else str(e)
+
+    try:
+        stale = verdict(list(tables_))
+        fresh = verdict([n for n in tables_ if n not in stale.split(", ")])
+    finally:
+        for name in tables_:
+            spark.catalog.dropTempView(name)
+    counts = table(spark, sf_dir, "events").groupBy("event_type").count()
+    return counts.withColumns({"stale": F.lit(stale), "others": F.lit(fresh)})
+
+
+@query
+def processing_stamp(spark, sf_dir):
+    """One processing time for all rows of a query, not before the query began."""
+    began = spark.sql("SELECT now()").first()[0]
+    stamped = table(spark, sf_dir, "events").withColumn("at", stamp())
+    one, later = F.count_distinct("at").alias("n_stamps"), (F.min("at") >= F.lit(began)).alias("is_now")
+    return stamped.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), one, later)
+
+
 @query
 def contract_check(spark, sf_dir):
     """Warehouse rows in their declared layout: column by column, name, type and filled rows."""

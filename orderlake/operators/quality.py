@@ -138,6 +138,27 @@ def assert_fresh(counts: DataFrame) -> DataFrame:
     return freshness_failures(counts).select(verdict.alias("result"))
 
 
+def freshness_script(tables: list[str], ts: str, as_of: str = "current_timestamp()", window: str = "1 HOUR") -> str:
+    """A SQL script over tables or views of the session: it counts the fresh rows of each table
+    into a variable and then either raises an error that names the stale ones or says that all
+    is well. `as_of` and `window` are SQL texts."""
+    counts = " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count_if(`{ts}` >= {as_of} - INTERVAL {window}) AS n FROM `{name}`" for name in tables
+    )
+    return f"""
+        BEGIN
+          DECLARE failed STRING;
+          SET failed = (
+            SELECT nullif(concat_ws(', ', sort_array(collect_list(CASE WHEN n = 0 THEN table_name END))), '')
+            FROM ({counts}));
+          IF failed IS NOT NULL THEN
+            SELECT raise_error(concat('no fresh records in tables: ', failed)) AS result;
+          ELSE
+            SELECT 'all tables are fresh' AS result;
+          END IF;
+        END"""
+
+
 # --- schema ------------------------------------------------------------------------
 def evolve(df: DataFrame, new_columns: str) -> DataFrame:
     """Add the columns of a DDL text that are missing, as NULLs. Existing columns stay."""

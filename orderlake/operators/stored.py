@@ -89,7 +89,8 @@ class StoredTable:
     def changes(self, since: int = 0) -> DataFrame:
         """Recorded changes from version `since` on; older folders are not read."""
         rows = self.spark.read.option("mergeSchema", "true").parquet(f"{self.path}/_changes")
-        return rows.withColumnRenamed("version", "_commit_version").filter(F.col("_commit_version") >= since)
+        found = rows.filter(F.col("version") >= since)
+        return found.withColumn("_commit_version", F.col("version").cast("long")).drop("version")
 
     # --- writing ---------------------------------------------------------------------
     def merge(

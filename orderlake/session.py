@@ -79,6 +79,19 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
+def entry_sizes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names and bytes of the files of a folder."""
+    folder, files = _folder(spark, path)
+    found = files.listStatus(folder) if files.exists(folder) else []
+    return {e.getPath().getName(): e.getLen() for e in found if e.isFile()}
+
+
+def move(spark: SparkSession, old: str, new: str) -> None:
+    folder, files = _folder(spark, old)
+    if not files.rename(folder, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(new)):
+        raise OSError(f"{old} could not be moved to {new}")
+
+
 def mark_complete(spark: SparkSession, path: str) -> None:
     """Leave the file that Spark's writers leave in a complete folder."""
     _, files = _folder(spark, path)

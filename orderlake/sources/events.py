@@ -11,6 +11,8 @@ from orderlake import schemas
 # Micro-batch settings of the event host.
 MIN_BATCH_EVENTS = 100
 MAX_BATCH_WAIT = "2m"
+# Fixed value: the host tries a failed batch again after up to this time.
+REPLAY_WINDOW = "1 hour"
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -34,12 +36,36 @@ def read_events(
     schema: str | T.StructType = schemas.ENVELOPE,
     format: str = "parquet",
     max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = None,
+    archive_dir: str | None = None,
 ) -> DataFrame:
-    """Stream of the files that arrive in a folder (one event per row)."""
+    """Stream of the files that arrive in a folder (one event per row).
+
+    A batch takes all new files unless it is limited by number or by bytes. With `archive_dir`,
+    files of finished batches are moved there, so that the folder stays short.
+    """
     reader = spark.readStream.format(format).schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(path)
+    options = {"maxFilesPerTrigger": max_files_per_trigger, "maxBytesPerTrigger": max_bytes_per_trigger}
+    if archive_dir:
+        options |= {"cleanSource": "archive", "sourceArchiveDir": archive_dir}
+    return reader.options(**{k: v for k, v in options.items() if v}).load(path)
+
+
+def once(events: DataFrame, window: str) -> DataFrame:
+    """A stream without events that a source delivers again within `window`, in the same batch or
+    a later one, also after a restart.
+
+    Events are known by partition key and sequence number. The window runs on the time of arrival,
+    so an event is never late, however old it is; it bounds what is remembered. Events that lack
+    one of the two numbers are not told apart, and all of them stay.
+    """
+    number = F.concat_ws(":", F.col("SequenceNumber").cast("string"), "PartitionKey")
+    complete = F.col("SequenceNumber").isNotNull() & F.col("PartitionKey").isNotNull()
+    known = events.withColumns(
+        {"_arrived": F.current_timestamp(), "_event": F.when(complete, number).otherwise(F.expr("uuid()"))}
+    )
+    fresh = known.withWatermark("_arrived", window).dropDuplicatesWithinWatermark(["_event"])
+    return fresh.drop("_arrived", "_event")
 
 
 def kafka_options(servers: str, topic: str, **extra: str) -> dict[str, str]:

@@ -59,15 +59,19 @@ def fan_out(
     batch: DataFrame,
     transforms: dict[str, Callable[[DataFrame], DataFrame]],
     write: Callable[[str, DataFrame], None],
-) -> None:
-    """Feed one batch to several tables. The batch is computed once and kept while the
-    writes run side by side; the first error is raised after all have ended."""
+) -> int:
+    """Feed one batch to several tables; returns its number of rows. Counting them computes the
+    batch, once; it is kept while the writes run side by side, and nothing is written if it is
+    empty. The first error is raised after all writes have ended."""
     kept = batch.persist()
     try:
-        with ThreadPoolExecutor(max_workers=len(transforms)) as pool:
-            writes = [pool.submit(write, name, fn(kept)) for name, fn in transforms.items()]
-        for done in writes:
-            done.result()
+        n = kept.count()
+        if n:
+            with ThreadPoolExecutor(max_workers=len(transforms)) as pool:
+                writes = [pool.submit(write, name, fn(kept)) for name, fn in transforms.items()]
+            for done in writes:
+                done.result()
+        return n
     finally:
         kept.unpersist()
 

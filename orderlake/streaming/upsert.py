@@ -9,7 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from orderlake import schemas
 from orderlake.operators.flatten import flatten_order_s, flatten_payment_s, flatten_row_s
@@ -17,7 +18,7 @@ from orderlake.operators.quality import parse_checked, split_valid
 from orderlake.operators.stored import ORDERS_PER_BLOCK
 from orderlake.plans.silver import silver_tables, upsert_silver
 from orderlake.session import configure
-from orderlake.sources.events import read_events
+from orderlake.sources.events import REPLAY_WINDOW, once, read_events
 from orderlake.sources.sinks import append_table, fan_out, write_dead_letters
 
 # Fixed value: pause between micro-batches of the continuous job.
@@ -117,20 +118,27 @@ def ingest_stream(
     consumer: str = "orderlake",
     interval: str | None = None,
     as_of: Column | None = None,
+    replay_window: str | None = REPLAY_WINDOW,
 ) -> StreamingQuery:
     """Event bodies from any streaming DataFrame in the envelope's layout (for example
     `read_kafka_events`), appended to the three stream tables; bodies that do not parse go to
-    the dead letters."""
+    the dead letters. Events that arrive again within `replay_window` are dropped (None: kept).
+    Each batch reports its events, valid and rejected ones under the name `ingest`; see
+    `batch_counts`."""
+    fresh = once(events, replay_window) if replay_window else events
+    checked = parse_checked(fresh).observe(
+        "ingest",
+        F.count(F.lit(1)).alias("n_events"),
+        F.count_if("is_valid").alias("n_valid"),
+        F.count_if(~F.col("is_valid")).alias("n_rejected"),
+    )
 
     def ingest(batch: DataFrame, batch_id: int, query: str) -> None:
-        if batch.isEmpty():
-            return
-
         def good(fn):
-            return lambda checked: fn(split_valid(checked)[0], as_of)
+            return lambda rows: fn(split_valid(rows)[0], as_of)
 
         outputs = {name: good(fn) for name, (fn, _) in STREAM_TABLES.items()}
-        outputs["dead"] = lambda checked: split_valid(checked)[1]
+        outputs["dead"] = lambda rows: split_valid(rows)[1]
 
         def write(name: str, rows: DataFrame) -> None:
             if name == "dead":
@@ -139,9 +147,9 @@ def ingest_stream(
             else:
                 append_table(rows, f"{target_dir}/{STREAM_TABLES[name][1]}", batch_id, writer=query)
 
-        fan_out(parse_checked(batch), outputs, write)
+        fan_out(batch, outputs, write)
 
-    return start_batches(events, ingest, checkpoint, interval)
+    return start_batches(checked, ingest, checkpoint, interval)
 
 
 def start_ingest_stream(
@@ -153,9 +161,36 @@ def start_ingest_stream(
     interval: str | None = None,
     max_files_per_trigger: int | None = None,
     as_of: Column | None = None,
+    replay_window: str | None = REPLAY_WINDOW,
 ) -> StreamingQuery:
     """`ingest_stream` over the files that arrive in `source_dir`."""
     events = read_events(
         spark, source_dir, schemas.ENVELOPE, max_files_per_trigger=max_files_per_trigger
     )
-    return ingest_stream(events, target_dir, checkpoint, consumer, interval, as_of)
+    return ingest_stream(events, target_dir, checkpoint, consumer, interval, as_of, replay_window)
+
+
+class BatchCounts(StreamingQueryListener):
+    """Counts of the micro-batches of all streams of a session, as Spark reports them: no job is
+    run for them. Register with `spark.streams.addListener`; `rows` holds (query id, batch id,
+    counts by name)."""
+
+    def __init__(self) -> None:
+        self.rows: list[tuple[str, int, dict[str, dict]]] = []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        found = {name: row.asDict() for name, row in event.progress.observedMetrics.items()}
+        if found:
+            self.rows.append((str(event.progress.id), event.progress.batchId, found))
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def batch_counts(query: StreamingQuery, name: str = "ingest") -> list[dict]:
+    """Counts of the latest batches of one stream that had rows, oldest first."""
+    found = [(p.batchId, p.observedMetrics.get(name)) for p in query.recentProgress]
+    return [{"batch_id": n, **row.asDict()} for n, row in found if row is not None and row["n_events"]]

@@ -1,5 +1,7 @@
 import json
+import os
 import shutil
+import time
 from datetime import datetime, timedelta
 from decimal import Decimal
 
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from orderlake import schemas
 from orderlake.operators.flatten import READS_S, flatten_order_s, parse_events
 from orderlake.plans import silver, warehouse
+from orderlake.sources.events import read_events
 from orderlake.sources.sinks import read_appended, read_dead_letters
 from orderlake.streaming import upsert
 
@@ -245,3 +248,60 @@ def test_event_older_than_the_lookback_is_not_read(spark):
     assert rows(state, "order_bk") == [("1",), ("2",)]
     assert rows(warehouse.refresh_state(stream, target.limit(0), "order"), "order_bk") == [("0",), ("1",), ("2",)]
     assert warehouse.refresh_state(stream, target.limit(0), "order", on_empty="none").count() == 0
+
+
+def test_events_that_arrive_again_are_stored_once(spark, tmp_path):
+    """In the same batch, in a later one, after a restart; old events are not late, and events
+    without a number are all kept."""
+    source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+
+    def ingest():
+        run(upsert.start_ingest_stream(spark, source, target, checkpoint, max_files_per_trigger=1))
+
+    def orders():
+        return rows(read_appended(spark, f"{target}/{upsert.STREAM_TABLES['order'][1]}"), "order_bk")
+
+    bodies = [json.dumps(document(i, "new")) for i in (1, 2)]
+    land_bodies(spark, source, [*bodies, "[1]"])
+    land_bodies(spark, source, [*bodies, "[1]"])
+    ingest()
+    assert orders() == [("1",), ("2",)]
+    land_bodies(spark, source, [*bodies, "[1]"])
+    land_bodies(spark, source, [json.dumps(document(3, "new"))], -100_000)
+    ingest()
+    assert orders() == [("1",), ("2",), ("3",)]
+    assert read_dead_letters(spark, f"{target}/deadletters", "body STRING").count() == 1
+    none = [(json.dumps(document(4, "new")), T0, None, None, None)] * 2
+    spark.createDataFrame(none, schemas.ENVELOPE).coalesce(1).write.mode("append").parquet(source)
+    ingest()
+    assert orders() == [("1",), ("2",), ("3",), ("4",), ("4",)]
+
+
+def test_batches_report_their_counts(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    land_bodies(spark, source, [json.dumps(document(1, "new")), "[1]", "{"])
+    listener = upsert.BatchCounts()
+    spark.streams.addListener(listener)
+    try:
+        query = run(upsert.start_ingest_stream(spark, source, target, str(tmp_path / "cp")))
+        deadline = time.time() + 20
+        while not any(n["ingest"]["n_events"] for _, _, n in listener.rows) and time.time() < deadline:
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    expected = {"n_events": 3, "n_valid": 1, "n_rejected": 2}
+    assert upsert.batch_counts(query) == [{"batch_id": 0, **expected}]
+    assert (str(query.id), 0, {"ingest": expected}) in listener.rows
+
+
+def test_read_files_go_to_an_archive_and_bytes_limit_a_batch(spark, tmp_path):
+    source, archive = str(tmp_path / "in"), str(tmp_path / "archive")
+    for i in range(3):
+        land_bodies(spark, source, [json.dumps(document(i, "new"))], i)
+    stream = read_events(spark, source, max_bytes_per_trigger=1, archive_dir=archive)
+    sizes = []
+    run(upsert.start_batches(stream, lambda batch, *_: sizes.append(batch.count()), str(tmp_path / "cp")))
+    assert sizes == [1, 1, 1]
+    left = [f for _, _, names in os.walk(source) for f in names if f.endswith(".parquet")]
+    moved = [f for _, _, names in os.walk(archive) for f in names if f.endswith(".parquet")]
+    assert len(left) + len(moved) == 3 and moved
