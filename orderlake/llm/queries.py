@@ -147,3 +147,87 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
        sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM documents d LEFT JOIN agg a ON coalesce(d.text, '') = a.text
 """
+
+# The checksum is worked out byte by byte, from a table that is made here. Words that lack the same
+# letter at the same place, or one of which lacks a letter of the other, are near.
+ORACLES["op11_spelling_variants"] = r"""
+WITH RECURSIVE crc AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                          lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v
+    FROM range(256) r(i))),
+runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS k
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL),
+bytes AS (
+  SELECT run, k, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS s FROM runs),
+sums AS (
+  SELECT run, k, xor(list_reduce(
+      list_prepend(4294967295, list_transform(range(1, length(s), 2), lambda i: CAST('0x' || substr(s, i, 2) AS BIGINT))),
+      lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) AS h
+  FROM bytes, crc),
+v AS (
+  SELECT word, CAST(sum(k) AS BIGINT) AS n FROM (
+    SELECT k, CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+    FROM sums) GROUP BY word HAVING length(word) >= 5 AND sum(k) >= 3),
+cut AS (
+  SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+near AS (
+  SELECT a.word AS word, b.word AS other FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT cut.word, v.word FROM cut JOIN v ON cut.rest = v.word
+  UNION SELECT v.word, cut.word FROM cut JOIN v ON cut.rest = v.word),
+ranked AS (
+  SELECT near.word, other, v.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+         row_number() OVER (PARTITION BY near.word ORDER BY v.n DESC, other) AS r
+  FROM near JOIN v ON v.word = other),
+formed AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * v.n THEN other END AS form,
+         CASE WHEN other_n >= 2 * v.n THEN other_n END AS form_n
+  FROM v LEFT JOIN ranked ON ranked.word = v.word AND r = 1),
+way AS (
+  SELECT word, word AS root, 0 AS step FROM formed
+  UNION ALL SELECT way.word, formed.form, step + 1 FROM way JOIN formed ON formed.word = root AND formed.form IS NOT NULL)
+SELECT word, form, arg_max(root, step) AS root, n, n_near, form_n
+FROM formed JOIN way USING (word) GROUP BY word, form, n, n_near, form_n
+"""
+
+# A node stands for its members by the smallest one, whose prefixes are the nodes above it.
+ORACLES["op13_prefix_trie"] = r"""
+WITH crc AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                          lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v
+    FROM range(256) r(i))),
+turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) - 1 AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT c, c - c % 100 AS b, xor(list_reduce(
+      list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+      lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT c FROM turns), crc),
+rebuilt AS (
+  SELECT v.c, 0 AS part, p, role, text FROM convs v JOIN turns t ON t.c = v.b AND p < h
+  UNION ALL SELECT v.c, 1, p, role, text FROM convs v JOIN turns t ON t.c = v.c AND p >= h),
+seq AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, p) AS d, length(text) AS len,
+         length(role) || ':' || role || md5(text) AS turn FROM rebuilt),
+pre AS (
+  SELECT c, d, len, md5(string_agg(turn, '|') OVER (PARTITION BY c ORDER BY d)) AS key FROM seq
+  UNION ALL SELECT c, 0, 0, 'root' FROM convs),
+linked AS (
+  SELECT *, lag(key) OVER (PARTITION BY c ORDER BY d) AS above, d = max(d) OVER (PARTITION BY c) AS last FROM pre),
+node AS (
+  SELECT key, d, min(c) AS conv_id, count(*) AS n_convs, max(len) AS len, any_value(above) AS above,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (last), '')) AS ends_sha256
+  FROM linked GROUP BY key, d),
+kids AS (SELECT above AS key, count(*) AS n FROM node WHERE above IS NOT NULL GROUP BY above),
+below AS (
+  SELECT a.key, count(*) FILTER (kids.n IS NULL) AS n_leaves, sum((y.n_convs - 1) * y.len) AS saved
+  FROM node y JOIN pre a ON a.c = y.conv_id AND a.d <= y.d LEFT JOIN kids ON kids.key = y.key GROUP BY a.key)
+SELECT x.conv_id, x.d AS depth, up.conv_id AS parent_conv_id, x.n_convs, coalesce(kids.n, 0) AS n_children,
+       n_leaves, CAST(saved AS BIGINT) AS saved_tokens, x.ends_sha256
+FROM node x JOIN below USING (key) LEFT JOIN kids USING (key) LEFT JOIN node up ON up.key = x.above
+"""
