@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderlake.llm.common import stored
 from orderlake.llm.tokens import by_bytes
@@ -273,7 +274,7 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> Da
                 chosen = part.column("row").take(pa.array(picked, pa.int64()))
                 yield pa.RecordBatch.from_arrays([chosen, pa.array(texts, pa.string())], names=["row", "text"])
 
-    cut_rows = out.mapInArrow(cut, f"row {docs.schema.simpleString()}, text string")
+    cut_rows = out.mapInArrow(cut, T.StructType().add("row", docs.schema).add("text", "string"))
     columns = [
         F.col("text").alias(c) if c == "text"
         else F.char_length("text").cast(t).alias(c) if c == "n_chars"

@@ -10,7 +10,7 @@ trained on all rows of the sample.
 
 The labels table gives two categories, low quality and toxicity; the chain asks for them in
 this order. Models are fitted on at most about `SAMPLE` labelled documents, drawn by a hash of
-the id: only their hashed terms come to the driver. Every document is scored, on its whole
+the id: only the weights of their telling terms come to the driver. Every document is scored, on its whole
 text, where it is read.
 
 Rows: one result row per input row, also for repeated rows. NULL texts count as empty. Rows of
@@ -28,7 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from orderlake.llm.common import stored
 from orderlake.llm.tokens import by_bytes
 from orderlake.llm.words import Words
 
@@ -76,17 +78,21 @@ def sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
 
 
+def contrast(total: np.ndarray, squares: np.ndarray, yes: np.ndarray, n: int, n_yes: float) -> np.ndarray:
+    """Difference of terms' mean weights in the two classes, in standard errors; 0 without both."""
+    if not 0 < n_yes < n:
+        return np.zeros(len(total))
+    variance = np.maximum(squares / n - (total / n) ** 2, 1e-12)
+    spread = np.sqrt(variance * (1 / n_yes + 1 / (n - n_yes)))
+    return np.abs(yes / n_yes - (total - yes) / (n - n_yes)) / spread
+
+
 def telling(flat: np.ndarray, weight: np.ndarray, row: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Which terms have clearly more weight in one of the two classes."""
-    n, n_yes = len(y), y.sum()
-    if not 0 < n_yes < n:
-        return np.zeros(FEATURES, bool)
-    all_ = np.bincount(flat, weight, minlength=FEATURES)
+    total = np.bincount(flat, weight, minlength=FEATURES)
     yes = np.bincount(flat, weight * y[row], minlength=FEATURES)
     squares = np.bincount(flat, weight * weight, minlength=FEATURES)
-    variance = np.maximum(squares / n - (all_ / n) ** 2, 1e-12)
-    spread = np.sqrt(variance * (1 / n_yes + 1 / (n - n_yes)))
-    return np.abs(yes / n_yes - (all_ - yes) / (n - n_yes)) >= CONTRAST * spread
+    return contrast(total, squares, yes, len(y), y.sum()) >= CONTRAST
 
 
 def fit(terms: list[tuple[np.ndarray, np.ndarray]], extra: np.ndarray, y: np.ndarray) -> Model:
@@ -130,8 +136,9 @@ def fit_chain(terms: list[tuple[np.ndarray, np.ndarray]], y: dict[str, np.ndarra
     return models
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """`doc_id`, categories, term numbers and their weights of a bounded sample of labelled documents."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int, folds: int) -> DataFrame:
+    """`doc_id`, categories, fold, term numbers and their weights of a bounded sample of labelled
+    documents."""
     usable = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL")
     known = usable.groupBy("doc_id").agg(
         F.max((F.col("quality") == 0).cast("int")).alias("low_quality"),
@@ -146,30 +153,63 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFram
             for part in by_bytes(batch, "text"):
                 found = [terms.of(t) for t in part.column("text").to_pylist()]
                 kept = [part.column(c) for c in ("doc_id", *CATEGORIES)]
-                numbers = pa.array([f[0] for f in found], pa.list_(pa.int64()))
-                weights = pa.array([f[1] for f in found], pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays(
-                    [*kept, numbers, weights], names=["doc_id", *CATEGORIES, "numbers", "weights"]
-                )
+                fold = pa.array(part.column("doc_id").to_numpy() // 7 % folds, pa.int32())
+                numbers = pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32()))
+                weights = pa.array([f[1].astype(np.float32) for f in found], pa.list_(pa.float32()))
+                yield pa.RecordBatch.from_arrays([*kept, fold, numbers, weights], names=["doc_id", *CATEGORIES, "fold", "numbers", "weights"])
 
     # The draw bounds the labels' side, so it can be sent to every executor. A repeated
     # document is taken once, or copies of a row would outgrow the bound.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = texts.join(F.broadcast(drawn), "doc_id").dropDuplicates(["doc_id"])
     rows = rows.select("doc_id", *CATEGORIES, "text")
-    return rows.mapInArrow(number, "doc_id long, low_quality int, toxic int, numbers array<long>, weights array<double>")
+    return rows.mapInArrow(number, f"{_SAMPLED}, numbers array<int>, weights array<float>")
+
+
+_SAMPLED = "doc_id long, low_quality int, toxic int, fold int"
+
+
+def told_apart(sample: DataFrame, folds: int) -> np.ndarray:
+    """Which terms are telling for any of the models: on all rows of the sample, or on all but one
+    fold. Sums for each term and fold are made where the sample lies."""
+    each = sample.select("fold", *CATEGORIES, F.explode(F.arrays_zip("numbers", "weights")).alias("t"))
+    w = F.col("t.weights").cast("double")
+    sums = each.groupBy(F.col("t.numbers").alias("number"), "fold").agg(
+        F.sum(w).alias("total"), F.sum(w * w).alias("squares"), *(F.sum(w * F.col(c)).alias(c) for c in CATEGORIES)
+    ).toArrow()
+    rows = sample.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), *(F.sum(c).alias(c) for c in CATEGORIES)).collect()
+    dense = {c: np.zeros((folds, FEATURES)) for c in ("total", "squares", *CATEGORIES)}
+    for c, table in dense.items():
+        table[sums.column("fold").to_numpy(), sums.column("number").to_numpy()] = sums.column(c).to_numpy()
+    kept = np.zeros(FEATURES, bool)
+    for left_out in (None, *range(folds)):
+        used = [r for r in rows if r["fold"] != left_out]
+        folds_used = [f for f in range(folds) if f != left_out]
+        total, squares = (dense[c][folds_used].sum(axis=0) for c in ("total", "squares"))
+        for c in CATEGORIES:
+            found = contrast(total, squares, dense[c][folds_used].sum(axis=0), sum(r["n"] for r in used), sum(r[c] for r in used))
+            kept |= found >= 0.999 * CONTRAST  # models look again, on sums in another order
+    return kept
 
 
 def train_chain(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = FOLDS) -> list[Model]:
-    """One model for each category, in order; none if no document is labelled."""
-    rows = labelled_sample(docs, labels, sample).orderBy("doc_id").toArrow()
+    """One model for each category, in order; none if no document is labelled. Of the sample, only
+    the weights of telling terms come to the driver."""
+    drawn = stored(labelled_sample(docs, labels, sample, folds), "sample")
+    kept = told_apart(drawn, folds)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = [(np.asarray(n, np.int32), np.asarray(w, np.float32)) for n, w in zip(*(batch.column(c).to_pylist() for c in ("numbers", "weights")))]
+            chosen = [pa.array([x[k][kept[x[0]]] for x in pairs], pa.list_(t)) for k, t in enumerate((pa.int32(), pa.float32()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *chosen], names=batch.schema.names)
+
+    rows = drawn.mapInArrow(choose, f"{_SAMPLED}, numbers array<int>, weights array<float>").orderBy("doc_id").toArrow()
     if not rows.num_rows:
         return []
-    terms = [
-        (n.values.to_numpy(), w.values.to_numpy()) for n, w in zip(rows.column("numbers"), rows.column("weights"))
-    ]
+    terms = [(n.values.to_numpy(), w.values.to_numpy()) for n, w in zip(rows.column("numbers"), rows.column("weights"))]
     y = {c: rows.column(c).to_numpy().astype(float) for c in CATEGORIES}
-    return fit_chain(terms, y, rows.column("doc_id").to_numpy() // 7 % folds)
+    return fit_chain(terms, y, rows.column("fold").to_numpy())
 
 
 def scored(docs: DataFrame, models: list[Model]) -> DataFrame:
@@ -190,9 +230,8 @@ def scored(docs: DataFrame, models: list[Model]) -> DataFrame:
                 added = [pa.array(out[:, k]) for k in range(len(models))]
                 yield pa.RecordBatch.from_arrays([*part.columns, *added], names=[*part.schema.names, *names])
 
-    fields = ", ".join(f"{n} double" for n in names)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(score, f"{schema}, {fields}")
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.DoubleType()) for n in names)])
+    return docs.mapInArrow(score, schema)
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 
 from orderlake.llm.speculative_bpe import TOKENIZER, WordEncoder, bpe_round_trip
 from orderlake.llm.tokens import tokenizer_path
-from tests.llm.cases import no_documents, odd_documents, odd_rows, prose, tuples
+from llm.cases import no_documents, odd_documents, odd_rows, prose, tuples
 
 
 @pytest.fixture(scope="module")

@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 
 from orderlake.llm import spelling
-from tests.llm.cases import SCHEMA, no_documents, odd_documents, odd_rows, tuples
+from llm.cases import SCHEMA, no_documents, odd_documents, odd_rows, tuples
 
 ALPHABET = [chr(c) for c in [*range(97, 123), *range(0xC0, 0x100)]]
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from llm.cases import no_documents, odd_documents, tuples
 from orderlake.llm.permutation_index import neighbours
+from orderlake.llm import toxicity
+from orderlake.llm.mixing import mixed_documents
 from orderlake.llm.toxicity import THRESHOLD, Terms, fit_chain, toxicity_report, without_toxic
 
 VECTORS = "vec_id long, embedding array<float>, label int, v string, pivot int, rank int"
@@ -102,3 +104,17 @@ def test_toxicity_of_odd_documents(spark):
     assert kept.dtypes == docs.dtypes and tuples(kept) == tuples(docs)
     assert toxicity_report(no_documents(spark), labels).collect() == []
     assert without_toxic(no_documents(spark), labels).collect() == []
+
+
+def test_columns_of_any_name_and_models_of_the_telling_terms_alone(spark, sf_dir):
+    """Names with blanks; and the chain is the one that all terms of the sample give."""
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    odd = docs.withColumnRenamed("lang", "crawl date").withColumn("a.b `c`", F.lit(1))
+    kept = without_toxic(odd, labels)
+    assert kept.columns == odd.columns and kept.count() <= odd.count()
+    assert mixed_documents(odd).columns == odd.columns
+    sample = sorted(toxicity.labelled_sample(docs, labels, toxicity.SAMPLE, toxicity.FOLDS).collect())
+    terms = [(np.array(r.numbers, np.int64), np.array(r.weights, np.float32)) for r in sample]
+    y = {c: np.array([r[c] for r in sample], float) for c in toxicity.CATEGORIES}
+    for a, b in zip(toxicity.train_chain(docs, labels), fit_chain(terms, y, np.array([r.fold for r in sample]))):
+        assert np.allclose(a.words, b.words, atol=1e-6) and np.allclose(a.extra, b.extra, atol=1e-6) and abs(a.bias - b.bias) < 1e-6
