@@ -142,13 +142,14 @@ def scan_unseen(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULE
 
 
 def findings(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """`blob`, `found`: all spans of contents that have any, by start, then by rule."""
+    """`blob`, `found`: all spans of contents that have any, by start, then by rule. A pair that two
+    writers, or a job that was run again, have put into the ledger twice counts once."""
     order = F.lit(len(rules))
     for i, rule in enumerate(rules):
         order = F.when(F.col("kind") == rule.kind, i).otherwise(order)
     each = ledger.where(F.size("spans") > 0).select("blob", order.alias("order"), "kind", F.explode("spans").alias("span"))
     one = F.struct("span.start", "order", "span.stop", "kind")
-    return each.groupBy("blob").agg(F.sort_array(F.collect_list(one)).alias("found"))
+    return each.groupBy("blob").agg(F.sort_array(F.collect_set(one)).alias("found"))
 
 
 def listed(found: Column) -> Column:
