@@ -190,7 +190,8 @@ def taken_blocks(chunks: DataFrame, names: DataFrame, slots: DataFrame) -> DataF
     )
     blocks = blocks.withColumn("block", F.col("first_block") + F.col("within"))
     hits = slots.groupBy("number", "block").count()
-    used = blocks.join(hits, ["number", "block"])
+    # As many rows as blocks: never sent, however small a stored table may look.
+    used = blocks.join(hits.hint("merge"), ["number", "block"])
     each = F.struct("within", F.col("count").cast("int").alias("times"))
     return used.groupBy("source", "chunk").agg(F.map_from_entries(F.collect_list(each)).alias("times"))
 
