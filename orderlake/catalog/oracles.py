@@ -413,6 +413,9 @@ def _files() -> dict[str, str]:
             FROM (VALUES ('orders'), ('orders_old')) x(t), (VALUES ('load.rows'), ('load.source')) y(k)""",
         "delete_stored": """SELECT * FROM orders WHERE NOT coalesce(nullif(o_orderstatus, 'P') = 'F'
             AND o_orderkey <= (SELECT max(o_orderkey) // 4 FROM orders), false)""",
+        "stored_upsert_recent": """WITH s AS (SELECT (1 + max(o_orderkey) + 7) // 8 AS size FROM orders),
+            o AS (SELECT o_orderkey // size AS block, o_orderkey >= size * 8 * 9 // 10 AS late FROM orders, s)
+            SELECT block, count(*) AS n, count(*) FILTER (late) AS n_late, NOT bool_or(late) AS kept FROM o GROUP BY block""",
         "stream_replayed_events": f"""{_with(DOC, ITEM, _row_s('INTEGER'))} SELECT * FROM row_s
             WHERE "orderNumber" NOT IN (SELECT "orderNumber" FROM doc WHERE k % 97 IN (0, 1, 2, 3, 4, 6, 7, 8))""",
         "stream_batch_counts": f"""{_with(DOC)} SELECT count(*) AS n_events,

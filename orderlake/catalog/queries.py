@@ -567,6 +567,25 @@ def delete_stored(spark, sf_dir):
     return stored.read()
 
 
+@query
+def stored_upsert_recent(spark, sf_dir):
+    """The latest tenth of all orders comes again, with another priority: rows of each block, and
+    whether its files are still those of the first load."""
+    orders = table(spark, sf_dir, "orders")
+    size = -(-(1 + orders.agg(F.max("o_orderkey")).first()[0]) // 8)
+    block = F.floor(F.col("o_orderkey") / size)
+    stored = StoredTable(spark, work_path(spark, "recent"), ["o_orderkey"], block)
+    stored.merge(orders)
+    file = F.regexp_extract("_metadata.file_path", "[^/]+$", 0)
+    files = lambda: spark.read.parquet(stored.path).select("*", file.alias("file"))
+    before = [r["file"] for r in files().select("file").distinct().collect()]
+    recent = orders.filter(F.col("o_orderkey") >= size * 8 * 9 // 10).withColumn("o_orderpriority", F.lit("late"))
+    stored.merge(recent, on_source_duplicates="assume_unique")
+    late = F.count_if(F.col("o_orderpriority") == "late").alias("n_late")
+    kept = F.min(F.col("file").isin(before)).alias("kept")
+    return files().groupBy(F.col("block").cast("long").alias("block")).agg(F.count(F.lit(1)).alias("n"), late, kept)
+
+
 @query
 def delete_where(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
