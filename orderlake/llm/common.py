@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.session import work_path
+from orderlake.session import delete_folder, work_path
 
 # A stored table up to this size may be sent to every executor; beyond it a join shuffles.
 BROADCAST_BYTES = 6 << 20
@@ -24,6 +24,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(table: DataFrame) -> None:
+    """Remove a stored step that nothing reads any more: what was made of it is stored itself."""
+    files = table.inputFiles()
+    if files:
+        delete_folder(table.sparkSession, files[0].rpartition("/")[0])
+
+
 def stored_bytes(df: DataFrame) -> int:
     """Size of the files below a stored table."""
     files = df.inputFiles()
@@ -40,6 +47,11 @@ def sent_if_small(table: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(table) if stored_bytes(table) <= limit else table
 
 
+def quoted(name: str) -> Column:
+    """A column by its name, whatever characters that has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def text_key(text: Column | str = "text") -> Column:
     """128-bit content address of a text; NULL stays NULL."""
     return F.unhex(F.md5(F.col(text) if isinstance(text, str) else text))

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlake.llm.common import stored
+from orderlake.llm.common import quoted, stored
 from orderlake.llm.tokens import by_bytes
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -253,8 +253,10 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> Da
     text (the whole text, unchanged, where all are) and their number of characters in
     `n_chars`, if there is such a column. Rows without words are not part of a mix.
     """
+    others = [c for c in docs.columns if c != "text"]  # the text goes beside the row, once
+    rest = T.StructType([f for f in docs.schema if f.name != "text"])
     packed = docs.select(
-        F.struct("*").alias("row"),
+        F.struct(*[quoted(c) for c in others]).alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.col("text").cast("string").alias("text"),
@@ -275,7 +277,7 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> Da
                 chosen = part.column("row").take(pa.array(picked, pa.int64()))
                 yield pa.RecordBatch.from_arrays([chosen, pa.array(texts, pa.string())], names=["row", "text"])
 
-    cut_rows = out.mapInArrow(cut, T.StructType().add("row", docs.schema).add("text", "string"))
+    cut_rows = out.mapInArrow(cut, T.StructType().add("row", rest).add("text", "string"))
     columns = [
         F.col("text").alias(c) if c == "text"
         else F.char_length("text").cast(t).alias(c) if c == "n_chars"

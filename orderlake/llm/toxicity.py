@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlake.llm.common import stored
+from orderlake.llm.common import quoted, stored
 from orderlake.llm.tokens import by_bytes
 from orderlake.llm.words import Words
 
@@ -243,5 +243,7 @@ def toxicity_report(docs: DataFrame, labels: DataFrame, threshold: float = THRES
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of `docs` that are not rejected, with all their columns."""
-    packed = docs.select(F.col("text").cast("string").alias("text"), F.struct("*").alias("row"))
-    return scored(packed, train_chain(docs, labels)).where(F.col("p_toxic") < threshold).select("row.*")
+    text = F.col("text").cast("string")
+    others = F.struct(*[quoted(c) for c in docs.columns if c != "text"]).alias("row")
+    kept = scored(docs.select(text.alias("text"), others), train_chain(docs, labels)).where(F.col("p_toxic") < threshold)
+    return kept.select(*[F.col("text").cast(t).alias(c) if c == "text" else F.col("row")[c].alias(c) for c, t in docs.dtypes])
