@@ -5,17 +5,19 @@ runs of `GRAM` words of a template are winnowed: of every `WINDOW` neighbouring
 smallest is kept, and all of a template of at most `SHORT` words. The kept ones are an inverted index from hash to places in templates; it is
 as large as the list of templates, not as the data. Every run of a document is looked up, so a
 passage that shares `GRAM + WINDOW - 1` words in a row with a template is a candidate for it.
-The places where the template may lie by its candidates, and `BAND` words to both sides, are
-windows of the text. There the best local alignment (matches +2, others -1) gives the matched
-words, their share of the template and the span in the text; then what is left of the window
-before and after it is aligned again, until no alignment covers `COVERAGE` of the template and has
-its names. Names are the words by which a template differs from its variants (license, version):
-they must stand in the match without insertions, so that a license without a template is not
-reported under the name of its nearest variant. So
-a notice that is repeated is reported as often as it stands there. A part of a window that has
-too few of the template's words for `COVERAGE`, in whatever order, is not aligned. Of reports
-that overlap, a longer match hides a shorter one, and of equal ones the better covered hides the
-other; so variants that are in the table are told apart.
+Candidates that follow each other in text and template are chained, with the score that an alignment
+through them would have; each chain is a place where the template may lie. Along it the best local
+alignment (matches +2, others -1) is sought in a band: in each row only the columns within `BAND`
+words of the diagonals of the chain's neighbouring candidates. That gives the matched words, their
+share of the template and the span in the text; it is a match if the share is `coverage` at least
+and the template's names are there. Names are the words by which a template differs from its
+variants (license, version): they must stand in the match without insertions, so that a license
+without a template is not reported under the name of its nearest variant. A notice that is repeated
+has a chain, and so a report, for each time it stands there. A chain around which there are too few
+of the template's words for `coverage`, in whatever order, is not aligned. Of reports that overlap,
+a longer match hides a shorter one, and of equal ones the better covered hides the other; so
+variants that are in the table are told apart. The work grows with the words of the text times the
+width of the band.
 
 The table has short notices, in `TEMPLATES`, and the whole texts in the folder `licenses`; another
 can be given. Only the driver reads the folder.
@@ -43,8 +45,9 @@ from orderlake.llm.words import Words
 
 GRAM, WINDOW = 3, 2
 SHORT = 20  # words of templates of which every run is kept
-BAND = 12  # words that windows reach beyond their candidates
-COVERAGE = 0.8
+BAND = 12  # words to both sides of the candidates' diagonals
+COVERAGE = 0.8  # least share of a template's words, if no other is asked for
+LINKED = 128  # candidates before one that are tried as its predecessor in a chain
 BITS = 20  # of a length in words: templates of up to 100,000 words
 _WORD = re.compile(r"[^\W_]+")
 
@@ -173,7 +176,10 @@ def words_of(text: str) -> list[str]:
 class TemplateIndex:
     """Winnowed fingerprints of templates; words are numbered, others are 0."""
 
-    def __init__(self, templates: dict[str, str], required: dict[str, tuple[str, ...]] = NAMES):
+    def __init__(
+        self, templates: dict[str, str], required: dict[str, tuple[str, ...]] = NAMES, coverage: float = COVERAGE
+    ):
+        self.coverage = coverage
         templates = {n: t for n, t in templates.items() if words_of(t)}
         self.names = list(templates)
         self.hasher = Words(underscore=False)
@@ -231,9 +237,8 @@ class TemplateIndex:
         aligned = []
         for template in sorted({t for run in set(found) for t in self.places[run]}):
             if possible[template]:
-                firsts = [at - i for at, run in zip(hits.tolist(), found) for i in self.places[run].get(template, ())]
-                for start, stop in windows(firsts, self.lengths[template], len(numbers)):
-                    aligned += self._repeats(template, numbers, start, stop)
+                at = [(p, q) for p, run in zip(hits.tolist(), found) for q in self.places[run].get(template, ())]
+                aligned += self._matches(template, numbers, np.array(at, np.int64))
         spans = list(zip(starts.tolist(), ends.tolist()))
         if len(text.lower()) != len(text):  # a letter whose lower case has another length moves the rest
             spans = word_spans(text)
@@ -245,78 +250,106 @@ class TemplateIndex:
     def possible(self, numbers: np.ndarray) -> np.ndarray:
         """For each template whether enough of its words are there, in any order."""
         there = np.bincount(numbers, minlength=len(self.vocabulary) + 1)[self.all_words]
-        return np.add.reduceat(np.minimum(there, self.all_counts), self.begins) >= COVERAGE * np.array(self.lengths)
+        return np.add.reduceat(np.minimum(there, self.all_counts), self.begins) >= self.coverage * np.array(self.lengths)
 
     def _possible(self, template: int, numbers: np.ndarray) -> bool:
-        least = COVERAGE * self.lengths[template]
+        least = self.coverage * self.lengths[template]
         if len(numbers) < least:
             return False
         words, counts = self.counts[template]
         there = np.bincount(numbers, minlength=len(self.vocabulary) + 1)[words]
         return np.minimum(there, counts).sum() >= least
 
-    def _repeats(self, template: int, numbers: np.ndarray, start: int, stop: int) -> list[tuple[int, int, int, int]]:
-        """All matches between two words of a text. Long windows are read in pieces; a match that
-        may go on beyond its piece starts in the last three lengths of the template (with more
-        words than that its score is negative) and is left to the next piece."""
-        reach, out = 3 * self.lengths[template], []
-        while start < stop:
-            end = min(stop, start + 3 * reach)
-            last = end if end == stop else end - reach
-            found = [m for m in self._split(template, numbers, start, end) if m[2] < last]
-            out += found
-            start = max([last, *(m[3] + 1 for m in found)])
-        return out
-
-    def _split(self, template: int, numbers: np.ndarray, start: int, stop: int) -> list[tuple[int, int, int, int]]:
-        """The best match, and those in what is left before and after it."""
-        out, left = [], [(start, stop)]
-        while left:
-            start, stop = left.pop()
-            if not self._possible(template, numbers[start:stop]):
+    def _matches(self, template: int, numbers: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """All matches of a template, from its candidates (places in text and template)."""
+        words, length = np.array(self.words[template], np.int64), self.lengths[template]
+        taken = np.zeros(len(numbers), np.int8)  # 1: in a match, 2: aligned in vain
+        out = []
+        for chain in chains(at[:, 0], at[:, 1]):
+            chain = chain[taken[at[chain, 0]] == 0]
+            if not len(chain):
                 continue
-            n, a, b = align(numbers[start:stop], np.array(self.words[template], np.int64))
-            if n >= COVERAGE * self.lengths[template]:
-                span = numbers[start + a : start + b + 1].tolist()
-                if all(within(p, span) for p in self.required[template]):
-                    out.append((template, n, start + a, start + b))
-                left += [(start, start + a), (start + b + 1, stop)]
+            p, q = at[chain, 0], at[chain, 1]
+            first, last = int(p[0] - q[0]), int(p[-1] + length - q[-1])
+            start, stop = max(0, first - BAND), min(len(numbers), last + BAND)
+            # Not into what is matched already.
+            before, after = np.flatnonzero(taken[start : p[0]] == 1), np.flatnonzero(taken[p[-1] : stop] == 1)
+            start = start + int(before[-1]) + 1 if len(before) else start
+            stop = int(p[-1]) + int(after[0]) if len(after) else stop
+            n = 0
+            if self._possible(template, numbers[start:stop]):
+                n, a, b = align(numbers[start:stop], words, *band(p - start, q, stop - start, length))
+            if n < self.coverage * length:
+                core = taken[max(0, first, start) : min(last, stop)]
+                core[core == 0] = 2
+                continue
+            taken[start + a : start + b + 1] = 1
+            span = numbers[start + a : start + b + 1].tolist()
+            if all(within(phrase, span) for phrase in self.required[template]):
+                out.append((template, n, start + a, start + b))
         return out
 
 
+def chains(p: np.ndarray, q: np.ndarray) -> list[np.ndarray]:
+    """Candidates (places `p` in a text, `q` in a template; sorted) as chains, the best first; in a
+    chain both places grow. A link adds the words that its second candidate matches anew, less
+    what lies between the two in the one or the other."""
+    n = len(p)
+    score, back = np.full(n, 2 * GRAM, np.int64), np.full(n, -1, np.int64)
+    for i in range(1, n):
+        j = max(0, i - LINKED)
+        dp, dq = p[i] - p[j:i], q[i] - q[j:i]
+        new = np.minimum(np.minimum(dp, dq), GRAM)
+        linked = np.where(new > 0, score[j:i] + 3 * new - np.maximum(dp, dq), 0)
+        best = int(linked.argmax())
+        if linked[best] > score[i]:
+            score[i], back[i] = linked[best], j + best
+    used, out = np.zeros(n, bool), []
+    for i in np.argsort(-score, kind="stable").tolist():
+        chain = []
+        while i >= 0 and not used[i]:
+            used[i] = True
+            chain.append(i)
+            i = int(back[i])
+        if chain:
+            out.append(np.array(chain[::-1]))
+    return out
+
+
+def band(p: np.ndarray, q: np.ndarray, rows: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each row the columns within `BAND` of the diagonals of the candidates around it."""
+    diagonal, row = p - q, np.arange(rows)
+    here = np.searchsorted(p, row, side="right") - 1
+    one, other = diagonal[np.maximum(here, 0)], diagonal[np.minimum(here + 1, len(p) - 1)]
+    low = np.clip(row - np.maximum(one, other) - BAND, 0, length - 1)
+    return low, np.clip(row - np.minimum(one, other) + BAND + 1, low + 1, length)
+
+
 def within(phrase: list[int], words: list[int]) -> bool:
     n = len(phrase)
     return any(words[i : i + n] == phrase for i in range(len(words) - n + 1))
 
 
-def windows(firsts: list[int], length: int, end: int) -> list[tuple[int, int]]:
-    """Parts of a text where a template of `length` words may lie, from the places its first word
-    would have."""
-    out: list[list[int]] = []
-    for first in sorted(set(firsts)):
-        start, stop = max(0, first - BAND), min(end, first + length + BAND)
-        if out and start <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], stop)
-        else:
-            out.append([start, stop])
-    return [(start, stop) for start, stop in out]
-
-
-def align(part: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
-    """Best local alignment: matched words, and the first and last word of `part` in it.
+def align(part: np.ndarray, words: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[int, int, int]:
+    """Best local alignment in a band: matched words, and the first and last word of `part` in it.
+    In row i the columns from `low[i]` to before `high[i]` are looked at.
 
     A cell is one number: score, matches and first word, `BITS` bits each. So the larger number
     is the better cell, and a row needs no loop: gaps in `part` are a running maximum."""
     one, start_bits = 1 << 2 * BITS, (1 << BITS) - 1
-    slope = np.arange(len(words), dtype=np.int64) * one
-    above, best, end = np.zeros(len(words) + 1, np.int64), 0, 0
-    for i, word in enumerate(part.tolist()):
-        before = above[:-1]
-        row = np.where(before >= one, before, i) + np.where(words == word, 2 * one + (1 << BITS), -one)
+    slope = np.arange(int((high - low).max(initial=0)), dtype=np.int64) * one
+    before, first, best, end = np.zeros(1, np.int64), 0, 0, 0
+    for i, (word, lo, hi) in enumerate(zip(part.tolist(), low.tolist(), high.tolist())):
+        above = np.zeros(hi - lo + 1, np.int64)
+        a, b = max(lo, first), min(hi, first + len(before) - 1)
+        if a <= b:
+            above[a - lo : b - lo + 1] = before[a - first : b - first + 1]
+        corner = above[:-1]
+        row = np.where(corner >= one, corner, i) + np.where(words[lo:hi] == word, 2 * one + (1 << BITS), -one)
         np.maximum(row, above[1:] - one, out=row)
-        row = np.maximum.accumulate(row + slope) - slope
+        row = np.maximum.accumulate(row + slope[: hi - lo]) - slope[: hi - lo]
         row[row < one] = 0
-        above[1:] = row
+        before, first = np.concatenate([above[:1] * 0, row]), lo
         top = int(row.max())
         if top // one > best // one:
             best, end = top, i
@@ -340,13 +373,16 @@ def longest_apart(matches: list[Match]) -> list[Match]:
 
 
 def license_matches(
-    docs: DataFrame, templates: dict[str, str] | None = None, required: dict[str, tuple[str, ...]] = NAMES
+    docs: DataFrame,
+    templates: dict[str, str] | None = None,
+    required: dict[str, tuple[str, ...]] = NAMES,
+    coverage: float = COVERAGE,
 ) -> DataFrame:
     """`doc_id, template, matched_words, template_words, coverage, span_start, span_stop`."""
     texts = templates or all_templates()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = TemplateIndex(texts, required)
+        index = TemplateIndex(texts, required, coverage)
         names = ["doc_id", "template", "matched_words", "template_words", "coverage", "span_start", "span_stop"]
         kinds = (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.int32())
         for batch in batches:
