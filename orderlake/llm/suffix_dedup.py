@@ -13,9 +13,15 @@ There the suffixes that start at an anchor, and the prefixes that end at it read
 sorted deep-shallow: multikey quicksort orders them by their first bytes, and groups that are
 still equal are ordered by blind tries, which compare each string with one other only. The
 longest common prefixes of neighbours in both orders give, for each pair of places, how far they
-agree on both sides; where that is `SPAN` bytes together, they are removed. Anchors with more
-than `SORTED_TOGETHER` different surroundings are not sorted in one task: for them each string
-of `SPAN` bytes around the anchor is counted by its 128-bit hash, over all tasks.
+agree on both sides; where that is `SPAN` bytes together, they are removed.
+
+No task sorts more than `SORTED_TOGETHER` surroundings. Larger groups are parted by further bytes,
+as multikey quicksort parts them, but by a shuffle: a string that begins `b` bytes before the
+anchor, for `b` in some interval, holds the bytes that all such strings share. The interval is
+halved, and surroundings with the same shared bytes form a group for their half. Of those that
+also agree in all bytes that such strings may have, one stands for all, and none needs to be sorted
+to know its reach. Groups still too large are halved again; where the interval is one place, all
+of a group agree, so this ends after eight rounds.
 
 Rows: one result row per input row. NULL texts are empty. Rows with equal texts are copies of
 each other, so all their bytes are removed if there are `SPAN` of them. Other columns are not
@@ -33,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import sent_if_small, stored
+from orderlake.llm.common import forget, sent_if_small, stored
 from orderlake.llm.tokens import by_bytes
 
 SPAN = 200
@@ -253,75 +259,102 @@ def surroundings(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 # --- extents of what is repeated ----------------------------------------------------------
 
 
-def sorted_extents(around_: DataFrame) -> DataFrame:
-    """`anchor, ctx, back, on` by sorting what is around each anchor."""
+_REACH = pa.schema([("anchor", pa.int64()), ("ctx", pa.int64()), ("back", pa.int16()), ("on", pa.int16())])
+REACH = "anchor long, ctx long, back short, on short"
+
+
+def sorted_extents(around_: DataFrame, keys: tuple[str, ...] = ("anchor",)) -> DataFrame:
+    """`anchor, ctx, back, on` by sorting what is around each anchor, or each group of one."""
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchor, group = None, {}
+        key, group = None, {}
 
-        def solved() -> list[tuple[int, int, int, int]]:
+        def solved() -> list[dict]:
             if len(group) < 2:
                 return []
             behind = [text[:back][::-1] for back, text, _ in group.values()]
             ahead = [text[back:] for back, text, _ in group.values()]
-            reach = extents(behind, ahead)
+            found = zip(group.items(), extents(behind, ahead))
             return [
-                (anchor, ctx, back, on)
-                for (ctx, (_, _, twice)), (back, on) in zip(group.items(), reach)
+                {"anchor": key[0], "ctx": ctx, "back": back, "on": on}
+                for (ctx, (_, _, twice)), (back, on) in found
                 if on and not twice
             ]
 
         for batch in batches:
             rows = []
-            for a, ctx, twice, back, text in zip(*(c.to_pylist() for c in batch.columns)):
-                if a != anchor:
+            for *own, ctx, twice, back, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if own != key:
                     rows += solved()
-                    anchor, group = a, {}
+                    key, group = own, {}
                 group[ctx] = (back, text, twice)
-            yield pa.RecordBatch.from_pylist(
-                [dict(zip(("anchor", "ctx", "back", "on"), r)) for r in rows],
-                pa.schema([("anchor", pa.int64()), ("ctx", pa.int64()), ("back", pa.int16()), ("on", pa.int16())]),
-            )
-        last = solved()
-        if last:
-            yield pa.RecordBatch.from_pylist(
-                [dict(zip(("anchor", "ctx", "back", "on"), r)) for r in last],
-                pa.schema([("anchor", pa.int64()), ("ctx", pa.int64()), ("back", pa.int16()), ("on", pa.int16())]),
-            )
-
-    by_anchor = around_.repartition("anchor").sortWithinPartitions("anchor", "ctx")
-    return by_anchor.mapInArrow(solve, "anchor long, ctx long, back short, on short")
-
-
-def counted_extents(around_: DataFrame) -> DataFrame:
-    """The same by counting every string of `SPAN` bytes around the anchors."""
-
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int16(), pa.int32())
-        names = ["h", "anchor", "ctx", "back", "weight"]
-        for batch in batches:
-            for first in range(0, batch.num_rows, 100):  # a row makes up to BACK + 1 strings
-                rows: tuple[list, ...] = ([], [], [], [], [])
-                part = batch.slice(first, 100)
-                for a, ctx, twice, back, text in zip(*(c.to_pylist() for c in part.columns)):
-                    for start in range(min(back, len(text) - SPAN) + 1):
-                        h = xxhash.xxh3_128_digest(text[start : start + SPAN])
-                        for column, value in zip(rows, (h, a, ctx, back - start, 2 if twice else 1)):
-                            column.append(value)
-                arrays = [pa.array(r, k) for r, k in zip(rows, kinds)]
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
+            yield pa.RecordBatch.from_pylist(rows, _REACH)
+        yield pa.RecordBatch.from_pylist(solved(), _REACH)
 
-    each = around_.dropDuplicates(["anchor", "ctx"]).mapInArrow(
-        strings, "h binary, anchor long, ctx long, back short, weight int"
-    )
-    each = stored(each, "strings")
-    # A string may hold several anchors: it is counted for each of them and its place there.
-    same = ["h", "anchor", "back"]
-    repeated = each.groupBy(*same).agg(F.sum("weight").alias("n")).where("n > 1").select(*same)
-    found = each.where("weight = 1").join(repeated, same, "left_semi").groupBy("anchor", "ctx")
-    return found.agg(
-        F.max("back").cast("short").alias("back"), (SPAN - F.min("back")).cast("short").alias("on")
-    )
+    by_group = around_.select(*keys, "ctx", "twice", "back", "around").repartition(*keys).sortWithinPartitions(*keys, "ctx")
+    return by_group.mapInArrow(solve, REACH)
+
+
+_GROUP = ("anchor", "lo", "hi", "g1", "g2")
+_CLASS = (*_GROUP, "u1", "u2")
+
+
+def halves(around_: DataFrame) -> DataFrame:
+    """Surroundings in both halves of their interval [`lo`, `hi`] of places where a string may
+    begin, with digests of the bytes that all strings of the half share (`g1`, `g2`) and of those
+    that any may have (`u1`, `u2`), which are kept."""
+    names = [*_CLASS, "ctx", "twice", "back", "around"]
+    kinds = [pa.int64(), pa.int16(), pa.int16(), *[pa.int64()] * 5, pa.bool_(), pa.int16(), pa.binary()]
+
+    def digest(data: bytes, seed: int) -> tuple[int, int]:
+        return tuple(np.frombuffer(xxhash.xxh3_128_digest(data, seed=seed), ">i8").tolist())
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for anchor, ctx, twice, back, text, lo, hi in zip(*(c.to_pylist() for c in batch.columns)):
+                on, mid = len(text) - back, (lo + hi) // 2
+                for low, high in ((lo, mid), (mid + 1, hi)):
+                    before, after = min(back, high), min(on, SPAN - low)
+                    if before < low or after < SPAN - high or before + after < SPAN:
+                        continue  # no string of this half fits into the text
+                    shared, kept = text[back - low : back + SPAN - high], text[back - before : back + after]
+                    rows.append((anchor, low, high, *digest(shared, 0), *digest(kept, before), ctx, twice, before, kept))
+            columns = list(zip(*rows)) or [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+    fields = "anchor long, lo short, hi short, g1 long, g2 long, u1 long, u2 long, ctx long, twice boolean, back short, around binary"
+    return around_.select("anchor", "ctx", "twice", "back", "around", "lo", "hi").mapInArrow(cut, fields)
+
+
+def parted_extents(around_: DataFrame) -> DataFrame:
+    """The same for groups that are too large for a task; see the module."""
+    rows = around_.dropDuplicates(["anchor", "ctx"]).withColumns({"lo": F.lit(0).cast("short"), "hi": F.lit(BACK).cast("short")})
+    found = []
+    while True:
+        parts = stored(halves(rows), "parts")
+        classes = parts.groupBy(*_CLASS).agg(F.sum(F.when(F.col("twice"), 2).otherwise(1)).alias("n"), F.min("ctx").alias("ctx"))
+        classes = stored(classes, "classes")
+        groups = classes.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("members"))
+        groups = stored(groups.where("members > 1"), "groups")
+        same = classes.where("n > 1").select(*_CLASS)
+        known = parts.where("not twice").select(*_CLASS, "ctx", "back", F.octet_length("around").alias("length"))
+        known = known.join(same, list(_CLASS), "left_semi")
+        known = known.select("anchor", "ctx", "back", (F.col("length") - F.col("back")).cast("short").alias("on"))
+        found.append(stored(known, "known"))
+        chosen = classes.join(groups, list(_GROUP)).select(*_CLASS, "ctx", "n", "members")
+        one = parts.join(chosen, [*_CLASS, "ctx"]).withColumn("twice", F.col("n") > 1)
+        one = stored(one.select(*_GROUP, "ctx", "twice", "back", "around", "members"), "chosen")
+        forget(parts)
+        hot = F.col("members") > SORTED_TOGETHER
+        found.append(sorted_extents(one.where(~hot), _GROUP))
+        if groups.where(hot).isEmpty():
+            break
+        rows = one.where(hot)
+    reach = found[0]
+    for more in found[1:]:
+        reach = reach.union(more)
+    return reach.groupBy("anchor", "ctx").agg(F.max("back").alias("back"), F.max("on").alias("on"))
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
@@ -330,12 +363,13 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     `texts` has one row for each distinct text: `k1`, `k2`, `text`, and `weight`, 2 for a text
     that occurs more than once and 1 for others.
     """
-    occ = stored(occurrences(texts), "anchors")
-    by_anchor = occ.groupBy("anchor").agg(
+    every = stored(occurrences(texts), "anchors")
+    by_anchor = every.groupBy("anchor").agg(
         F.sum("weight").alias("n"), (F.min("ctx") != F.max("ctx")).alias("differ")
     )
     shared = stored(by_anchor.where("n > 1").select("anchor", "differ"), "shared")
-    occ = stored(occ.join(sent_if_small(shared), "anchor"), "repeated")
+    occ = stored(every.join(sent_if_small(shared), "anchor"), "repeated")
+    forget(every)  # by far the largest step
     place = F.struct("k1", "k2", "place")
     contexts = occ.groupBy("anchor", "ctx").agg(
         (F.sum("weight") > 1).alias("twice"), F.first("differ").alias("differ"),
@@ -353,7 +387,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     hot = sent_if_small(stored(unsure.where(F.col("n") > SORTED_TOGETHER).select("anchor"), "hot"))
     reach = sorted_extents(around_.join(hot, "anchor", "left_anti"))
     if not hot.isEmpty():
-        reach = reach.union(counted_extents(around_.join(hot, "anchor", "left_semi")))
+        reach = reach.union(parted_extents(around_.join(hot, "anchor", "left_semi")))
     reach = stored(whole.where(F.col("back") + F.col("on") >= SPAN).union(reach), "reach")
     covers = occ.select("anchor", "ctx", "k1", "k2", "place").join(sent_if_small(reach), ["anchor", "ctx"])
     span = F.struct((F.col("place") - F.col("back")).alias("start"), (F.col("place") + F.col("on")).alias("stop"))

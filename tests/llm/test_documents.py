@@ -3,16 +3,29 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from array import array
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from llm.cases import no_documents, odd_documents, odd_rows, tuples
-from orderlake.llm.license_scan import TEMPLATES, TemplateIndex, all_templates, license_matches, words_of
-from orderlake.llm.merkle import WHOLE, changed_leaves, fingerprints, leaf_digests, root
+from orderlake.llm.license_scan import (
+    COVERAGE,
+    TEMPLATES,
+    Match,
+    TemplateIndex,
+    align,
+    all_templates,
+    license_matches,
+    longest_apart,
+    within,
+    words_of,
+)
+from orderlake.llm.merkle import edit_region, fingerprints, leaf_digests, root
 from orderlake.llm.minhash import near_duplicates, one_of_each
 from orderlake.llm.mixing import mix, mixed_documents, targets
 from orderlake.llm.packing import best_fit, complete_bins, lower_bound, pack
@@ -138,6 +151,15 @@ def test_ledger_scans_only_what_is_new(spark, tmp_path):
     assert tuples(secret_report(docs, ledger)) == tuples(secret_report(docs))
 
 
+def test_a_pair_that_the_ledger_holds_twice_counts_once(spark, tmp_path):
+    """Two writers that scan side by side both append; so does a job that is run again."""
+    ledger, docs = str(tmp_path / "ledger"), odd_documents(spark)
+    once = tuples(secret_report(docs, ledger))
+    spark.read.parquet(ledger).write.mode("append").parquet(str(tmp_path / "twice"))
+    spark.read.parquet(ledger).write.mode("append").parquet(str(tmp_path / "twice"))
+    assert tuples(secret_report(docs, str(tmp_path / "twice"))) == once
+
+
 def test_without_secrets(spark):
     docs = odd_documents(spark)
     out = without_secrets(docs)
@@ -318,6 +340,21 @@ def test_without_repeats_of_shared_passages(spark, monkeypatch, together):
     assert tuples(without_repeats(docs)) == sorted(want, key=repr)
 
 
+def test_large_groups_are_parted_and_sorted(spark, monkeypatch):
+    """A passage between ever other words: its edges' anchors have as many surroundings as texts."""
+    import orderlake.llm.suffix_dedup as suffix_dedup
+
+    monkeypatch.setattr(suffix_dedup, "SORTED_TOGETHER", 5)
+    r = random.Random(8)
+    some = lambda n: "".join(r.choice("abcdef ") for _ in range(n))
+    passage = some(260)
+    texts = [some(r.randint(0, 250)) + passage[r.choice([0, 0, 3, 40]) : r.choice([260, 260, 250, 203])] + some(r.randint(0, 250)) for _ in range(60)]
+    texts += ["ab" * 300, "ab" * 180 + "c" + "ab" * 150, passage[:210], passage[50:260], texts[0], texts[0]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = [(i, *w) for i, w in enumerate(plain_removal([t.encode() for t in texts]))]
+    assert tuples(without_repeats(docs)) == sorted(want, key=repr)
+
+
 def test_deep_shallow_sort():
     r = random.Random(2)
     for letters, longest in ((b"ab", 60), (b"abcdef", 90), (b"a", 70)):
@@ -331,15 +368,28 @@ def test_deep_shallow_sort():
 # --- fingerprints --------------------------------------------------------------------------
 
 
+def whole_leaves(text):
+    return [hashlib.md5(x.encode()).hexdigest() for x in re.findall(r"[^\n.!?]{0,95}[.!?\n]+|[^\n.!?]{1,96}", text)]
+
+
 def plain_leaves(text):
-    return [hashlib.md5(x.encode()).hexdigest()[:8] for x in re.findall(r"[^\n.!?]{0,95}[.!?\n]+|[^\n.!?]{1,96}", text)]
+    return [x[:8] for x in whole_leaves(text)]
 
 
 def plain_fingerprint(text):
-    digests = "".join(plain_leaves(text))
-    runs = re.findall(r"(?:[2-9a-f][0-9a-f]{7})*[01][0-9a-f]{7}|(?:[2-9a-f][0-9a-f]{7})+", digests)
+    digests = "".join(whole_leaves(text))
+    runs = re.findall(r"(?:[2-9a-f][0-9a-f]{31})*[01][0-9a-f]{31}|(?:[2-9a-f][0-9a-f]{31})+", digests)
     sections = "".join(hashlib.md5(x.encode()).hexdigest() for x in runs)
-    return hashlib.md5(sections.encode()).hexdigest() + ":" + digests
+    return hashlib.md5(sections.encode()).hexdigest() + ":" + "".join(plain_leaves(text))
+
+
+def plain_edit(a, b):
+    a, b, start, end = whole_leaves(a), whole_leaves(b), 0, 0
+    while start < min(len(a), len(b)) and a[start] == b[start]:
+        start += 1
+    while end < min(len(a), len(b)) - start and a[-1 - end] == b[-1 - end]:
+        end += 1
+    return start, len(a) - start - end, len(b) - start - end
 
 
 def dice(a, b):
@@ -358,7 +408,7 @@ def test_fingerprints(spark):
         edited = text[: len(text) - k] + other[:k]
         want.append(
             (doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), plain_fingerprint(text),
-             plain_fingerprint(edited), dice(text, edited), dice(text, other))
+             plain_fingerprint(edited), dice(text, edited), dice(text, other), *plain_edit(text, edited))
         )
     assert tuples(fingerprints(odd_documents(spark))) == sorted(want, key=repr)
     assert fingerprints(no_documents(spark)).collect() == []
@@ -366,24 +416,27 @@ def test_fingerprints(spark):
     assert alone[0].near_next == 1.0
 
 
-def test_changed_leaves(spark):
-    df = spark.createDataFrame([("One. Two. Three.", "One. Zwei. Three.", "One. Two. Three.")], "a string, b string, c string")
-    a, b, c = (leaf_digests(F.col(x)) for x in "abc")
-    assert df.select(changed_leaves(a, b), changed_leaves(a, c)).first() == ([1], [])
-
-
-def test_changed_leaves_with_equal_short_digests(spark):
-    seen = {}
-    for i in range(1_000_000):
-        text = f" leaf {i}"
-        other = seen.setdefault(hashlib.md5(text.encode()).hexdigest()[:8], text)
-        if other != text:
-            break
-    df = spark.createDataFrame([(f"One.{other}", f"One.{text}")], "a string, b string")
-    short, whole = ([leaf_digests(F.col(c), n) for c in "ab"] for n in (8, WHOLE))
-    assert df.select(root(short[0]) == root(short[1])).first()[0]
-    got = df.select(root(whole[0], WHOLE) == root(whole[1], WHOLE), changed_leaves(*whole, WHOLE)).first()
-    assert tuple(got) == (False, [1])
+def test_edits_are_located(spark):
+    """Changed, removed, repeated and moved leaves, and texts that are not or fully different."""
+    r = random.Random(12)
+    base = [f"Sentence {r.randint(0, 10**9)}." for _ in range(60)]
+    pairs = [("", ""), ("", "a."), ("a.b.", "a.b."), ("a.b.", "a.b.b."), ("a.b.", "a."), ("b.", "a.b."), ("a.a.a.", "a.a."), ("x.", "y.z.")]
+    for _ in range(40):
+        b, i, j = base[:], r.randrange(60), r.randrange(60)
+        kind = r.randrange(4)
+        if kind == 0:
+            b[i] = "New."
+        elif kind == 1:
+            del b[i : i + r.randint(1, 9)]
+        elif kind == 2:
+            b.insert(i, b[i])
+        else:
+            b.insert(j, b.pop(i))
+        pairs.append(("".join(base), "".join(b)))
+    df = spark.createDataFrame(pairs, "a string, b string")
+    a, b = leaf_digests(F.col("a")), leaf_digests(F.col("b"))
+    got = df.select("a", "b", (root(a) == root(b)).alias("same"), edit_region(a, b).alias("e")).collect()
+    assert [(x.same, *x.e) for x in got] == [(x.a == x.b, *plain_edit(x.a, x.b)) for x in got]
 
 
 # --- licenses ------------------------------------------------------------------------------
@@ -420,6 +473,49 @@ def test_license_matches(spark):
     assert license_matches(no_documents(spark)).collect() == []
 
 
+def unbanded(index, text):
+    """All matches by alignments over every word of the text and of each template."""
+    starts, ends, hashes, _ = index.hasher.of(text)
+    numbers, found = index.numbers(hashes), []
+    for t in np.flatnonzero(index.possible(numbers)).tolist():
+        words, left = np.array(index.words[t], np.int64), [(0, len(numbers))]
+        while left:
+            a, b = left.pop()
+            if not index._possible(t, numbers[a:b]):
+                continue
+            whole = np.zeros(b - a, np.int64), np.full(b - a, len(words))
+            n, x, y = align(numbers[a:b], words, *whole)
+            if n >= COVERAGE * len(words):
+                if all(within(p, numbers[a + x : a + y + 1].tolist()) for p in index.required[t]):
+                    found.append(Match(index.names[t], n, len(words), int(starts[a + x]), int(ends[a + y])))
+                left += [(a, a + x), (a + y + 1, b)]
+    return longest_apart(found)
+
+
+def test_license_matches_of_whole_texts(spark, sf_dir):
+    """Candidates and bands lose nothing against every template without a band."""
+    index = TemplateIndex(all_templates())
+    texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect() if r.text]
+    r, some = random.Random(6), list(all_templates().values())
+    for _ in range(12):  # texts with changed words, and several in a row
+        words = " \n".join(r.sample(some, 3)).split(" ")[:1500]
+        texts.append(" ".join(w if r.random() > 0.04 else r.choice(["", "olp kio", "thn"]) for w in words))
+    assert sum(bool(index.scan(t)) for t in texts) > 8
+    for text in texts:
+        assert index.scan(text) == unbanded(index, text)
+
+
+def test_long_texts_and_other_shares():
+    index, text = TemplateIndex(all_templates()), all_templates()["GPL-3-text"]
+    began = time.time()
+    assert [m.template for m in index.scan(f"{text}\n" * 3)] == ["GPL-3-text"] * 3
+    assert time.time() - began < 5
+    half = " ".join(text.split()[: len(text.split()) // 2])
+    assert index.scan(half) == []
+    found = TemplateIndex(all_templates(), coverage=0.45).scan(half)
+    assert [m.template for m in found] == ["GPL-3-text"] and 0.45 < found[0].words / found[0].of < 0.55
+
+
 def test_license_repeats():
     index = TemplateIndex(TEMPLATES)
     for name in ("MIT", "Apache-2.0", "CC-BY-NC-4.0", "GPL-3.0", "ISC-text"):
