@@ -23,6 +23,8 @@ also agree in all bytes that such strings may have, one stands for all, and none
 to know its reach. Groups still too large are halved again; where the interval is one place, all
 of a group agree, so this ends after eight rounds.
 
+All joins shuffle, at every size: none of the tables that texts or anchors meet has a bound.
+
 Rows: one result row per input row. NULL texts are empty. Rows with equal texts are copies of
 each other, so all their bytes are removed if there are `SPAN` of them. Other columns are not
 read. An empty table gives an empty result.
@@ -39,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import forget, sent_if_small, stored
+from orderlake.llm.common import forget, stored
 from orderlake.llm.tokens import by_bytes
 
 SPAN = 200
@@ -250,7 +252,7 @@ def surroundings(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                 arrays = [pa.array(r, k) for r, k in zip(rows, kinds)]
                 yield pa.RecordBatch.from_arrays(arrays, names=["anchor", "ctx", "twice", "back", "around"])
 
-    joined = texts.select("k1", "k2", "text").join(sent_if_small(per_text), ["k1", "k2"])
+    joined = texts.select("k1", "k2", "text").join(per_text.hint("merge"), ["k1", "k2"])
     return joined.select("text", "wanted").mapInArrow(
         cut, "anchor long, ctx long, twice boolean, back short, around binary"
     )
@@ -368,7 +370,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
         F.sum("weight").alias("n"), (F.min("ctx") != F.max("ctx")).alias("differ")
     )
     shared = stored(by_anchor.where("n > 1").select("anchor", "differ"), "shared")
-    occ = stored(every.join(sent_if_small(shared), "anchor"), "repeated")
+    occ = stored(every.join(shared.hint("merge"), "anchor"), "repeated")
     forget(every)  # by far the largest step
     place = F.struct("k1", "k2", "place")
     contexts = occ.groupBy("anchor", "ctx").agg(
@@ -382,14 +384,14 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
         F.count("*").alias("n"), F.min(F.col("twice").cast("int")).alias("all")
     )
     unsure = stored(unsure.where("all = 0").select("anchor", "n"), "unsure")
-    wanted = contexts.join(sent_if_small(unsure), "anchor").select("at.k1", "at.k2", "at.place", "anchor", "ctx", "twice")
+    wanted = contexts.join(unsure.hint("merge"), "anchor").select("at.k1", "at.k2", "at.place", "anchor", "ctx", "twice")
     around_ = stored(surroundings(texts, wanted), "around")
-    hot = sent_if_small(stored(unsure.where(F.col("n") > SORTED_TOGETHER).select("anchor"), "hot"))
+    hot = stored(unsure.where(F.col("n") > SORTED_TOGETHER).select("anchor"), "hot").hint("merge")
     reach = sorted_extents(around_.join(hot, "anchor", "left_anti"))
     if not hot.isEmpty():
         reach = reach.union(parted_extents(around_.join(hot, "anchor", "left_semi")))
     reach = stored(whole.where(F.col("back") + F.col("on") >= SPAN).union(reach), "reach")
-    covers = occ.select("anchor", "ctx", "k1", "k2", "place").join(sent_if_small(reach), ["anchor", "ctx"])
+    covers = occ.select("anchor", "ctx", "k1", "k2", "place").join(reach.hint("merge"), ["anchor", "ctx"])
     span = F.struct((F.col("place") - F.col("back")).alias("start"), (F.col("place") + F.col("on")).alias("stop"))
     return covers.groupBy("k1", "k2").agg(F.sort_array(F.collect_set(span)).alias("spans"))
 
@@ -420,7 +422,7 @@ def keyed_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.count("*").alias("n"), F.min("doc_id").alias("first_id")
     )
     copies = stored(copies.where("n > 1").select("k1", "k2", "first_id"), "copies")
-    marked = rows.join(sent_if_small(copies.withColumn("copied", F.lit(True))), ["k1", "k2"], "left")
+    marked = rows.join(copies.withColumn("copied", F.lit(True)).hint("merge"), ["k1", "k2"], "left")
     marked = marked.withColumn("copied", F.coalesce("copied", F.lit(False)))
     # Of rows with the same id and text each counts as a copy: they are removed in any case.
     distinct = marked.where(~F.col("copied") | F.col("doc_id").eqNullSafe(F.col("first_id")))
@@ -455,5 +457,5 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
                 yield pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, kinds)], names=names)
 
-    joined = marked.select("doc_id", "text", "k1", "k2", "copied").join(sent_if_small(spans), ["k1", "k2"], "left")
+    joined = marked.select("doc_id", "text", "k1", "k2", "copied").join(spans.hint("merge"), ["k1", "k2"], "left")
     return joined.select("doc_id", "text", "copied", "spans").mapInArrow(keep, RESULT)
