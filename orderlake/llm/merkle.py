@@ -1,18 +1,16 @@
 """Document fingerprints: a Merkle tree over the paragraphs and sections of a text.
 
 Leaves are paragraphs: lines, cut at the ends of sentences and, within those, every 96 code
-points, so that the leaves together are the text. A leaf's digest is the beginning of the MD5
-of its text. A section ends after a leaf whose digest starts with 0 or 1 (about every eighth),
-so an edit moves no section ends but those near it. A section's digest is the MD5 of those of
-its leaves, the root the MD5 of the sections'. The fingerprint is the root and the leaves'
-digests; sections follow from them. Where roots differ, the sections and then the leaves that the
-other text lacks locate the edit.
-
-The query's fingerprints have leaf digests of `DIGEST` hexadecimal digits, as its SQL states them.
-So equal roots do not prove equal texts: two different leaves have one digest with probability
-2^-32, and of n texts of one leaf about n^2 / 2^33 pairs have falsely equal fingerprints (three of
-150,000 texts). With `digits=WHOLE`, digests, sections and roots are built from whole MD5s, and equal
-roots mean equal texts but for a chance of about n^2 / 2^129; `changed_leaves` takes either.
+points, so that the leaves together are the text. A leaf's digest is the MD5 of its text. A section
+ends after a leaf whose digest starts with 0 or 1 (about every eighth), so an edit moves no section
+ends but those near it. A section's digest is the MD5 of those of its leaves, the root the MD5 of
+the sections'. So equal roots mean equal texts, but for a chance of about n^2 / 2^129 among n texts.
+The fingerprint is the root and the first `DIGEST` hexadecimal digits of the leaves' digests, which
+only serve likeness.
+
+Where roots differ, the edit is located from the root down: sections that both texts begin or end
+with are passed over, then leaves, and what is left is the place of the edit, how many leaves it
+removed there and how many it put in. It covers removed, repeated and moved leaves too.
 
 Likeness of two fingerprints: twice the number of common leaf digests over the sum of the
 numbers of digests of either (each counted once per text); 1 for equal texts, 0 for an empty
@@ -30,34 +28,91 @@ columns are not read. An empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlake.llm.common import stored
 
 LEAF = r"[^\n.!?]{0,95}[.!?\n]+|[^\n.!?]{1,96}"
-DIGEST = 8  # hexadecimal digits of a leaf's digest
+DIGEST = 8  # hexadecimal digits of a leaf's digest in a fingerprint's list
 WHOLE = 32  # of a whole one
 SECTION = r"(?:[2-9a-f][0-9a-f]{%d})*+[01][0-9a-f]{%d}|(?:[2-9a-f][0-9a-f]{%d})++"
 
 
-def leaf_digests(text: Column, digits: int = DIGEST) -> Column:
+def leaf_digests(text: Column, digits: int = WHOLE) -> Column:
     leaves = F.regexp_extract_all(text, F.lit(LEAF), F.lit(0))
     return F.transform(leaves, lambda leaf: F.substring(F.md5(leaf), 1, digits))
 
 
-def sections(digests: Column, digits: int = DIGEST) -> Column:
-    """Digests of the sections of a list of leaf digests."""
-    runs = F.regexp_extract_all(F.array_join(digests, ""), F.lit(SECTION % ((digits - 1,) * 3)), F.lit(0))
-    return F.transform(runs, lambda run: F.md5(run))
+def short(digests: Column) -> Column:
+    return F.transform(digests, lambda d: F.substring(d, 1, DIGEST))
+
 
+def sections(digests: Column) -> Column:
+    """The sections of a list of leaf digests: the digests of their leaves, joined."""
+    return F.regexp_extract_all(F.array_join(digests, ""), F.lit(SECTION % ((WHOLE - 1,) * 3)), F.lit(0))
 
-def root(digests: Column, digits: int = DIGEST) -> Column:
-    return F.md5(F.array_join(sections(digests, digits), ""))
+
+def root(digests: Column) -> Column:
+    return F.md5(F.array_join(F.transform(sections(digests), lambda run: F.md5(run)), ""))
 
 
 def fingerprint(digests: Column) -> Column:
-    return F.concat(root(digests), F.lit(":"), F.array_join(digests, ""))
+    return F.concat(root(digests), F.lit(":"), F.array_join(short(digests), ""))
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)`, with `value` worked out once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def equal_start(a: Column, b: Column) -> Column:
+    """How many elements two lists begin with in common."""
+    same = F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)))
+    end = F.greatest(F.size(a), F.size(b))
+    return _let(F.array_position(same, F.lit(False)).cast("int"), lambda n: F.when(n == 0, end).otherwise(n - 1))
+
+
+def common_ends(a: Column, b: Column) -> Column:
+    """Struct of how many elements two lists have in common at their `start`, and at the `end` of
+    what is left."""
+    left = lambda x, n: F.reverse(F.slice(x, n + 1, F.size(x) - n))
+    return _let(equal_start(a, b), lambda n: F.struct(n.alias("start"), equal_start(left(a, n), left(b, n)).alias("end")))
+
+
+def edit_region(before: Column, after: Column) -> Column:
+    """Struct of `start` (leaf, from 0), `removed` and `added` (numbers of leaves) of the edit between
+    two lists of leaf digests; nothing removed and added where the roots are equal."""
+
+    def leaves(runs: Column) -> Column:
+        return F.aggregate(runs, F.lit(0), lambda n, run: n + (F.char_length(run) / WHOLE).cast("int"))
+
+    def of_sections(s: Column) -> Column:
+        """Numbers of leaves in the sections at both ends."""
+
+        def counted(ends: Column) -> Column:
+            head = leaves(F.slice(s["own"], F.lit(1), ends["start"]))
+            return F.struct(head.alias("head"), leaves(F.slice(F.reverse(s["own"]), F.lit(1), ends["end"])).alias("tail"))
+
+        return _let(common_ends(s["own"], s["other"]), counted)
+
+    def of_leaves(n: Column) -> Column:
+        part = lambda x: F.slice(x, n["head"] + 1, F.size(x) - n["head"] - n["tail"])
+
+        def region(ends: Column) -> Column:
+            kept = n["head"] + n["tail"] + ends["start"] + ends["end"]
+            return F.struct(
+                (n["head"] + ends["start"]).alias("start"),
+                (F.size(before) - kept).alias("removed"),
+                (F.size(after) - kept).alias("added"),
+            )
+
+        return _let(common_ends(part(before), part(after)), region)
+
+    own = F.struct(sections(before).alias("own"), sections(after).alias("other"))
+    return _let(_let(own, of_sections), of_leaves)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -67,16 +122,6 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(total == 0, F.lit(1.0)).otherwise(2 * common / total)
 
 
-def changed_leaves(before: Column, after: Column, digits: int = DIGEST) -> Column:
-    """Positions (from 0) of the leaves of `after` that lie in sections `before` lacks and that
-    `before` lacks themselves; none if the roots are equal. Both are lists of digests of `digits`."""
-    new = F.array_except(after, before)
-    positions = F.filter(
-        F.transform(after, lambda d, i: F.when(F.array_contains(new, d), i)), lambda i: i.isNotNull()
-    )
-    return F.when(root(before, digits) == root(after, digits), F.array().cast("array<int>")).otherwise(positions)
-
-
 def ordered_links(ids: DataFrame) -> DataFrame:
     """`ids` (`doc_id`, `key`, `rid`, `n`) in a ring: each with the `rid` of its next one."""
     order = [F.col("doc_id").desc_nulls_last(), F.col("key").desc()]
@@ -115,7 +160,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         rows.join(wants, "rid")
         .select(
             F.col("for").alias("rid"), "doc_id", "k",
-            F.expr("substring(text, 1, k)").alias("head"), leaf_digests(F.col("text")).alias("next"),
+            F.expr("substring(text, 1, k)").alias("head"), leaf_digests(F.col("text"), DIGEST).alias("next"),
         )
         .dropDuplicates(["rid"])
     )
@@ -131,10 +176,15 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         leaf_digests(F.col("text")).alias("own"), leaf_digests(F.col("edited")).alias("other"), "next",
     )
-    return digested.select(
+    # The lists are worked out once, before they are used more than once.
+    located = digested.withColumns(
+        {"edit": edit_region(F.col("own"), F.col("other")), "o": short(F.col("own")), "e": short(F.col("other"))}
+    )
+    return located.select(
         "doc_id", "n_chars", "edited_sha256",
         fingerprint(F.col("own")).alias("fingerprint"),
         fingerprint(F.col("other")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("other")).alias("near_edited"),
-        likeness(F.col("own"), F.col("next")).alias("near_next"),
+        likeness(F.col("o"), F.col("e")).alias("near_edited"),
+        likeness(F.col("o"), F.col("next")).alias("near_next"),
+        *(F.col(f"edit.{c}").cast("long").alias(f"edit_{c}") for c in ("start", "removed", "added")),
     )

@@ -104,20 +104,27 @@ o AS (
 e AS (SELECT *, left(text, n - k) || left(nt, k) AS edited FROM o),
 g AS (
   SELECT doc_id, n, edited,
-         list_transform(regexp_extract_all(text, '[^\n.!?]{0,95}[.!?\n]+|[^\n.!?]{1,96}'), lambda x: left(md5(x), 8)) AS own,
-         list_transform(regexp_extract_all(edited, '[^\n.!?]{0,95}[.!?\n]+|[^\n.!?]{1,96}'), lambda x: left(md5(x), 8)) AS other,
+         list_transform(regexp_extract_all(text, '[^\n.!?]{0,95}[.!?\n]+|[^\n.!?]{1,96}'), lambda x: md5(x)) AS own_w,
+         list_transform(regexp_extract_all(edited, '[^\n.!?]{0,95}[.!?\n]+|[^\n.!?]{1,96}'), lambda x: md5(x)) AS other_w,
          list_transform(regexp_extract_all(nt, '[^\n.!?]{0,95}[.!?\n]+|[^\n.!?]{1,96}'), lambda x: left(md5(x), 8)) AS nxt
   FROM e),
 f AS (
-  SELECT *, array_to_string(own, '') AS own_s, array_to_string(other, '') AS other_s FROM g)
+  SELECT *, array_to_string(own_w, '') AS own_s, array_to_string(other_w, '') AS other_s, least(len(own_w), len(other_w)) AS m,
+         list_transform(own_w, lambda x: left(x, 8)) AS own, list_transform(other_w, lambda x: left(x, 8)) AS other FROM g),
+p AS (
+  SELECT *, coalesce(nullif(list_position(list_transform(range(1, m + 1), lambda i: own_w[i] = other_w[i]), false), 0) - 1, m) AS same FROM f),
+q AS (
+  SELECT *, coalesce(nullif(list_position(list_transform(range(1, m - same + 1),
+    lambda i: own_w[len(own_w) - i + 1] = other_w[len(other_w) - i + 1]), false), 0) - 1, m - same) AS ends FROM p)
 SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256,
-  md5(array_to_string(list_transform(regexp_extract_all(own_s, '(?:[2-9a-f][0-9a-f]{7})*[01][0-9a-f]{7}|(?:[2-9a-f][0-9a-f]{7})+'), lambda x: md5(x)), '')) || ':' || own_s AS fingerprint,
-  md5(array_to_string(list_transform(regexp_extract_all(other_s, '(?:[2-9a-f][0-9a-f]{7})*[01][0-9a-f]{7}|(?:[2-9a-f][0-9a-f]{7})+'), lambda x: md5(x)), '')) || ':' || other_s AS edited_fingerprint,
+  md5(array_to_string(list_transform(regexp_extract_all(own_s, '(?:[2-9a-f][0-9a-f]{31})*[01][0-9a-f]{31}|(?:[2-9a-f][0-9a-f]{31})+'), lambda x: md5(x)), '')) || ':' || array_to_string(own, '') AS fingerprint,
+  md5(array_to_string(list_transform(regexp_extract_all(other_s, '(?:[2-9a-f][0-9a-f]{31})*[01][0-9a-f]{31}|(?:[2-9a-f][0-9a-f]{31})+'), lambda x: md5(x)), '')) || ':' || array_to_string(other, '') AS edited_fingerprint,
   CASE WHEN len(list_distinct(own)) + len(list_distinct(other)) = 0 THEN 1.0::DOUBLE
        ELSE 2 * len(list_intersect(own, other))::DOUBLE / (len(list_distinct(own)) + len(list_distinct(other))) END AS near_edited,
   CASE WHEN len(list_distinct(own)) + len(list_distinct(nxt)) = 0 THEN 1.0::DOUBLE
-       ELSE 2 * len(list_intersect(own, nxt))::DOUBLE / (len(list_distinct(own)) + len(list_distinct(nxt))) END AS near_next
-FROM f
+       ELSE 2 * len(list_intersect(own, nxt))::DOUBLE / (len(list_distinct(own)) + len(list_distinct(nxt))) END AS near_next,
+  same AS edit_start, len(own_w) - same - ends AS edit_removed, len(other_w) - same - ends AS edit_added
+FROM q
 """
 
 # Matches are found by splitting a text at them, as positions are not returned by the functions.
