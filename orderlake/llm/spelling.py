@@ -233,10 +233,11 @@ def compose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return []
         size, lo, hi, head, tail = key
         found: dict[str, tuple[int, int, str]] = {}
+        # Ties go by whole words: without its tail, a middle that begins another one always comes first.
         for x, y in near_in_partition(words, hi, lo, tail):
-            found[x] = _best(found.get(x), words[y], y)
-            found[y] = _best(found.get(y), words[x], x)
-        return [(head + x + tail, n, best_n, head + best + tail) for x, (n, best_n, best) in found.items()]
+            found[x] = _best(found.get(x), words[y], y + tail)
+            found[y] = _best(found.get(y), words[x], x + tail)
+        return [(head + x + tail, n, best_n, head + best) for x, (n, best_n, best) in found.items()]
 
     def made(rows: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*rows)) or [()] * 4

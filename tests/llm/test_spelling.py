@@ -114,3 +114,14 @@ def test_chains(spark):
     chain = [(str(i), str(i + 1)) for i in range(60)]
     table = spelling.stored(spark.createDataFrame(chain, "word string, form string"), "chain")
     assert {r.root for r in spelling.roots(table).collect()} == {"60"}
+
+
+def test_ties_go_by_whole_words(spark):
+    """Near words of equal count, of which one's letters up to the end of the edit begin the other's."""
+    n = {"abcdez": 1, "abdez": 9, "abccdez": 9, "abcdzzz": 2, "abcdzz": 8, "abcdzazz": 8}
+    n |= {w: 5 for w in some_words(3, 400, "abz")}
+    words = spark.createDataFrame(list(n.items()), "word string, n long")
+    found = {r["word"]: (r["n_near"], r["best_n"], r["best"]) for r in spelling.near_words(words).collect()}
+    near = {w: v for w, v in near_by_hand(n).items() if v}
+    best = {w: min(v, key=lambda x: (-n[x], x)) for w, v in near.items()}
+    assert found == {w: (len(v), n[best[w]], best[w]) for w, v in near.items()}
