@@ -6,8 +6,9 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from orderlake import schemas
+from orderlake.catalog.updates import order_updates
 from orderlake.operators.stored import StoredTable
-from orderlake.session import shared_root, work_path
+from orderlake.session import configure, shared_root, work_path
 from orderlake.sources import events, sinks
 
 
@@ -139,3 +140,46 @@ def test_writers_do_not_overwrite_each_other(spark, tmp_path):
     for writer, value in (("a", 1), ("b", 2), ("a", 1)):
         sinks.append_table(spark.createDataFrame([(value,)], "id INT"), path, 0, writer=writer)
     assert sorted(r.id for r in sinks.read_appended(spark, path).collect()) == [1, 2]
+
+
+def test_staged_orders_hold_no_texts(spark, tmp_path):
+    """Texts are made by those who read them: what is staged has only what they are made of."""
+    ddl = {
+        "orders": "o_orderkey LONG, o_custkey LONG, o_orderstatus STRING, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+        "lineitem": "l_orderkey LONG, l_partkey LONG, l_suppkey LONG, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING",
+        "customer": "c_custkey LONG, c_name STRING, c_nationkey INT, c_mktsegment STRING",
+        "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+        "part": "p_partkey LONG, p_name STRING, p_brand STRING, p_size INT, p_retailprice DOUBLE",
+    }
+    data = {
+        "orders": [(4, 1, "F", 10.0, datetime(1998, 1, 1), "1-URGENT"), (6, None, None, None, None, None)],
+        "lineitem": [(4, 1, 1, 1, 2.0, 5.0, 0.06, 0.1, "R"), (4, 9, 1, 2, None, None, None, None, None)],
+        "customer": [(1, "c", 1, "M")],
+        "nation": [(1, "JAPAN", 2)],
+        "part": [(1, "p", "b", 3, 1.5)],
+    }
+    for name, kind in ddl.items():
+        spark.createDataFrame(data[name], kind).write.parquet(f"{tmp_path}/{name}.parquet")
+    made = order_updates(spark, str(tmp_path))
+    assert set(made.columns) == {"body", *schemas.struct(schemas.RAW_H).names, "o_orderkey", "v"}
+    staged = {f.rpartition("/")[0] for f in made.inputFiles()}
+    assert not set(spark.read.parquet(*staged).columns) & {"body", *schemas.RAW_JSON_H}
+    assert order_updates(spark, str(tmp_path), ["v", "body"]).columns == ["v", "body"]
+    found = {(r["orderNumber"], r["v"]): json.loads(r["body"]) for r in made.collect()}
+    assert set(found) == {("4", 1), ("4", 2), ("6", 1)}
+    rows_ = {r["rowNumber"]: r for r in found["4", 2]["buckets"][0]["rows"]}
+    assert rows_[1]["offers"] == [{"campaignId": "C6", "discount": 0.06}, {"campaignId": "BULK", "discount": 0.01}]
+    assert rows_[1]["returnedQuantity"] == 2 and rows_[2]["returnedQuantity"] == 0
+    assert rows_[2]["sku"] == "9" and "name" not in rows_[2]
+    assert "buckets" not in found["6", 1]
+
+
+def test_a_fanned_out_batch_is_kept_as_files(spark):
+    """A cache of nested rows fills the memory or the disk of the executors."""
+    seen = []
+    made = sinks.fan_out(spark.range(3).toDF("n"), {"a": lambda rows: rows, "b": lambda rows: rows}, lambda _, rows: seen.append((rows.is_cached, rows.count(), bool(rows.inputFiles()))))
+    assert made == 3 and seen == [(False, 3, True)] * 2
+
+
+def test_streams_remember_on_disk(spark):
+    assert "RocksDB" in configure(spark).conf.get("spark.sql.streaming.stateStore.providerClass")
