@@ -31,7 +31,7 @@ from array import array
 from collections.abc import Iterator
 from functools import cache
 from heapq import heapify, heappop, heappush
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -45,9 +45,18 @@ STRETCH = 1 << 20  # characters of a text in work at a time
 WORDS = 1 << 17  # words in work at a time
 REMEMBERED = 1 << 19  # words a worker remembers
 SHORT = 24  # so many symbols are merged by looking for the first merge again and again
-BEGIN = 3  # characters by which the longest token that may follow is looked up
+BEGIN = 4  # characters by which the longest token that may follow is looked up
 LONG = 64  # longer words are not remembered
 
+# What the file says of texts, as far as the short way for ASCII knows it.
+_NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_ASCII_PATTERN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
+
 _CUT = re.compile(r"(?<=[^\s])[ \n\r\t]")
 
 
@@ -125,7 +134,7 @@ class MergeTable:
             if last + 1 - at <= self.longest_final and (i := final.get(word[at:])) is not None:
                 ids.append(i)
                 break
-            longest = reach.get(word[at : at + BEGIN]) or reach.get(word[at : at + 2]) or 1
+            longest = reach.get(word[at : at + BEGIN], BEGIN - 1)
             for stop in range(min(last, at + longest), at, -1):
                 if (i := inner.get(word[at:stop])) is not None:
                     ids.append(i)
@@ -139,15 +148,16 @@ class MergeTable:
         """Merging by rank, the leftmost of equal ones first."""
         ids = [self.vocab[s] for s in word[:-1]] + [self.vocab[word[-1] + self.end]]
         if len(ids) <= SHORT:
-            ranks = [self.merge.get(p, self.size) for p in zip(ids, ids[1:])]
-            while ranks and (made := min(ranks)) < self.size:
+            rank, none = self.merge.get, self.size
+            ranks = [rank(p, none) for p in zip(ids, ids[1:])]
+            while ranks and (made := min(ranks)) < none:
                 i = ranks.index(made)
-                ids[i : i + 2] = [made]
-                del ranks[i]
+                ids[i] = made
+                del ids[i + 1], ranks[i]
                 if i:
-                    ranks[i - 1] = self.merge.get((ids[i - 1], made), self.size)
+                    ranks[i - 1] = rank((ids[i - 1], made), none)
                 if i < len(ranks):
-                    ranks[i] = self.merge.get((made, ids[i + 1]), self.size)
+                    ranks[i] = rank((made, ids[i + 1]), none)
             return ids
         after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
         heap = [(m, i, p) for i, p in enumerate(zip(ids, ids[1:])) if (m := self.merge.get(p)) is not None]
@@ -205,20 +215,25 @@ class WordEncoder:
         self.strings = dict(enumerate(self.table.tokens)) | {i: t for t, i in self.special.items()}
         self.usual: set[str] = set()
         self.unusual: set[str] = set()
-        self.known: dict[str, tuple[bytes, str]] = {}
+        self.ids_of: dict[str, bytes] = {}
+        self.text_of: dict[str, str] = {}
+        self.passing: list[str] = []
         self.of_byte = _byte_symbols()
         self.speculated = self.repaired = 0
+        normalizers = (stated["normalizer"] or {}).get("normalizers")
+        self.knows_ascii = normalizers == _NORMALIZERS and split["pattern"]["Regex"] == _PATTERN
+        self.other_ascii = {c for c in map(chr, range(128)) if not self._same_class(c.lower(), _ASCII_PATTERN)}
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids, special tokens included."""
         return " ".join([self.strings[i] for i in ids])
 
-    def _same_class(self, c: str) -> bool:
-        """Whether the pattern here and the library's own cut around a character alike; their
+    def _same_class(self, c: str, pattern=None) -> bool:
+        """Whether the pattern here, or another one, and the library's own cut around a character alike; their
         tables of letters may be of different years."""
         probe = f"a{c}1{c}!{c}"
         offsets = [tuple(o) for _, o in self.cutter.pre_tokenize_str(probe)]
-        return offsets == [m.span() for m in self.pattern.finditer(probe)]
+        return offsets == [m.span() for m in (pattern or self.pattern).finditer(probe)]
 
     def words(self, text: str) -> Iterator[str]:
         """Words of a normalised text."""
@@ -248,21 +263,34 @@ class WordEncoder:
                 yield self.special[part]
                 continue
             for stretch in _stretches(part):
-                words = self.words(self.normalizer.normalize_str(stretch))
-                while taken := list(islice(words, WORDS)):
+                if self.is_plain(stretch):  # its white space ends words and is in none
+                    words = _ASCII_PATTERN.findall(stretch.lower())
+                    yield from (words[i : i + WORDS] for i in range(0, len(words), WORDS))
+                    continue
+                found = self.words(self.normalizer.normalize_str(stretch))
+                while taken := list(islice(found, WORDS)):
                     yield taken
 
-    def learn(self, words: set[str]) -> dict[str, tuple[bytes, str]]:
-        """Ids and decoded text of each word, from memory where it is known."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
+    def is_plain(self, text: str) -> bool:
+        """Whether the short way for ASCII gives the words of a text."""
+        plain = self.knows_ascii and len(text) <= STRETCH and text.isascii()
+        return plain and (not self.other_ascii or self.other_ascii.isdisjoint(text))
+
+    def learn(self, words: set[str]) -> None:
+        """Find ids and decoded text of the words that are not remembered. Long words stay until
+        the next ones are learnt."""
+        for w in self.passing:
+            del self.ids_of[w], self.text_of[w]
+        if len(self.ids_of) > REMEMBERED:
+            self.ids_of.clear()
+            self.text_of.clear()
+        new = list(words.difference(self.ids_of))
         ids, repaired = self.table.encoded([self.symbols(w) for w in new])
         self.speculated += len(new)
         self.repaired += repaired
-        fresh = {w: (array("I", i).tobytes(), self.decode(i)) for w, i in zip(new, ids)}
-        self.known.update((w, x) for w, x in fresh.items() if len(w) <= LONG)
-        return {w: fresh.get(w) or self.known[w] for w in words}
+        self.ids_of.update(zip(new, (array("I", i).tobytes() for i in ids)))
+        self.text_of.update(zip(new, map(self.decode, ids)))
+        self.passing = [w for w in new if len(w) > LONG]
 
     def digests(self, texts: list[str]) -> Iterator[tuple[int, str, str]]:
         """Of each text: number of ids, and digests of its ids and of its decoded text."""
@@ -280,13 +308,13 @@ class WordEncoder:
         return ((count, ids.hexdigest(), text.hexdigest()) for count, ids, text in state)
 
     def _digest(self, batch: list, state: list) -> None:
-        found = self.learn({w for _, part in batch if isinstance(part, list) for w in part})
+        self.learn(set(chain.from_iterable(part for _, part in batch if isinstance(part, list))))
+        ids_of, text_of = self.ids_of.__getitem__, self.text_of.__getitem__
         for n, part in batch:
             if isinstance(part, int):
-                pieces = [(array("I", [part]).tobytes(), self.strings[part])]
+                ids, text = array("I", [part]).tobytes(), self.strings[part]
             else:
-                pieces = [found[w] for w in part]
-            ids, text = b"".join([p[0] for p in pieces]), " ".join([p[1] for p in pieces])
+                ids, text = b"".join(map(ids_of, part)), " ".join(map(text_of, part))
             if ids:
                 state[n][2].update((" " + text if state[n][0] else text).encode())
                 state[n][1].update(ids)
@@ -298,8 +326,8 @@ class WordEncoder:
             if isinstance(part, int):
                 ids.append(part)
             else:
-                found = self.learn(set(part))
-                ids.frombytes(b"".join([found[w][0] for w in part]))
+                self.learn(set(part))
+                ids.frombytes(b"".join([self.ids_of[w] for w in part]))
         return ids.tolist()
 
 

@@ -69,3 +69,15 @@ def test_speculation_holds_where_it_is_trusted(encoder):
 @pytest.mark.parametrize("text", ["thein" * 60_000, "中文" * 60_000, "a1!" * 500_000, prose(5, 300_000), "x\n" * 900_000])
 def test_long_texts(library, encoder, text):
     assert next(encoder.digests([text])) == by_library(library, text)
+
+
+def test_short_way_for_ascii(library, encoder):
+    """Every ASCII character beside letters, digits, marks and white space, without the normaliser."""
+    assert encoder.knows_ascii
+    r = random.Random(11)
+    pieces = [chr(i) for i in range(128)] + ["I'll ", "we've", "'S", "\r\n\t", "The", "MERGED", "42"]
+    for _ in range(3000):
+        text = "".join(r.choice(pieces) for _ in range(r.randint(0, 30)))
+        if encoder.is_plain(text):
+            assert encoder.encode(text) == library.encode(text, add_special_tokens=False).ids, text
+    assert encoder.is_plain("It's plain.") and not encoder.is_plain("naïve")
