@@ -7,6 +7,7 @@ from conftest import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from orderlake.catalog import queries
 from orderlake.operators import quality, tables
 
 
@@ -89,3 +90,37 @@ def test_freshness_script(spark):
         spark.sql(quality.freshness_script(["fresh_one", "stale"], "at")).collect()
     as_of = quality.freshness_script(["stale"], "at", "timestamp'2020-01-01 01:00:00'")
     assert rows(spark.sql(as_of)) == [("all tables are fresh",)]
+
+
+def test_partitions_are_compacted_one_by_one(spark, tmp_path, monkeypatch):
+    """Nothing is shuffled or sorted for it; odd names and NULL are partitions like others."""
+    rows_ = spark.range(900).selectExpr("id", "CASE id % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b c/ä:%' END AS p").repartition(4)
+    spark.sql("CREATE DATABASE IF NOT EXISTS parted")
+    try:
+        rows_.write.partitionBy("p").option("path", str(tmp_path / "old")).saveAsTable("parted.t")
+        expected = rows(spark.table("parted.t"), "id", "p")
+        monkeypatch.setattr(type(rows_), "repartitionByRange", None)
+        done = tables.compact_tables(spark, "parted", "t", str(tmp_path / "new"))
+        assert rows(done) == [("t", "ok", None)]
+        assert rows(spark.table("parted.t"), "id", "p") == expected
+        files = [r["file"] for r in tables.file_sizes(spark.table("parted.t")).collect()]
+        assert len(files) == 3 and all("/new/" in f for f in files)
+    finally:
+        spark.sql("DROP DATABASE parted CASCADE")
+
+
+def test_small_files_lie_in_blocks(spark, sf_dir, tmp_path, monkeypatch):
+    """No task writes all rows of a flag: they are spread over folders, each with one file at the end."""
+    monkeypatch.setattr(queries, "_parts_of", lambda df: 3, raising=False)
+    monkeypatch.setattr(queries, "work_path", lambda spark, label: str(tmp_path / label))
+    found = rows(queries.QUERIES["compact_small_files"](spark, sf_dir))
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_returnflag").count()
+    assert found == [(flag, n, 1, int(flag == "R")) for flag, n in rows(lines)]
+    for flag in "ANR":
+        folders = sorted(os.listdir(tmp_path / "small" / f"l_returnflag={flag}"))
+        assert folders == ["block=0", "block=1", "block=2"]
+
+
+def test_detail_of_files_written_without_a_shuffle(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(type(spark.range(1)), "repartition", None)
+    assert rows(queries.QUERIES["table_detail"](spark, sf_dir))[0][0] == 3
