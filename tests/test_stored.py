@@ -190,3 +190,14 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path):
         table.merge(batch)
     assert rows(table.read()) == rows(batch)
     assert rows(table.changes(), "_commit_version", "_change_type") == [(1, "insert"), (1, "insert")]
+
+
+def test_a_task_rewrites_a_part_at_most(spark, tmp_path):
+    """Staged blocks are put in place by several tasks, as the writer sorts what a task reads."""
+    block = F.floor(F.col("id") / 100_000)
+    table = StoredTable(spark, str(tmp_path / "t"), ["id"], block, part_bytes=64 << 10)
+    table.merge(spark.range(20_000).selectExpr("id", "sha2(string(id), 256) AS v"))
+    table.merge(spark.range(19_000, 21_000).selectExpr("id", "'new' AS v"), on_source_duplicates="assume_unique")
+    files = {r[0] for r in table.read().select(F.col("_metadata.file_path")).distinct().collect()}
+    assert len(files) > 8 and table.read().count() == 21_000 and table.read().filter("v = 'new'").count() == 2_000
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != str(64 << 10)
