@@ -1,19 +1,22 @@
 """What queries and batches leave on disk while they run."""
 
+import json
 import threading
 import time
 
 from conftest import rows
 from pyspark.sql import functions as F
-from test_streaming import T0, document, land_raw
+from test_streaming import T0, document, land_bodies, land_raw
 
 from orderlake import schemas
+from orderlake.catalog import queries
 from orderlake.operators import dedup
 from orderlake.operators.dedup import dedup_latest, dedup_latest_stored, newest_first
 from orderlake.operators.stored import StoredTable
 from orderlake.plans import silver
 from orderlake.session import child_names, shared_root
 from orderlake.sources import sinks
+from orderlake.streaming import upsert
 
 
 def shuffle_files(spark):
@@ -97,3 +100,38 @@ def test_batches_leave_small_dead_letters_and_no_work_files(spark, tmp_path):
     # a replay of the batch changes nothing
     silver.upsert_silver(raw.union(broken), tables, 0, F.lit(T0), dead_letters=dead)
     assert tables["row"].read().count() == 3 and sinks.read_dead_letters(spark, f"{dead}/consumer=silver/stage=duplicate_row", "row_bk STRING").count() == 1
+
+
+def test_batches_leave_no_shuffle_files_and_keep_rejected_texts_only(spark, tmp_path, monkeypatch):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    bodies = [json.dumps(document(i, "new")) for i in range(5)]
+    for i in range(2):  # the second file brings the same events again
+        land_bodies(spark, source, [*bodies, "[1]"])
+    seen, left, usual, drop = [], [], upsert.fan_out, upsert.drop_shuffle_files
+
+    def fan_out(batch, outputs, write):
+        def texts(kept):
+            seen.append(kept.filter("is_valid AND body IS NOT NULL").count())
+            return outputs["order"](kept)
+
+        return usual(batch, {**outputs, "order": texts}, write)
+
+    monkeypatch.setattr(upsert, "fan_out", fan_out)
+    monkeypatch.setattr(upsert, "drop_shuffle_files", lambda batch: (left.append(len(shuffle_files(spark))), drop(batch)))
+    before = len(shuffle_files(spark))
+    query = upsert.start_ingest_stream(spark, source, target, str(tmp_path / "cp"), max_files_per_trigger=1, as_of=F.lit(T0))
+    query.awaitTermination()
+    assert query.exception() is None and len(left) >= 2 and set(seen) == {0}
+    deadline = time.time() + 10
+    while len(shuffle_files(spark)) > before and time.time() < deadline:
+        time.sleep(0.1)
+    assert max(left) > before and len(shuffle_files(spark)) <= before
+    assert sinks.read_appended(spark, f"{target}/orderupdates_orderstream").count() == 5
+    bad = sinks.read_dead_letters(spark, f"{target}/deadletters", "body STRING")
+    assert rows(bad, "body") == [("[1]",)]
+
+
+def test_landings_have_more_files_where_there_is_more(spark, sf_dir, monkeypatch):
+    assert queries._landing_files(spark, sf_dir) == 4
+    monkeypatch.setattr(queries.tables, "listed_bytes", lambda df: 640 << 20)
+    assert queries._landing_files(spark, sf_dir) == 10
