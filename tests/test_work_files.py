@@ -4,7 +4,7 @@ import json
 import threading
 import time
 
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 from test_streaming import T0, document, land_bodies, land_raw
 
@@ -131,6 +131,16 @@ def test_batches_leave_no_shuffle_files_and_keep_rejected_texts_only(spark, tmp_
     assert rows(bad, "body") == [("[1]",)]
 
 
+def test_order_streams_are_parsed_once(spark, sf_dir):
+    """A query that reads the orders twice reads them from files; they are those of the bodies."""
+    stored = queries.stored_stream(spark, sf_dir, "order")
+    assert "from_json" not in plan(stored) and "to_json" not in plan(stored) and stored.inputFiles()
+    made = queries.stream_table(spark, sf_dir, "order")
+    assert stored.schema == made.schema and rows(stored) == rows(made)
+    assert "from_json" in plan(queries.stored_stream(spark, sf_dir, "payment"))
+    assert "from_json" not in plan(queries.QUERIES["late_event_applied"](spark, sf_dir))
+
+
 def test_landings_have_more_files_where_there_is_more(spark, sf_dir, monkeypatch):
     assert queries._landing_files(spark, sf_dir) == 4
     monkeypatch.setattr(queries.tables, "listed_bytes", lambda df: 640 << 20)
